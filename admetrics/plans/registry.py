@@ -92,7 +92,8 @@ def message_files(spark, sf_dir) -> str:
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
+    """Registers a query under its function's name; a closing underscore only avoids a clash."""
+    QUERIES[fn.__name__.rstrip("_")] = fn
     return fn
 
 
@@ -131,12 +132,12 @@ def safe_ratios(spark, sf_dir):
 
 
 @query
-def channel_type_by_part(spark, sf_dir):
+def channel_type_(spark, sf_dir):
     return bronze(spark, sf_dir).select("event_id", channel_type("channel").alias("channel_type"))
 
 
 @query
-def channel_type_by_name(spark, sf_dir):
+def channel_type_lookup_(spark, sf_dir):
     named = bronze(spark, sf_dir).select("event_id", F.col("channel").alias("channel_name"))
     return channel_type_lookup(named)
 
@@ -186,7 +187,7 @@ def roas_rank_iso_year(spark, sf_dir):
 
 
 @query
-def silver_table(spark, sf_dir):
+def silver_(spark, sf_dir):
     return build_silver(bronze(spark, sf_dir))
 
 

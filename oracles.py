@@ -230,11 +230,11 @@ ORACLES = {
       SELECT event_id, revenue_usd / greatest(spend_usd, 1e-9) AS floor_roas,
              spend_usd / NULLIF(clicks, 0) AS null_cpc,
              {rounded('100.0::DOUBLE * clicks / NULLIF(impressions, 0)', 2)} AS ctr_pct FROM ev"""),
-    "channel_type_by_part": _ev("""
+    "channel_type": _ev("""
       SELECT event_id, CASE WHEN channel LIKE '%Search%' THEN 'search'
         WHEN channel LIKE '%Display%' THEN 'display' WHEN channel LIKE '%Feed%' THEN 'social_feed'
         ELSE 'social_story' END AS channel_type FROM ev"""),
-    "channel_type_by_name": _dims("""
+    "channel_type_lookup": _dims("""
       SELECT event_id, channel_name, channel_type FROM ev JOIN dch ON ev.channel = dch.channel_name"""),
     "calendar_attributes": _dims("""
       SELECT event_id, date, dda.* EXCLUDE (full_date), strftime(date, '%Y-%m') AS month_label,
@@ -247,7 +247,7 @@ ORACLES = {
     "roas_rank_iso_year": _m("""
       SELECT event_id, CAST(RANK() OVER (PARTITION BY channel, isoyear(date), week(date)
         ORDER BY roas DESC) AS BIGINT) AS roas_rank_in_channel FROM m"""),
-    "silver_table": _s("SELECT * FROM s"),
+    "silver": _s("SELECT * FROM s"),
     "dim_campaign": _dims("SELECT * FROM dca"),
     "dim_channel": _dims("SELECT * FROM dch"),
     "dim_date": _dims("SELECT * FROM dda"),

@@ -1,0 +1,118 @@
+import pytest
+from conftest import by_id
+from pyspark.sql import functions as F
+
+from admetrics import schemas
+from admetrics.functions.calendar import parse_date
+from admetrics.operators import quality, star
+from admetrics.plans.layers import build_silver, build_star
+from admetrics.session import materialize
+
+
+def _members(events, n=300):
+    return events(*[{"campaign_id": f"C{i}", "campaign_name": f"N{i}"} for i in range(n)])
+
+
+def test_keys_are_dense_and_stable(events, conf):
+    df = _members(events)
+    want = {r.campaign_id: r.campaign_key for r in star.dim_campaign(df).collect()}
+    assert sorted(want.values()) == list(range(300))
+    conf(spark__sql__shuffle__partitions="3")
+    again = star.dim_campaign(df.repartition(5)).collect()
+    assert {r.campaign_id: r.campaign_key for r in again} == want
+
+
+def test_fact_keeps_rows_and_keys(events):
+    silver = build_silver(events({"date": "bad"}, {}, {"channel": "Meta Feed", "platform": "Meta"}))
+    tables = build_star(silver, materialize)
+    for name, schema in {
+        "dim_campaign": schemas.DIM_CAMPAIGN,
+        "dim_channel": schemas.DIM_CHANNEL,
+        "dim_date": schemas.DIM_DATE,
+        "fact_ad_impressions": schemas.FACT,
+    }.items():
+        assert dict(tables[name].dtypes) == {f.name: f.dataType.simpleString() for f in schema}
+        assert tables[name].columns == schema.names
+    # The row without a date finds no date row and drops out, as inner joins do.
+    assert sorted(by_id(tables["fact_ad_impressions"], "date_key").items()) == [
+        ("e1", 20240101),
+        ("e2", 20240101),
+    ]
+
+
+def test_renamed_campaign(events):
+    silver = build_silver(
+        events(
+            {"campaign_name": "Old", "date": "2024-01-01"},
+            {"campaign_name": "New", "date": "2024-01-02"},
+        )
+    )
+    doubled = build_star(silver)
+    assert doubled["fact_ad_impressions"].count() == 4
+    report = quality.star_report(doubled["fact_ad_impressions"], doubled)
+    assert {r.check: r.n for r in report.collect()} == {
+        "fact rows": 4,
+        "facts without campaign": 0,
+        "facts without channel": 0,
+        "facts without date": 0,
+        "repeated campaign_id": 1,
+        "repeated channel_name": 0,
+        "repeated full_date": 0,
+    }
+    latest = build_star(silver, latest=True)
+    assert latest["fact_ad_impressions"].count() == 2
+    assert [r.campaign_name for r in latest["dim_campaign"].collect()] == ["New"]
+
+
+def test_report_counts_orphans(events):
+    tables = build_star(build_silver(events({}, {"date": "2024-01-02"})))
+    tables["dim_date"] = tables["dim_date"].where("day = 1")
+    checks = quality.star_report(tables["fact_ad_impressions"], tables).collect()
+    assert {r.check: r.n for r in checks}["facts without date"] == 1
+
+
+def test_campaign_name_lookup(events, spark):
+    dim = star.dim_campaign(events({"campaign_name": "B"}, {"campaign_name": "A"}))
+    df = spark.createDataFrame([("C1",), ("C9",)], "campaign_id string")
+    got = star.with_campaign_name(df, dim).orderBy("campaign_id").collect()
+    assert [r.campaign_name for r in got] == ["A", None]
+
+
+def test_split_valid(events):
+    df = events(
+        {},
+        {"spend_usd": -1.0},
+        {"date": "bad"},
+        {"impressions": None, "campaign_id": None},
+        {"revenue_usd": float("nan")},
+        {"channel": "Audio Spots"},
+    )
+    good, bad = quality.split_valid(df)
+    assert set(by_id(good, "date")) == {"e0", "e5"}
+    assert good.columns == schemas.RAW.names
+    assert by_id(bad, "reasons") == {
+        "e1": ["spend_usd is negative"],
+        "e2": ["date is unreadable"],
+        "e3": ["campaign_id is missing", "impressions is missing"],
+        "e4": ["revenue_usd is negative"],
+    }
+    _, strict = quality.split_valid(df, domains=True)
+    assert by_id(strict, "reasons")["e5"] == ["channel is unknown"]
+
+
+def test_benchmark_bands(events):
+    df = parse_date(
+        events(
+            {"impressions": 1000, "clicks": 30, "conversions": 1, "spend_usd": 60.0, "revenue_usd": 180.0},
+            {"impressions": 1000, "clicks": 100, "conversions": 1, "spend_usd": 60.0, "revenue_usd": 180.0},
+        )
+    )
+    row = quality.benchmark_bands(df).first()
+    assert row.row_count == 2
+    assert (row.ctr_in_band, row.cpc_in_band, row.cvr_in_band, row.roas_in_band) == (0.5, 0.5, 0.5, 1.0)
+
+
+@pytest.mark.parametrize("name", ["campaign_id", "channel"])
+def test_inner_joins_drop_missing_keys(events, name):
+    silver = build_silver(events({name: None}, {}))
+    assert build_star(silver)["fact_ad_impressions"].select(F.count("*")).first()[0] == 1
