@@ -7,7 +7,8 @@ it only decides how even the blocks are. A row's block follows from the number o
 found by binary search in the group's sorted cuts.
 
 The stride grows with the table, so about ``MAX_CUTS`` cuts exist at most, whatever the data size. That
-bounds what is broadcast. Groups smaller than a block mostly have no cut and stay whole.
+bounds what is broadcast. A table that is itself no larger than a block needs no cuts, and its callers use
+plain windows.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -18,45 +19,51 @@ MAX_CUTS = 65_536
 _SEARCH_STEPS = 20  # enough for arrays of 2**20 entries
 
 
+def stride_for(rows: int, block_rows=BLOCK_ROWS) -> int:
+    """One row in this many becomes a cut."""
+    return max(block_rows, rows // MAX_CUTS)
+
+
 def text_key(text) -> Column:
     """A non-null stand-in for a string that keeps NULL apart from every real value."""
     return F.coalesce(F.concat(F.lit("="), F.col(text)), F.lit(""))
 
 
-def count_up_to(cuts: Column, value: Column) -> Column:
-    """How many entries of a sorted array are at most ``value``, by binary search."""
-
-    def halve(span, _):
-        middle = F.shiftright(span["low"] + span["high"], 1)
-        return (
-            F.when(span["low"] >= span["high"], span)
-            .when(F.get(cuts, middle) <= value, _span(middle + 1, span["high"]))
-            .otherwise(_span(span["low"], middle))
-        )
-
-    steps = F.array(*[F.lit(i) for i in range(_SEARCH_STEPS)])
-    return F.aggregate(steps, _span(F.lit(0), F.size(cuts)), halve, lambda span: span["low"])
+def count_up_to(cuts: str, value: str) -> Column:
+    """How many entries of a sorted array column are at most ``value``, by binary search."""
+    middle = "shiftright(span.low + span.high, 1)"
+    return F.expr(
+        f"""
+        aggregate(
+          sequence(1, {_SEARCH_STEPS}),
+          named_struct('low', 0, 'high', size({cuts})),
+          (span, step) -> CASE
+            WHEN span.low >= span.high THEN span
+            WHEN get({cuts}, {middle}) <= {value}
+              THEN named_struct('low', {middle} + 1, 'high', span.high)
+            ELSE named_struct('low', span.low, 'high', {middle}) END,
+          span -> span.low)
+        """
+    )
 
 
-def cut_points(df: DataFrame, group, order, row_id="event_id", block_rows=BLOCK_ROWS) -> DataFrame:
+def cut_points(df: DataFrame, group, order, stride, row_id="event_id") -> DataFrame:
     """One row per group that has cuts: the group columns and the sorted array ``_cuts``."""
-    rows = df.agg(F.count(F.lit(1)).alias("rows")).scalar()
-    stride = F.greatest(F.lit(block_rows).cast("long"), F.floor(rows / MAX_CUTS))
-    chosen = df.where(F.pmod(F.xxhash64(*group, row_id), stride) == 0)
+    chosen = df.where(F.pmod(F.xxhash64(*group, row_id), F.lit(stride)) == 0)
     return chosen.groupBy(*group).agg(F.sort_array(F.collect_set(order)).alias("_cuts"))
 
 
-def with_blocks(df: DataFrame, group, order, row_id="event_id", block_rows=BLOCK_ROWS) -> DataFrame:
+def with_blocks(df: DataFrame, group, order, stride, row_id="event_id") -> DataFrame:
     """Adds ``_block`` (in ascending order of ``order``) and ``_split`` (whether the group was cut).
 
     Rows at a cut get a block of their own, with an odd number. A value that many rows share is almost
     surely a cut, so its block holds equal values only. In a cut group NULL has block -1. The group
     columns must not hold NULL.
     """
-    cuts = cut_points(df, group, order, row_id, block_rows)
+    cuts = cut_points(df, group, order, stride, row_id)
     marked = df.join(F.broadcast(cuts), list(group), "left").withColumn(
         "_up_to",
-        F.when(F.col("_cuts").isNotNull(), count_up_to(F.col("_cuts"), F.col(order))),
+        F.when(F.col("_cuts").isNotNull(), count_up_to("_cuts", order)),
     )
     at_cut = F.get("_cuts", F.col("_up_to") - 1) == F.col(order)
     return marked.select(
@@ -73,7 +80,3 @@ def with_blocks(df: DataFrame, group, order, row_id="event_id", block_rows=BLOCK
 def equal_values(block="_block") -> Column:
     """Whether the block holds a single value of ``order``."""
     return F.col(block) % 2 != 0
-
-
-def _span(low: Column, high: Column) -> Column:
-    return F.struct(low.alias("low"), high.alias("high"))

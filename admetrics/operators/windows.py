@@ -1,8 +1,10 @@
 """Rolling, running and ranking columns of Silver.
 
-Each has two forms with equal results. ``*_direct`` is a plain window per campaign or per channel and
-week: few groups, each in one task. The other form first reduces to days, blocks or distinct values, so
-that one campaign, day or channel with a third of all rows still spreads over the cluster.
+Each has two forms with equal results. The plain form is a window per campaign, or per channel and week:
+few groups, each in one task. It serves tables of up to ``block_rows`` rows. The other first reduces to days
+or cuts the groups into blocks, so that one campaign, day or channel with a third of all rows still spreads
+over the cluster. Operators that choose between them take the row count, or count the rows themselves;
+on a stored table that reads file footers only.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from admetrics.functions.calendar import day_ordinal, iso_year
 from admetrics.functions.exact import as_double, exact_mean, exact_sum, exact_total, odd_sum
-from admetrics.operators.blocks import BLOCK_ROWS, equal_values, text_key, with_blocks
+from admetrics.operators.blocks import BLOCK_ROWS, equal_values, stride_for, text_key, with_blocks
 
 ROLLING = {
     "impressions": "rolling_7d_impressions",
@@ -80,27 +82,40 @@ def rolling_7d(df: DataFrame, days=7) -> DataFrame:
     return _keyed(df).join(per_day, ["_campaign", "_day"], "left").drop("_campaign", "_day")
 
 
-def rolling_avg_direct(df: DataFrame, name, days=7) -> Column:
-    """One rolling average as a plain window; ``df`` must come from ``with_window_keys``."""
-    frame = _days(days)
-    if dict(df.dtypes)[name] == "double":
-        return exact_mean(F.col(name), digits=6, window=frame)
-    return F.sum(name).over(frame) / F.nullif(F.count(name).over(frame), F.lit(0))
+def campaign_windows(df: DataFrame, rows=None, block_rows=BLOCK_ROWS) -> DataFrame:
+    """Adds the rolling averages and ``running_total_spend``; ties within a day follow ``event_id``."""
+    rows = df.count() if rows is None else rows
+    if rows <= block_rows:
+        return _campaign_windows_plain(df)
+    return _campaign_windows_in_blocks(df, stride_for(rows, block_rows))
 
 
-def with_window_keys(df: DataFrame) -> DataFrame:
-    return _keyed(df)
+def _campaign_windows_plain(df: DataFrame) -> DataFrame:
+    spend = F.col("spend_usd")
+    so_far = (
+        Window.partitionBy("_campaign")
+        .orderBy("_day", "event_id")
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    # The finer order first: the rolling frames then need no sort of their own.
+    running = _keyed(df).withColumn("running_total_spend", exact_sum(spend, window=so_far))
+    frame = _days(7)
+    rolling = {
+        ROLLING[c]: F.sum(c).over(frame) / F.nullif(F.count(c).over(frame), F.lit(0)) for c in _COUNTS
+    }
+    rolling[ROLLING["spend_usd"]] = exact_mean(spend, digits=6, window=frame)
+    return running.withColumns(rolling).select(*df.columns, *ROLLING.values(), "running_total_spend")
 
 
-def campaign_windows(df: DataFrame, block_rows=BLOCK_ROWS) -> DataFrame:
-    """Adds the rolling averages and ``running_total_spend`` with one shuffle of the event rows.
+def _campaign_windows_in_blocks(df: DataFrame, stride) -> DataFrame:
+    """One shuffle of the event rows.
 
     The running total of a row is the spend of earlier days, plus earlier blocks of its day, plus the
-    rows up to it in its own block. Ties within a day are ordered by ``event_id``.
+    rows up to it in its own block.
     """
     group = ["_campaign", "_day"]
     keyed = _keyed(df)
-    blocked = with_blocks(keyed, group, "event_id", block_rows=block_rows)
+    blocked = with_blocks(keyed, group, "event_id", stride)
     spend = F.col("spend_usd")
 
     # Only days that were cut appear here: a few rows per cut.
@@ -144,32 +159,35 @@ def campaign_windows(df: DataFrame, block_rows=BLOCK_ROWS) -> DataFrame:
     )
 
 
-def running_sum(df: DataFrame, block_rows=BLOCK_ROWS) -> DataFrame:
-    return campaign_windows(df, block_rows).drop(*ROLLING.values())
-
+def running_sum(df: DataFrame, rows=None, block_rows=BLOCK_ROWS) -> DataFrame:
+    return campaign_windows(df, rows, block_rows).drop(*ROLLING.values())
 
-def running_sum_direct(name="spend_usd", tie="event_id") -> Column:
-    rows = (
-        Window.partitionBy("_campaign")
-        .orderBy("_day", tie)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return exact_sum(F.col(name), window=rows)
 
-
-def roas_rank(df: DataFrame, iso_year_groups=False, block_rows=BLOCK_ROWS) -> DataFrame:
+def roas_rank(df: DataFrame, iso_year_groups=False, rows=None, block_rows=BLOCK_ROWS) -> DataFrame:
     """Adds ``roas_rank_in_channel``: rank by roas, best first, within channel and ISO week.
 
-    A row's rank is its rank within its block, plus the rows in better blocks. A value shared by very
-    many rows (zero, say) has a block of its own, in which every rank is 1, so those rows may be dealt
-    over many window partitions. Without ``iso_year_groups`` equal weeks of different years share a
-    group.
+    Without ``iso_year_groups`` equal weeks of different years share a group.
     """
     keys = {"_channel": text_key("channel"), "_week": F.coalesce(F.weekofyear("date"), F.lit(0))}
     if iso_year_groups:
         keys["_year"] = F.coalesce(iso_year("date"), F.lit(0))
-    group = list(keys)
-    blocked = with_blocks(df.withColumns(keys), group, "roas", block_rows=block_rows)
+    group, keyed = list(keys), df.withColumns(keys)
+    rows = df.count() if rows is None else rows
+    if rows > block_rows:
+        ranked = _roas_rank_in_blocks(keyed, group, stride_for(rows, block_rows))
+    else:
+        rank = F.rank().over(Window.partitionBy(*group).orderBy(F.desc("roas"))).cast("long")
+        ranked = keyed.withColumn("roas_rank_in_channel", rank)
+    return ranked.select(*df.columns, "roas_rank_in_channel")
+
+
+def _roas_rank_in_blocks(keyed: DataFrame, group, stride) -> DataFrame:
+    """A row's rank is its rank within its block, plus the rows in better blocks.
+
+    A value shared by very many rows (zero, say) has a block of its own, in which every rank is 1, so
+    those rows may be dealt over many window partitions.
+    """
+    blocked = with_blocks(keyed, group, "roas", stride)
 
     # Only groups that were cut appear here: a few rows per cut.
     better = (
@@ -188,17 +206,10 @@ def roas_rank(df: DataFrame, iso_year_groups=False, block_rows=BLOCK_ROWS) -> Da
     return (
         blocked.join(F.broadcast(offsets), [*group, "_block"], "left")
         .withColumn("_share", share)
-        .select(*df.columns, (here + F.coalesce("_above", F.lit(0))).alias("roas_rank_in_channel"))
+        .withColumn("roas_rank_in_channel", here + F.coalesce("_above", F.lit(0)))
     )
 
 
-def roas_rank_direct(iso_year_groups=False) -> Column:
-    group = [F.col("channel"), F.weekofyear("date")]
-    if iso_year_groups:
-        group.append(iso_year("date"))
-    return F.rank().over(Window.partitionBy(*group).orderBy(F.desc("roas"))).cast("long")
-
-
 def rolling_rows(daily: DataFrame, n=7) -> DataFrame:
     """Mean of the last ``n`` daily spends of a campaign by row; NULL until ``n`` rows exist."""
     rows = Window.partitionBy("campaign_id").orderBy("date").rowsBetween(1 - n, 0)

@@ -9,30 +9,16 @@ from admetrics.operators.blocks import BLOCK_ROWS
 from admetrics.schemas import SILVER
 
 
-def build_silver(raw: DataFrame, block_rows=BLOCK_ROWS) -> DataFrame:
+def build_silver(raw: DataFrame, rows=None, block_rows=BLOCK_ROWS) -> DataFrame:
     """Ratios, rolling averages, running total and rank on every raw row.
 
-    The raw frame is read several times (day totals, distinct values, rows), each time with few columns,
-    so it should be a stored table. Event rows are shuffled twice: by channel, week and value for the
-    rank, and by campaign, day and block for the rest.
+    Event rows are shuffled twice: by channel, week and block for the rank, and by campaign, day and block
+    for the rest. A table of more than ``block_rows`` rows is read several times, each time with few columns,
+    so it should be stored.
     """
-    rows = with_metrics(parse_date(raw))
-    ranked = windows.roas_rank(rows, block_rows=block_rows)
-    return windows.campaign_windows(ranked, block_rows).select(*SILVER.names)
-
-
-def build_silver_direct(raw: DataFrame) -> DataFrame:
-    """The same columns from plain windows per campaign and per channel and week.
-
-    For data small enough that one campaign fits a task.
-    """
-    rows = windows.with_window_keys(with_metrics(parse_date(raw)))
-    # The finer order first: the rolling frames then need no sort of their own.
-    running = rows.withColumn("running_total_spend", windows.running_sum_direct())
-    rolling = running.withColumns(
-        {new: windows.rolling_avg_direct(running, name) for name, new in windows.ROLLING.items()}
-    )
-    return rolling.withColumn("roas_rank_in_channel", windows.roas_rank_direct()).select(*SILVER.names)
+    rows = raw.count() if rows is None else rows
+    ranked = windows.roas_rank(with_metrics(parse_date(raw)), rows=rows, block_rows=block_rows)
+    return windows.campaign_windows(ranked, rows, block_rows).select(*SILVER.names)
 
 
 def build_dims(silver: DataFrame, latest=False) -> dict:

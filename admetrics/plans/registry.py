@@ -191,6 +191,12 @@ def silver_(spark, sf_dir):
     return build_silver(bronze(spark, sf_dir))
 
 
+@query
+def silver_in_blocks(spark, sf_dir):
+    """The same with blocks so small that many groups are cut, as they are on large tables."""
+    return build_silver(bronze(spark, sf_dir), block_rows=20)
+
+
 # Star schema
 
 

@@ -30,8 +30,9 @@ def with_z_order(df: DataFrame, columns) -> DataFrame:
     steps = 2**BITS
     fractions = [i / steps for i in range(1, steps)]
     quantiles = df.approxQuantile(columns, fractions, 0.25 / steps)
-    ranks = [count_up_to(F.lit(marks), F.col(c).cast("double")) for c, marks in zip(columns, quantiles)]
-    return df.withColumn("_z", z_value(ranks))
+    marked = df.withColumns({f"_marks_{c}": F.lit(marks) for c, marks in zip(columns, quantiles)})
+    ranks = [count_up_to(f"_marks_{c}", f"CAST({c} AS DOUBLE)") for c in columns]
+    return marked.withColumn("_z", z_value(ranks)).select(*df.columns, "_z")
 
 
 def clustered(df: DataFrame, columns, n_files, spread_by=None) -> DataFrame:

@@ -248,6 +248,7 @@ ORACLES = {
       SELECT event_id, CAST(RANK() OVER (PARTITION BY channel, isoyear(date), week(date)
         ORDER BY roas DESC) AS BIGINT) AS roas_rank_in_channel FROM m"""),
     "silver": _s("SELECT * FROM s"),
+    "silver_in_blocks": _s("SELECT * FROM s"),
     "dim_campaign": _dims("SELECT * FROM dca"),
     "dim_channel": _dims("SELECT * FROM dch"),
     "dim_date": _dims("SELECT * FROM dda"),
