@@ -1,7 +1,7 @@
 """The registered queries over the test data.
 
-Layers are stored once per session and folder: Bronze from ``lineitem``, Silver from Bronze, Gold from
-Silver. Each query reads the layer it belongs to, as the jobs do.
+Layers are stored once per session and folder: Bronze from ``lineitem``, Silver from Bronze, the star schema
+and the two marts from Silver. Each query reads the layer it belongs to, as the jobs do.
 """
 
 from functools import wraps
@@ -51,6 +51,20 @@ def star(spark, sf_dir) -> dict:
     return _once(spark, sf_dir, "star", make)
 
 
+def daily_mart(spark, sf_dir) -> DataFrame:
+    def make():
+        return materialize(marts.campaign_daily(silver(spark, sf_dir)), "campaign-daily")
+
+    return _once(spark, sf_dir, "campaign_daily", make)
+
+
+def weekly_mart(spark, sf_dir) -> DataFrame:
+    def make():
+        return materialize(marts.channel_weekly(silver(spark, sf_dir)), "channel-weekly")
+
+    return _once(spark, sf_dir, "channel_weekly", make)
+
+
 def metrics(spark, sf_dir) -> DataFrame:
     return with_metrics(bronze(spark, sf_dir))
 
@@ -100,7 +114,7 @@ def query(fn):
 def daily_query(fn):
     @wraps(fn)
     def run(spark, sf_dir):
-        return fn(marts.campaign_daily(silver(spark, sf_dir)))
+        return fn(daily_mart(spark, sf_dir))
 
     return query(run)
 
@@ -108,7 +122,7 @@ def daily_query(fn):
 def weekly_query(fn):
     @wraps(fn)
     def run(spark, sf_dir):
-        return fn(marts.channel_weekly(silver(spark, sf_dir)))
+        return fn(weekly_mart(spark, sf_dir))
 
     return query(run)
 
@@ -267,7 +281,7 @@ def roas_by_campaign_name(daily):
 
 @query
 def monthly_roas(spark, sf_dir):
-    daily = marts.campaign_daily(silver(spark, sf_dir))
+    daily = daily_mart(spark, sf_dir)
     return marts.monthly_roas(daily, star(spark, sf_dir)["dim_campaign"])
 
 
@@ -405,8 +419,7 @@ def json_roundtrip(spark, sf_dir):
 @query
 def csv_roundtrip(spark, sf_dir):
     folder = new_path(spark, "csv")
-    daily = marts.campaign_daily(silver(spark, sf_dir))
-    path = writers.export_csv(daily, folder, "campaign_daily_summary")
+    path = writers.export_csv(daily_mart(spark, sf_dir), folder, "campaign_daily_summary")
     return readers.read_mart_csv(spark, path, schemas.CAMPAIGN_DAILY)
 
 

@@ -11,8 +11,8 @@ from admetrics.schemas import RAW
 
 def ad_events(spark: SparkSession, sf_dir) -> DataFrame:
     """Raw events with ``date`` as a date."""
-    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
-    discount = F.round(F.col("l_discount") * 100).cast("long")
+    cents = F.floor(F.col("l_extendedprice") * 100 + 0.5)
+    discount = F.floor(F.col("l_discount") * 100 + 0.5)
     clicks = F.col("l_quantity").cast("long") - 1
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
         (F.col("l_suppkey") % 20).alias("campaign"),
