@@ -24,4 +24,4 @@ def test_every_query_has_an_oracle():
 def test_entry(spark):
     report = entry(spark)
     assert report.columns[:2] == ["campaign_name", "channel_name"]
-    assert report.count() == 20
+    assert report.count() == 40
