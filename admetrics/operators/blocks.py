@@ -1,10 +1,10 @@
 """Cutting huge ordered groups into blocks, so that no window partition holds a whole group.
 
 A running total or a rank needs its group in order, and a plain window puts each group into one task.
-Here a group is cut at some of its own rows: those whose hash divides evenly by a stride. The choice
-depends on the row alone, so a recomputed task makes it again. Any choice of cuts gives exact results;
-it only decides how even the blocks are. A row's block follows from the number of cuts up to its place,
-found by binary search in the group's sorted cuts.
+Here a group is cut at some of its own rows. Candidates are the rows whose hash divides evenly by an eighth
+of the stride; sorted, every eighth of them is a cut, which keeps the blocks even. The choice depends on
+the rows alone, so a recomputed task makes it again. Any choice of cuts gives exact results. A row's block
+follows from the number of cuts up to its place, found by binary search in the group's sorted cuts.
 
 The stride grows with the table, so about ``MAX_CUTS`` cuts exist at most, whatever the data size. That
 bounds what is broadcast. A table that is itself no larger than a block needs no cuts, and its callers use
@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 
 BLOCK_ROWS = 1_000_000
 MAX_CUTS = 65_536
+_PER_CUT = 8  # candidates
 _SEARCH_STEPS = 20  # enough for arrays of 2**20 entries
 
 
 def stride_for(rows: int, block_rows=BLOCK_ROWS) -> int:
-    """One row in this many becomes a cut."""
+    """About one row in this many becomes a cut."""
     return max(block_rows, rows // MAX_CUTS)
 
 
@@ -48,16 +49,22 @@ def count_up_to(cuts: str, value: str) -> Column:
 
 
 def cut_points(df: DataFrame, group, order, stride, row_id="event_id") -> DataFrame:
-    """One row per group that has cuts: the group columns and the sorted array ``_cuts``."""
-    chosen = df.where(F.pmod(F.xxhash64(*group, row_id), F.lit(stride)) == 0)
-    return chosen.groupBy(*group).agg(F.sort_array(F.collect_set(order)).alias("_cuts"))
+    """One row per group that has cuts: the group columns and the sorted array ``_cuts``.
+
+    A value that fills eight candidates or more holds an eighth place, so it is a cut.
+    """
+    every = F.lit(max(1, stride // _PER_CUT))
+    candidates = df.where(F.pmod(F.xxhash64(*group, row_id), every) == 0)
+    places = F.filter(F.sort_array(F.collect_list(order)), lambda value, i: i % _PER_CUT == _PER_CUT - 1)
+    cuts = candidates.groupBy(*group).agg(F.array_distinct(places).alias("_cuts"))
+    return cuts.where(F.size("_cuts") > 0)
 
 
 def with_blocks(df: DataFrame, group, order, stride, row_id="event_id") -> DataFrame:
     """Adds ``_block`` (in ascending order of ``order``) and ``_split`` (whether the group was cut).
 
-    Rows at a cut get a block of their own, with an odd number. A value that many rows share is almost
-    surely a cut, so its block holds equal values only. In a cut group NULL has block -1. The group
+    Rows at a cut get a block of their own, with an odd number. A value that many rows share is a
+    cut, so its block holds equal values only. In a cut group NULL has block -1. The group
     columns must not hold NULL.
     """
     cuts = cut_points(df, group, order, stride, row_id)
