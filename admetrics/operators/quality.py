@@ -22,8 +22,8 @@ def with_reasons(df: DataFrame, domains=False) -> DataFrame:
     reasons = [F.when(F.col(name).isNull(), f"{name} is missing") for name in RAW.names]
     for name in MEASURES:
         value = F.col(name)
-        wrong = (value < 0) | F.isnan(value.cast("double"))
-        reasons.append(F.when(wrong, f"{name} is negative"))
+        reasons.append(F.when(value < 0, f"{name} is negative"))
+        reasons.append(F.when(F.isnan(value.cast("double")), f"{name} is not a number"))
     unreadable = F.col("date").isNotNull() & F.try_to_date(F.col("date")).isNull()
     reasons.append(F.when(unreadable, "date is unreadable"))
     if domains:

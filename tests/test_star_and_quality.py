@@ -94,7 +94,7 @@ def test_split_valid(events):
         "e1": ["spend_usd is negative"],
         "e2": ["date is unreadable"],
         "e3": ["campaign_id is missing", "impressions is missing"],
-        "e4": ["revenue_usd is negative"],
+        "e4": ["revenue_usd is not a number"],
     }
     _, strict = quality.split_valid(df, domains=True)
     assert by_id(strict, "reasons")["e5"] == ["channel is unknown"]
