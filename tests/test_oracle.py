@@ -1,10 +1,12 @@
-"""Every registered query against DuckDB, value by value."""
+"""Every registered query of the library against DuckDB, value by value."""
 
 import pytest
 from compare import connect, differences
 from conftest import SF_DIR
 
 from __spark_entry__ import entry, oracle_sql, queries
+from admetrics.plans.registry import QUERIES
+from oracles import ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -12,13 +14,18 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_oracle(spark, con, name):
     assert differences(spark, con, SF_DIR, name) == []
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+
+
+def test_queries_are_registered():
+    assert set(QUERIES) <= set(queries())
+    assert set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
