@@ -1,8 +1,13 @@
 """The registered queries of this subpackage, each over its whole table, and their DuckDB counterparts."""
 
-from pyspark.sql import functions as F
+import public_tokenizers
 
-from admetrics.llm import quality_rules, url_filters, warc
+from admetrics.llm import bitpack, bpe, quality_rules, simhash, url_filters, warc
+
+#: The tokenizer of the encoding queries: where its file is, how many ids it has, and the id written after each document.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+VOCABULARY = 50_257
+END_ID = 2
 
 #: Rules of the URL query: fixed values.
 URL_RULES = (
@@ -18,6 +23,19 @@ def _read(spark, sf_dir, table, *columns):
     return spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*columns)
 
 
+def op2_bitpack(spark, sf_dir):
+    return bitpack.read_files(bitpack.write_files(_read(spark, sf_dir, "documents", "doc_id", "text"), TOKENIZER, VOCABULARY, END_ID))
+
+
+def op3_simhash(spark, sf_dir):
+    return simhash.near_duplicates(_read(spark, sf_dir, "documents", "doc_id", "text"), shingle=4, bits=4)
+
+
+def op4_bpe(spark, sf_dir):
+    fields = ("n_tokens", "ids_sha256", "decoded_sha256")
+    return bpe.encode_texts(_read(spark, sf_dir, "documents", "doc_id", "text"), TOKENIZER, fields=fields).select("doc_id", *fields)
+
+
 def op6_warc(spark, sf_dir):
     archives = warc.write_archives(_read(spark, sf_dir, "pages", "page_id", "url", "html"))
     return warc.read_archives(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -36,6 +54,9 @@ def op10_url_filters(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_bitpack": op2_bitpack,
+    "op3_simhash": op3_simhash,
+    "op4_bpe": op4_bpe,
     "op6_warc": op6_warc,
     "op8_quality_rules": op8_quality_rules,
     "op10_url_filters": op10_url_filters,
