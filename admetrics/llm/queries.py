@@ -1,8 +1,9 @@
 """The registered queries of this subpackage, each over its whole table, and their DuckDB counterparts."""
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from admetrics.llm import bitpack, bpe, quality_rules, simhash, url_filters, warc
+from admetrics.llm import bitpack, bpe, langid, quality_rules, simhash, url_filters, warc
 
 #: The tokenizer of the encoding queries: where its file is, how many ids it has, and the id written after each document.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,6 +24,18 @@ def _read(spark, sf_dir, table, *columns):
     return spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*columns)
 
 
+def held_out(doc_id):
+    """A quarter of the documents that no model learns from; an unknown id is neither held out nor learnt from."""
+    return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2
+
+
+def op1_langid(spark, sf_dir):
+    docs = _read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    model = langid.train(docs.where(~held_out(F.col("doc_id"))), TOKENIZER)
+    found = langid.predict(docs.select("doc_id", "text"), model, TOKENIZER)
+    return found.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op2_bitpack(spark, sf_dir):
     return bitpack.read_files(bitpack.write_files(_read(spark, sf_dir, "documents", "doc_id", "text"), TOKENIZER, VOCABULARY, END_ID))
 
@@ -54,6 +67,7 @@ def op10_url_filters(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_langid": op1_langid,
     "op2_bitpack": op2_bitpack,
     "op3_simhash": op3_simhash,
     "op4_bpe": op4_bpe,
