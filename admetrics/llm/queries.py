@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from admetrics.llm import bitpack, bpe, langid, quality_rules, simhash, url_filters, warc
+from admetrics.llm import bitpack, bpe, langid, quality_rules, simhash, tiling, url_filters, warc
 
 #: The tokenizer of the encoding queries: where its file is, how many ids it has, and the id written after each document.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -60,6 +60,12 @@ def op8_quality_rules(spark, sf_dir):
     return judged.select("doc_id", *counts, "base_failed", "kept")
 
 
+def op9_decontamination(spark, sf_dir):
+    """The pairs of a document and a benchmark item that it contains; clean documents have no row."""
+    found = tiling.contaminated(_read(spark, sf_dir, "documents", "doc_id", "text"), _read(spark, sf_dir, "benchmark", "item_id", "text"))
+    return found.select("doc_id", "item_id", "coverage", "n_tiles", "n_covered")
+
+
 def op10_url_filters(spark, sf_dir):
     rules = url_filters.rules_frame(spark, URL_RULES)
     judged = url_filters.judge_urls(_read(spark, sf_dir, "pages", "page_id", "url"), rules)
@@ -73,6 +79,7 @@ QUERIES = {
     "op4_bpe": op4_bpe,
     "op6_warc": op6_warc,
     "op8_quality_rules": op8_quality_rules,
+    "op9_decontamination": op9_decontamination,
     "op10_url_filters": op10_url_filters,
 }
 
