@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from admetrics.llm import bitpack, bpe, langid, quality_rules, simhash, tiling, url_filters, warc
+from admetrics.llm import bitpack, bpe, html_text, langid, quality_rules, simhash, tiling, url_filters, warc
 
 #: The tokenizer of the encoding queries: where its file is, how many ids it has, and the id written after each document.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -54,6 +54,11 @@ def op6_warc(spark, sf_dir):
     return warc.read_archives(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op7_html_text(spark, sf_dir):
+    found = html_text.extract(_read(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op8_quality_rules(spark, sf_dir):
     judged = quality_rules.judge(_read(spark, sf_dir, "documents", "doc_id", "text"))
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -78,6 +83,7 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_bpe": op4_bpe,
     "op6_warc": op6_warc,
+    "op7_html_text": op7_html_text,
     "op8_quality_rules": op8_quality_rules,
     "op9_decontamination": op9_decontamination,
     "op10_url_filters": op10_url_filters,
