@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from admetrics.llm import bitpack, bpe, html_text, langid, quality_rules, simhash, tiling, url_filters, warc
+from admetrics.llm import bitpack, bpe, html_text, langid, lm_scoring, quality_rules, simhash, tiling, url_filters, warc
 
 #: The tokenizer of the encoding queries: where its file is, how many ids it has, and the id written after each document.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -49,6 +49,14 @@ def op4_bpe(spark, sf_dir):
     return bpe.encode_texts(_read(spark, sf_dir, "documents", "doc_id", "text"), TOKENIZER, fields=fields).select("doc_id", *fields)
 
 
+def op5_lm_scoring(spark, sf_dir):
+    """The target are the documents labelled as good, but for those held out."""
+    docs = _read(spark, sf_dir, "documents", "doc_id", "text")
+    good = _read(spark, sf_dir, "labels", "doc_id", "quality").where((F.col("quality") == 1) & ~held_out(F.col("doc_id")))
+    found = lm_scoring.score(docs, lm_scoring.train(docs, good))
+    return found.select("doc_id", "n_tokens", "target_loss", "background_loss", "score")
+
+
 def op6_warc(spark, sf_dir):
     archives = warc.write_archives(_read(spark, sf_dir, "pages", "page_id", "url", "html"))
     return warc.read_archives(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -82,6 +90,7 @@ QUERIES = {
     "op2_bitpack": op2_bitpack,
     "op3_simhash": op3_simhash,
     "op4_bpe": op4_bpe,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_warc": op6_warc,
     "op7_html_text": op7_html_text,
     "op8_quality_rules": op8_quality_rules,
