@@ -18,12 +18,14 @@ a task that runs again writes the same name. Extra columns are not stored. An em
 import io
 import struct
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
+from admetrics.llm.bpe import byte_letters
 from admetrics.llm.chunks import ChunkEncoder, in_calls
 from admetrics.llm.files import reading, writing
 from admetrics.session import materialize, new_path
@@ -153,10 +155,20 @@ def library_encoder(tokenizer_path: str) -> ChunkEncoder:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(tokenizer_path)
+        merge, letters = tokenizer.model.tokenize, {b: c for c, b in byte_letters().items()}
 
         def encode_many(parts):
-            found = tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-            return [np.array(e.ids, "<u4").tobytes() for e in found]
+            # A space and letters are one pre-token, which the library's model takes as it is.
+            whole = [p[:1] == " " and p[1:].isalpha() for p in parts]
+            others = iter(tokenizer.encode_batch_fast([p for p, w in zip(parts, whole) if not w], add_special_tokens=False))
+            out = []
+            for part, is_word in zip(parts, whole):
+                if is_word:
+                    ids = [t.id for t in merge(part.encode().decode("latin-1").translate(letters))]
+                else:
+                    ids = next(others).ids
+                out.append(array("I", ids).tobytes())
+            return out
 
         _ENCODERS[tokenizer_path] = ChunkEncoder(encode_many)
     return _ENCODERS[tokenizer_path]
