@@ -1,0 +1,119 @@
+"""BPE and token-id files against the tokenizers library on whole texts."""
+
+import hashlib
+import io
+import random
+import zlib
+
+import numpy as np
+import pytest
+from admetrics.llm import bitpack, bpe, chunks
+from admetrics.llm.queries import END_ID, TOKENIZER, VOCABULARY
+from llm_fixtures import docs  # noqa: F401
+from tokenizers import Tokenizer
+
+ODD = [
+    "", " ", "a", " a", "a ", "  a  b \n c\t\td\n", " \n x", "x  y", "\x1c z \x1d", "don't we'll 'S it's,", "theaea, theaea. (theaea)",
+    "<|endoftext|>", "a <|endoftext|> b<|endoftext|>c", "a  <|endoftext|>  b", "日本語 テスト　全角", "🙂🙂 é́ a" * 3, "x" * 500,
+    "abc" * 4000 + " " * 300 + "q", "\n" * 100, "a\x00b \x00", "１２３ ⅷ²³ 12 34", "\xa0x \xa0 y", "ends with marks!? :;",
+]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(TOKENIZER)
+
+
+def texts():
+    rng = random.Random(1)
+    return ODD + ["".join(rng.choice(" \n\tab'se1,é　 <|endoftext|>Z.") for _ in range(rng.randint(1, 200))) for _ in range(400)]
+
+
+def test_chunks_join_to_the_text():
+    for text in texts():
+        assert " ".join(chunks.chunks(text)) == text
+
+
+@pytest.mark.parametrize("entries", [0, 50, 10**6])
+def test_encoders_equal_the_library(library, entries):
+    vocabulary = bpe.Vocabulary(TOKENIZER)
+    want = [e.ids for e in library.encode_batch(texts(), add_special_tokens=False)]
+    by_library = chunks.ChunkEncoder(bitpack.library_encoder(TOKENIZER)._encode_many, entries)
+    for encoder in (chunks.ChunkEncoder(bpe.Encoder(vocabulary), entries), by_library):
+        for _ in range(2):
+            got = [i for _, call in chunks.in_calls(texts()) for i in encoder(call)]
+            assert [np.frombuffer(i, "<u4").tolist() for i in got] == want
+    assert [bpe.decode(vocabulary, ids) for ids in want] == [library.decode(ids, skip_special_tokens=False) for ids in want]
+
+
+def test_one_tree_and_many_trees_agree():
+    vocabulary, rng = bpe.Vocabulary(TOKENIZER), random.Random(2)
+    words = [bytes(rng.choice(b"thequickbrownfox ") for _ in range(rng.randint(1, 64))) for _ in range(300)]
+    many = bpe.Encoder(vocabulary).words(words)
+    for word in words:
+        one = bpe.merge_one(vocabulary, vocabulary.byte_ids[list(word)].tolist())
+        assert np.frombuffer(many[word], "<u4").tolist() == one
+
+
+def test_encode_texts(spark, docs, library):  # noqa: F811
+    rows = [(i, t) for i, t in enumerate(ODD)] + [(None, "no id"), (7, "again"), (7, "again"), (9, None)]
+    frame = docs(*rows).selectExpr("doc_id", "text", "'x' AS n_tokens", "1 AS _row", "array(2) AS ids")
+    got = bpe.encode_texts(frame, TOKENIZER, fields=("ids", "n_tokens", "ids_sha256", "decoded_sha256"))
+    assert got.columns == ["doc_id", "text", "_row", "ids", "n_tokens", "ids_sha256", "decoded_sha256"]
+    found = got.collect()
+    assert len(found) == len(rows)
+    for r in found:
+        ids = library.encode(r.text or "", add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        assert (r.ids, r.n_tokens) == (ids, len(ids))
+        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
+    assert bpe.encode_texts(docs().limit(0), TOKENIZER).count() == 0
+
+
+@pytest.mark.parametrize("bits", [1, 3, 7, 8, 13, 16, 17, 24, 31, 32])
+def test_pack_round_trip(bits):
+    rng = np.random.default_rng(bits)
+    for n in (0, 1, 7, 8, 9, 1000):
+        ids = rng.integers(0, 1 << bits, n, dtype=np.uint64).astype(np.uint32)
+        packed = bitpack.pack(ids, bits)
+        assert len(packed) == -(-n * bits // 8)
+        assert (bitpack.unpack(packed, bits, n) == ids).all()
+    if bits < 32:
+        with pytest.raises(ValueError, match="does not fit"):
+            bitpack.pack(np.array([1 << bits], np.uint32), bits)
+    assert bitpack.bits_for(VOCABULARY) == 16 and bitpack.bits_for(65_537) == 17 and bitpack.bits_for(1) == 1
+
+
+def test_reader_gives_any_document():
+    rng, out = np.random.default_rng(0), io.BytesIO()
+    writer = bitpack.Writer(out, 17)
+    sent = [(None if k == 3 else k - 2, rng.integers(0, 1 << 17, n).astype(np.uint32)) for k, n in enumerate([0, 5, 70_000, 1, 2_000_000, 0, 66_000])]
+    for doc_id, ids in sent:
+        writer.add(doc_id, ids)
+    writer.close()
+    reader = bitpack.Reader(io.BytesIO(out.getvalue()))
+    for k in (6, 0, 4, 2, 3, 1, 5):
+        assert (reader.document(k) == sent[k][1]).all()
+    for (doc_id, ids), (got_id, start, got) in zip(sent, reader.documents(at_once=1000)):
+        assert doc_id == got_id and (ids == got).all()
+    damaged = bytearray(out.getvalue())
+    damaged[-40] ^= 1
+    with pytest.raises(ValueError, match="damaged"):
+        bitpack.Reader(io.BytesIO(bytes(damaged)))
+
+
+def test_files_hold_all_documents_in_order(spark, docs, library, conf):  # noqa: F811
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    rows = [(50 - i, t) for i, t in enumerate(ODD)] + [(None, "no id"), (7, "again"), (7, "again"), (100, None)]
+    files = bitpack.write_files(docs(*rows).repartition(3), TOKENIZER, VOCABULARY, END_ID)
+    assert files.count() > 1
+    got = sorted(map(tuple, bitpack.read_files(files).collect()), key=lambda r: r[1])
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode()))
+    start, want = 0, []
+    for doc_id, text in ordered:
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, END_ID]
+        want.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert got == want
+    assert bitpack.read_files(bitpack.write_files(docs().limit(0), TOKENIZER, VOCABULARY, END_ID)).count() == 0
