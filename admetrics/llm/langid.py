@@ -11,7 +11,7 @@ sample: per language, about `sample_docs` documents with the smallest hashes of
 nothing but the text.
 
 Defined cases: a text that is null or has no letter is `und` with score 0. The score is the posterior of the predicted language
-under equal priors, taken at the evidence of at most `EVIDENCE` bytes so that it stays below one on long texts;
+under equal priors; a text of more than `EVIDENCE` bytes of letters is taken as so many bytes of its mean evidence;
 ties go to the first language by name. Training rows with a null text or language are left out. With no training rows every text is
 `und`. Repeated rows and extra columns change nothing. More than `MAX_LANGUAGES` languages raise an error: labels are a closed set.
 """

@@ -76,7 +76,7 @@ def test_odd_texts_and_labels(spark, docs):  # noqa: F811
     found = langid.predict(frame, model, TOKENIZER).collect()
     assert [(r.lang_pred, r.score) for r in found if r.doc_id < 3] == [("und", 0.0)] * 4
     by_id = {r.doc_id: r for r in found}
-    assert by_id[3].lang_pred == "en" and by_id[4].lang_pred == "de" and by_id[4].score < 1
+    assert by_id[3].lang_pred == "en" and by_id[4].lang_pred == "de" and by_id[4].score > 0.99
     assert all(0 <= r.score <= 1 for r in found)
     empty = langid.train(frame.limit(0).selectExpr("doc_id", "text", "'x' AS lang"), TOKENIZER)
     assert {r.lang_pred for r in langid.predict(frame, empty, TOKENIZER).collect()} == {"und"}
