@@ -1,4 +1,4 @@
-"""Labels and scaling: channel types, tiers, marker sizes, zero fill."""
+"""Labels and scaling: channel types, tiers, marker sizes."""
 
 from itertools import chain
 
@@ -36,6 +36,3 @@ def scale_to_max(x, mul=600.0, add=80.0) -> Column:
     x = F.col(x) if isinstance(x, str) else x
     return x / F.nullif(F.max(x).over(Window.partitionBy()), F.lit(0)) * mul + add
 
-
-def zero_fill(df: DataFrame, columns) -> DataFrame:
-    return df.na.fill(0, subset=list(columns))

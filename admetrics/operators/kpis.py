@@ -1,6 +1,6 @@
 """KPI measures in any grouping context."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from admetrics.functions.calendar import day_ordinal, month_ordinal, month_start
@@ -34,37 +34,49 @@ def kpis(fact: DataFrame, by=()) -> DataFrame:
     )
 
 
-def kpi_mom(fact: DataFrame, by=(), date="full_date") -> DataFrame:
-    """Spend per month and its change from the calendar month before.
+def kpi_mom(fact: DataFrame, by=(), date="full_date", calendar=None) -> DataFrame:
+    """Spend per month and its change from the calendar month before, per group.
 
-    NULL where that month is absent or spent nothing. The month before is looked up by a range of one
-    month number, so a gap stays a gap and the monthly frame is read once.
+    A row exists for each month of the calendar (by default: of any group's rows) in which the group or the
+    month before it spent something, so a silent month after a month with spend shows -1. The change is NULL where the month before is
+    absent or spent nothing. A month's total is passed on to the month after it: no grid of all groups and months is built.
     """
     monthly = (
-        fact.withColumns({"month": month_start(date), "_month": month_ordinal(date)})
-        .groupBy(*by, "month", "_month")
-        .agg(exact_sum(F.col("spend_usd")).alias("total_spend"))
+        fact.withColumn("_month", month_ordinal(date))
+        .groupBy(*by, "_month")
+        .agg(exact_sum(F.col("spend_usd")).alias("spend"))
     )
-    # One row per month (and group): a calendar's worth of rows even without ``by``.
-    previous = Window.partitionBy(*by).orderBy("_month").rangeBetween(-1, -1)
-    change = F.col("total_spend") - F.col("previous_spend")
+    nothing = F.lit(None).cast("double")
+    own = monthly.select(*by, "_month", F.col("spend").alias("total_spend"), nothing.alias("previous_spend"))
+    after = monthly.select(*by, (F.col("_month") + 1).alias("_month"), nothing.alias("total_spend"), F.col("spend").alias("previous_spend"))
+    days = fact if calendar is None else calendar
+    months = days.select(month_ordinal(date).alias("_month"), month_start(date).alias("month")).distinct()
+    spent = F.coalesce("total_spend", F.lit(0.0)) - F.col("previous_spend")
     return (
-        monthly.withColumn("previous_spend", F.first("total_spend").over(previous))
-        .withColumn("spend_mom", change / F.nullif(F.col("previous_spend"), F.lit(0.0)))
-        .drop("_month")
+        own.union(after)
+        .groupBy(*by, "_month")
+        .agg(F.max("total_spend").alias("total_spend"), F.max("previous_spend").alias("previous_spend"))
+        .join(months, "_month")
+        .select(*by, "month", "total_spend", "previous_spend", (spent / F.nullif(F.col("previous_spend"), F.lit(0.0))).alias("spend_mom"))
     )
 
 
-def kpi_7d(fact: DataFrame, by=(), date="full_date", days=7) -> DataFrame:
-    """Mean of the daily impression totals of the last 7 days; days without data do not count."""
-    daily = (
-        fact.groupBy(*by, date)
-        .agg(F.sum("impressions").alias("total_impressions"))
-        .withColumn("_day", day_ordinal(date))
-    )
-    # One row per day (and group): a calendar's worth of rows even without ``by``.
-    week = Window.partitionBy(*by).orderBy("_day").rangeBetween(1 - days, 0)
-    mean = F.sum("total_impressions").over(week) / F.nullif(
-        F.count("total_impressions").over(week), F.lit(0)
+def kpi_7d(fact: DataFrame, by=(), date="full_date", days=7, calendar=None) -> DataFrame:
+    """Mean of a group's daily impression totals of the last 7 days; days without data do not count.
+
+    A row exists for each day of the calendar (by default: of any group's rows) with data of the group in its 7 days. A
+    day's total is passed on to the 6 days after it.
+    """
+    daily = fact.groupBy(*by, day_ordinal(date).alias("_from")).agg(F.sum("impressions").alias("total"))
+    later = F.explode(F.sequence(F.lit(0), F.lit(days - 1)))
+    passed = daily.select(*by, "_from", "total", later.alias("_later")).withColumn("_day", F.col("_from") + F.col("_later"))
+    dates = (fact if calendar is None else calendar).select(day_ordinal(date).alias("_day"), F.col(date)).distinct()
+    return (
+        passed.groupBy(*by, "_day")
+        .agg(
+            F.max(F.when(F.col("_later") == 0, F.col("total"))).alias("total_impressions"),
+            (F.sum("total") / F.nullif(F.count("total"), F.lit(0))).alias("impressions_7d_avg"),
+        )
+        .join(dates, "_day")
+        .select(*by, date, "total_impressions", "impressions_7d_avg")
     )
-    return daily.withColumn("impressions_7d_avg", mean).drop("_day")

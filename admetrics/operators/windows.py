@@ -1,18 +1,23 @@
 """Rolling, running and ranking columns of Silver.
 
-Each has two forms with equal results. The plain form is a window per campaign, or per channel and week:
-few groups, each in one task. It serves tables of up to ``block_rows`` rows. The other first reduces to days
-or cuts the groups into blocks, so that one campaign, day or channel with a third of all rows still spreads
-over the cluster. Operators that choose between them take the row count, or count the rows themselves;
-on a stored table that reads file footers only.
+A window per campaign, or per channel and week, would put each of these few groups into one task. So the rolling averages come from day
+totals, and the running total and the rank from ranges of the sorted rows (`ranges.py`): there is one form for all sizes, and one campaign, day
+or channel with a third of all rows spreads over the cluster.
 """
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from admetrics.functions.calendar import day_ordinal, iso_year
-from admetrics.functions.exact import as_double, exact_mean, exact_sum, exact_total, odd_sum
-from admetrics.operators.blocks import BLOCK_ROWS, equal_values, stride_for, text_key, with_blocks
+from admetrics.functions.exact import (
+    PARTS,
+    add_parts,
+    as_double,
+    exact_mean,
+    sum_parts,
+    total_parts,
+)
+from admetrics.operators.ranges import RANGE_ROWS, ROW, in_ranges, numbered, text_key
 
 ROLLING = {
     "impressions": "rolling_7d_impressions",
@@ -20,7 +25,14 @@ ROLLING = {
     "spend_usd": "rolling_7d_spend",
 }
 _COUNTS = ["impressions", "clicks"]
-_SHARES = 65_536
+
+
+def _named(parts, prefix):
+    return [value.alias(f"{prefix}_{name}") for name, value in parts.items()]
+
+
+def _stored(prefix):
+    return {name: F.col(f"{prefix}_{name}") for name in PARTS}
 
 
 def _days(n):
@@ -31,183 +43,121 @@ def _keyed(df: DataFrame) -> DataFrame:
     return df.withColumns({"_campaign": text_key("campaign_id"), "_day": day_ordinal("date")})
 
 
-def _add(*terms: Column) -> Column:
-    """Sum of the terms that are not NULL; NULL if none is."""
-    total = terms[0]
-    for term in terms[1:]:
-        total = F.coalesce(total + term, total, term)
-    return total
-
-
 def campaign_days(df: DataFrame, days=7) -> DataFrame:
-    """Per campaign and day: the rolling averages over event rows, and the spend of all earlier days.
+    """Per campaign and day: the rolling averages over event rows.
 
     A RANGE frame takes in every row of its days, so day totals give the same averages as the rows do.
     The frame grows with campaigns x days, not with events.
     """
-    spend = F.col("spend_usd")
     totals = (
         _keyed(df)
-        .groupBy("_campaign", "_day")
+        .groupBy("campaign_id", "_campaign", "_day")
         .agg(
             *[F.sum(c).alias(f"_{c}") for c in _COUNTS],
             *[F.count(c).alias(f"_n_{c}") for c in ROLLING],
-            exact_total(spend).alias("_spend"),
-            odd_sum(spend).alias("_odd"),
+            *_named(total_parts(F.col("spend_usd")), "_spend"),
         )
     )
     frame = _days(days)
-    before = Window.partitionBy("_campaign").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-
-    def over_days(name):
-        return F.sum(name).over(frame)
 
     def average(total, name):
-        return total / F.nullif(over_days(f"_n_{name}"), F.lit(0))
+        return total / F.nullif(F.sum(f"_n_{name}").over(frame), F.lit(0))
 
-    spend_7d = as_double(over_days("_spend"), over_days("_odd"))
+    spend = as_double(sum_parts(_stored("_spend"), frame))
     return totals.select(
+        "campaign_id",
         "_campaign",
         "_day",
-        *[average(over_days(f"_{c}"), c).alias(ROLLING[c]) for c in _COUNTS],
-        average(spend_7d, "spend_usd").alias(ROLLING["spend_usd"]),
-        F.sum("_spend").over(before).alias("_spend_before"),
-        F.sum("_odd").over(before).alias("_odd_before"),
+        *[average(F.sum(f"_{c}").over(frame), c).alias(ROLLING[c]) for c in _COUNTS],
+        average(spend, "spend_usd").alias(ROLLING["spend_usd"]),
     )
 
 
-def rolling_7d(df: DataFrame, days=7) -> DataFrame:
-    """Adds the rolling averages over the last 7 days, from day totals."""
-    per_day = campaign_days(df, days).drop("_spend_before", "_odd_before")
-    return _keyed(df).join(per_day, ["_campaign", "_day"], "left").drop("_campaign", "_day")
+#: Stands for a missing date in joins; earlier than any date.
+_NO_DAY = -(2**31)
 
 
-def campaign_windows(df: DataFrame, rows=None, block_rows=BLOCK_ROWS) -> DataFrame:
-    """Adds the rolling averages and ``running_total_spend``; ties within a day follow ``event_id``."""
-    rows = df.count() if rows is None else rows
-    if rows <= block_rows:
-        return _campaign_windows_plain(df)
-    return _campaign_windows_in_blocks(df, stride_for(rows, block_rows))
+def join_days(df: DataFrame, per_day: DataFrame) -> DataFrame:
+    """Adds the rolling averages of its campaign and day to every row.
 
+    The join comes last, so adaptive execution may split a campaign and day with very many rows.
+    """
+    day = F.coalesce("_day", F.lit(_NO_DAY))
+    averages = per_day.drop("campaign_id").withColumn("_day", day)
+    joined = _keyed(df).withColumn("_day", day).join(averages, ["_campaign", "_day"], "left")
+    return joined.select(*df.columns, *ROLLING.values())
 
-def _campaign_windows_plain(df: DataFrame) -> DataFrame:
-    spend = F.col("spend_usd")
-    so_far = (
-        Window.partitionBy("_campaign")
-        .orderBy("_day", "event_id")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    # The finer order first: the rolling frames then need no sort of their own.
-    running = _keyed(df).withColumn("running_total_spend", exact_sum(spend, window=so_far))
-    frame = _days(7)
-    rolling = {
-        ROLLING[c]: F.sum(c).over(frame) / F.nullif(F.count(c).over(frame), F.lit(0)) for c in _COUNTS
-    }
-    rolling[ROLLING["spend_usd"]] = exact_mean(spend, digits=6, window=frame)
-    return running.withColumns(rolling).select(*df.columns, *ROLLING.values(), "running_total_spend")
+
+def rolling_7d(df: DataFrame, days=7) -> DataFrame:
+    """Adds the rolling averages over the last 7 days, from day totals."""
+    return join_days(df, campaign_days(df, days))
 
 
-def _campaign_windows_in_blocks(df: DataFrame, stride) -> DataFrame:
-    """One shuffle of the event rows.
+def running_sum(df: DataFrame, rows=None, range_rows=RANGE_ROWS) -> DataFrame:
+    """Adds ``running_total_spend`` of each campaign by day; ties within a day follow ``event_id``, then the row's content.
 
-    The running total of a row is the spend of earlier days, plus earlier blocks of its day, plus the
-    rows up to it in its own block.
+    The running total of a row is that of its range so far, plus its campaign's spend in earlier ranges.
     """
-    group = ["_campaign", "_day"]
-    keyed = _keyed(df)
-    blocked = with_blocks(keyed, group, "event_id", stride)
+    rows = df.count() if rows is None else rows
+    keyed = _keyed(numbered(df))
+    ranged = in_ranges(keyed, ["_campaign"], ["_day", "event_id"], rows, range_rows)
     spend = F.col("spend_usd")
-
-    # Only days that were cut appear here: a few rows per cut.
-    earlier = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        blocked.where("_split")
-        .groupBy(*group, "_block")
-        .agg(exact_total(spend).alias("_spend"), odd_sum(spend).alias("_odd"))
-        .select(
-            *group,
-            F.col("_block").alias("_cut_block"),
-            F.sum("_spend").over(earlier).alias("_spend_earlier"),
-            F.sum("_odd").over(earlier).alias("_odd_earlier"),
-        )
-    )
-    per_block = (
-        campaign_days(df)
-        .join(F.broadcast(offsets), group, "left")
-        .select(
-            *group,
-            F.coalesce("_cut_block", F.lit(0)).alias("_block"),
-            *ROLLING.values(),
-            _add(F.col("_spend_before"), F.col("_spend_earlier")).alias("_spend_before"),
-            _add(F.col("_odd_before"), F.col("_odd_earlier")).alias("_odd_before"),
-        )
-    )
     so_far = (
-        Window.partitionBy(*group, "_block")
-        .orderBy("event_id")
+        Window.partitionBy("_range", "_campaign")
+        .orderBy("_day", "event_id", "_tie", ROW)
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    running = as_double(
-        _add(F.col("_spend_before"), F.col("_spend_here")), _add(F.col("_odd_before"), F.col("_odd_here"))
-    )
-    return (
-        blocked.withColumns(
-            {"_spend_here": exact_total(spend, window=so_far), "_odd_here": odd_sum(spend, so_far)}
-        )
-        .join(per_block, [*group, "_block"], "left")
-        .select(*df.columns, *ROLLING.values(), running.alias("running_total_spend"))
+    # One row per range and campaign in it.
+    earlier = Window.partitionBy("_campaign").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        ranged.groupBy("_range", "_campaign")
+        .agg(*_named(total_parts(spend), "_sum"))
+        .select("_range", "_campaign", *_named(sum_parts(_stored("_sum"), earlier), "_before"))
     )
+    here = ranged.select("*", *_named(total_parts(spend, window=so_far), "_here"))
+    running = as_double(add_parts(_stored("_before"), _stored("_here")))
+    kept = [c for c in df.columns if c != ROW]
+    return here.join(offsets, ["_range", "_campaign"], "left").select(*kept, running.alias("running_total_spend"))
 
 
-def running_sum(df: DataFrame, rows=None, block_rows=BLOCK_ROWS) -> DataFrame:
-    return campaign_windows(df, rows, block_rows).drop(*ROLLING.values())
-
-
-def roas_rank(df: DataFrame, iso_year_groups=False, rows=None, block_rows=BLOCK_ROWS) -> DataFrame:
+def roas_rank(df: DataFrame, iso_year_groups=False, rows=None, range_rows=RANGE_ROWS) -> DataFrame:
     """Adds ``roas_rank_in_channel``: rank by roas, best first, within channel and ISO week.
 
-    Without ``iso_year_groups`` equal weeks of different years share a group.
+    Without ``iso_year_groups`` equal weeks of different years share a group. A row's rank is its rank within its range plus the
+    group's rows in earlier ranges; rows that share the value with which an earlier range ends take the rank of that value's first row.
     """
     keys = {"_channel": text_key("channel"), "_week": F.coalesce(F.weekofyear("date"), F.lit(0))}
     if iso_year_groups:
         keys["_year"] = F.coalesce(iso_year("date"), F.lit(0))
-    group, keyed = list(keys), df.withColumns(keys)
+    group = list(keys)
     rows = df.count() if rows is None else rows
-    if rows > block_rows:
-        ranked = _roas_rank_in_blocks(keyed, group, stride_for(rows, block_rows))
-    else:
-        rank = F.rank().over(Window.partitionBy(*group).orderBy(F.desc("roas"))).cast("long")
-        ranked = keyed.withColumn("roas_rank_in_channel", rank)
-    return ranked.select(*df.columns, "roas_rank_in_channel")
-
-
-def _roas_rank_in_blocks(keyed: DataFrame, group, stride) -> DataFrame:
-    """A row's rank is its rank within its block, plus the rows in better blocks.
-
-    A value shared by very many rows (zero, say) has a block of its own, in which every rank is 1, so
-    those rows may be dealt over many window partitions.
-    """
-    blocked = with_blocks(keyed, group, "roas", stride)
-
-    # Only groups that were cut appear here: a few rows per cut.
-    better = (
-        Window.partitionBy(*group)
-        .orderBy(F.desc("_block"))
-        .rowsBetween(Window.unboundedPreceding, -1)
+    ranged = in_ranges(numbered(df).withColumns(keys), group, [F.desc("roas")], rows, range_rows)
+    inside = Window.partitionBy("_range", *group)
+    here = ranged.withColumn("_here", F.rank().over(inside.orderBy(F.desc("roas"))))
+
+    # One row per range and group in it.
+    ends = here.groupBy("_range", *group).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.max("_here").alias("_last_here"),
+        F.max("roas").alias("_first"),
+        F.when(F.count_if(F.col("roas").isNull()) == 0, F.min("roas")).alias("_last"),
     )
+    by_range = Window.partitionBy(*group).orderBy("_range")
+    earlier = by_range.rowsBetween(Window.unboundedPreceding, -1)
+    goes_on = F.coalesce(F.lag(F.lit(True)).over(by_range) & F.lag("_last").over(by_range).eqNullSafe(F.col("_first")), F.lit(False))
     offsets = (
-        blocked.where("_split")
-        .groupBy(*group, "_block")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(*group, "_block", F.sum("_rows").over(better).alias("_above"))
+        ends.withColumns({"_above": F.coalesce(F.sum("_rows").over(earlier), F.lit(0)), "_goes_on": goes_on})
+        .withColumn(
+            "_starts",
+            F.when(~(F.col("_goes_on") & F.col("_first").eqNullSafe(F.col("_last"))), F.col("_above") + F.col("_last_here")),
+        )
+        .withColumn("_carried", F.last("_starts", ignorenulls=True).over(earlier))
+        .select("_range", *group, "_above", "_goes_on", "_first", "_carried")
     )
-    share = F.when(equal_values(), F.pmod(F.xxhash64("event_id"), F.lit(_SHARES))).otherwise(0)
-    here = F.rank().over(Window.partitionBy(*group, "_block", "_share").orderBy(F.desc("roas")))
-    return (
-        blocked.join(F.broadcast(offsets), [*group, "_block"], "left")
-        .withColumn("_share", share)
-        .withColumn("roas_rank_in_channel", here + F.coalesce("_above", F.lit(0)))
+    rank = F.when(F.col("_goes_on") & F.col("roas").eqNullSafe(F.col("_first")), F.col("_carried")).otherwise(
+        F.col("_above") + F.col("_here")
     )
+    return here.join(offsets, ["_range", *group], "left").select(*df.columns, rank.cast("long").alias("roas_rank_in_channel"))
 
 
 def rolling_rows(daily: DataFrame, n=7) -> DataFrame:

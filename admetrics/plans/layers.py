@@ -5,20 +5,21 @@ from pyspark.sql import DataFrame
 from admetrics.functions.calendar import parse_date
 from admetrics.functions.ratios import with_metrics
 from admetrics.operators import star, windows
-from admetrics.operators.blocks import BLOCK_ROWS
+from admetrics.operators.ranges import RANGE_ROWS, numbered
 from admetrics.schemas import SILVER
 
 
-def build_silver(raw: DataFrame, rows=None, block_rows=BLOCK_ROWS) -> DataFrame:
+def build_silver(raw: DataFrame, range_rows=RANGE_ROWS) -> DataFrame:
     """Ratios, rolling averages, running total and rank on every raw row.
 
-    Event rows are shuffled twice: by channel, week and block for the rank, and by campaign, day and block
-    for the rest. A table of more than ``block_rows`` rows is read several times, each time with few columns,
-    so it should be stored.
+    ``raw`` should be stored: it is counted, read and sorted into ranges for the rank. What that gives is sorted into ranges for the running
+    total, and the rolling averages are joined to it.
     """
-    rows = raw.count() if rows is None else rows
-    ranked = windows.roas_rank(with_metrics(parse_date(raw)), rows=rows, block_rows=block_rows)
-    return windows.campaign_windows(ranked, rows, block_rows).select(*SILVER.names)
+    rows = raw.count()
+    ranked = windows.roas_rank(numbered(with_metrics(parse_date(raw))), rows=rows, range_rows=range_rows)
+    running = windows.running_sum(ranked, rows, range_rows)
+    per_day = with_metrics(parse_date(raw))
+    return windows.join_days(running, windows.campaign_days(per_day)).select(*SILVER.names)
 
 
 def build_dims(silver: DataFrame, latest=False) -> dict:

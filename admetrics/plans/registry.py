@@ -14,6 +14,7 @@ from admetrics.functions import calendar as cal
 from admetrics.functions.classify import channel_type, channel_type_lookup
 from admetrics.functions.ratios import floor_ratio, null_ratio, pct, with_metrics
 from admetrics.operators import kpis, marts, quality, windows
+from admetrics.plans import jobs
 from admetrics.plans.layers import build_dims, build_silver, build_star
 from admetrics.session import materialize, new_path
 from admetrics.sinks import layout, writers
@@ -51,6 +52,18 @@ def star(spark, sf_dir) -> dict:
     return _once(spark, sf_dir, "star", make)
 
 
+def stored_star(spark, sf_dir) -> str:
+    """The folder that holds the star schema's tables by name."""
+
+    def make():
+        base = new_path(spark, "gold")
+        for name, df in star(spark, sf_dir).items():
+            writers.write_table(df, base, name)
+        return base
+
+    return _once(spark, sf_dir, "stored_star", make)
+
+
 def daily_mart(spark, sf_dir) -> DataFrame:
     def make():
         return materialize(marts.campaign_daily(silver(spark, sf_dir)), "campaign-daily")
@@ -177,7 +190,7 @@ def rolling_7d(spark, sf_dir):
 def rolling_7d_daily_grain(spark, sf_dir):
     days = windows.campaign_days(bronze(spark, sf_dir))
     return days.select(
-        F.substring("_campaign", 2, 100).alias("campaign_id"),
+        "campaign_id",
         F.date_from_unix_date("_day").alias("date"),
         *windows.ROLLING.values(),
     )
@@ -206,9 +219,9 @@ def silver_(spark, sf_dir):
 
 
 @query
-def silver_in_blocks(spark, sf_dir):
-    """The same with blocks so small that many groups are cut, as they are on large tables."""
-    return build_silver(bronze(spark, sf_dir), block_rows=20)
+def silver_in_ranges(spark, sf_dir):
+    """The same in so many ranges that most groups are cut, as they are on large tables."""
+    return build_silver(bronze(spark, sf_dir), range_rows=500)
 
 
 # Star schema
@@ -351,23 +364,24 @@ def kpis_by_month(spark, sf_dir):
 
 @query
 def kpi_spend_mom(spark, sf_dir):
-    return kpis.kpi_mom(fact_with(spark, sf_dir, "dim_date"))
+    return kpis.kpi_mom(fact_with(spark, sf_dir, "dim_date"), calendar=star(spark, sf_dir)["dim_date"])
 
 
 @query
 def kpi_spend_mom_by_campaign(spark, sf_dir):
     joined = fact_with(spark, sf_dir, "dim_date", "dim_campaign")
-    return kpis.kpi_mom(joined, ["campaign_id"])
+    return kpis.kpi_mom(joined, ["campaign_id"], calendar=star(spark, sf_dir)["dim_date"])
 
 
 @query
 def kpi_impressions_7d(spark, sf_dir):
-    return kpis.kpi_7d(fact_with(spark, sf_dir, "dim_date"))
+    return kpis.kpi_7d(fact_with(spark, sf_dir, "dim_date"), calendar=star(spark, sf_dir)["dim_date"])
 
 
 @query
 def kpi_impressions_7d_by_channel(spark, sf_dir):
-    return kpis.kpi_7d(fact_with(spark, sf_dir, "dim_date", "dim_channel"), ["channel_name"])
+    joined = fact_with(spark, sf_dir, "dim_date", "dim_channel")
+    return kpis.kpi_7d(joined, ["channel_name"], calendar=star(spark, sf_dir)["dim_date"])
 
 
 # Row checks
@@ -395,13 +409,11 @@ def benchmark_bands(spark, sf_dir):
 
 @query
 def kafka_messages(spark, sf_dir):
+    """Key and every field of the JSON value, as the wire has them."""
     messages = writers.to_kafka_messages(wire_events(spark, sf_dir))
-    value = F.col("value").cast("string")
-    return messages.select(
-        F.col("key").cast("string").alias("key"),
-        F.get_json_object(value, "$.event_id").alias("event_id"),
-        F.get_json_object(value, "$.impressions").cast("int").alias("impressions"),
-    )
+    value = F.from_json(F.col("value").cast("string"), "map<string, string>")
+    fields = messages.select(F.col("key").cast("string").alias("key"), value.alias("value"))
+    return fields.select("key", *[F.element_at("value", f.name).cast(f.dataType).alias(f.name) for f in schemas.RAW])
 
 
 @query
@@ -431,33 +443,56 @@ def table_roundtrip(spark, sf_dir):
     return readers.read_table(spark, base, "silver", schema=schemas.SILVER)
 
 
+@query
+def partitioned_silver(spark, sf_dir):
+    """Silver written by platform and date, as the batch job stores it."""
+    base = new_path(spark, "silver-table")
+    writers.write_table(silver(spark, sf_dir), base, "silver", partition_by=["platform", "date"])
+    return readers.read_table(spark, base, "silver", schema=schemas.SILVER)
+
+
+@query
+def partitioned_fact(spark, sf_dir):
+    """The fact written by date_key, as the batch job stores it."""
+    base = new_path(spark, "fact-table")
+    writers.write_table(star(spark, sf_dir)["fact_ad_impressions"], base, "fact", partition_by=["date_key"])
+    return readers.read_table(spark, base, "fact", schema=schemas.FACT)
+
+
 @query
 def sql_path_table(spark, sf_dir):
-    """The star join in SQL text, over the stored tables by path."""
-    base = new_path(spark, "gold")
-    for name, df in star(spark, sf_dir).items():
-        writers.write_table(df, base, name)
+    """The whole campaign x channel report in SQL text over stored tables named by their paths."""
+    base = stored_star(spark, sf_dir)
     return spark.sql(
         f"""
-        SELECT dc.campaign_name, dch.channel_name,
-               SUM(f.impressions) AS impressions,
-               CAST(ROUND(SUM(f.clicks) * 100.0 / NULLIF(SUM(f.impressions), 0), 2) AS DOUBLE)
-                 AS ctr_pct
-        FROM parquet.`{base}/fact_ad_impressions` f
-        JOIN parquet.`{base}/dim_campaign` dc ON f.campaign_key = dc.campaign_key
-        JOIN parquet.`{base}/dim_channel` dch ON f.channel_key = dch.channel_key
-        GROUP BY dc.campaign_name, dch.channel_name
+        WITH per_pair AS (
+          SELECT campaign_key, channel_key, SUM(impressions) AS seen, SUM(clicks) AS clicked,
+                 SUM(CAST(spend_usd AS DECIMAL(28,6))) AS spent, SUM(CAST(revenue_usd AS DECIMAL(28,6))) AS earned
+          FROM parquet.`{base}/fact_ad_impressions` GROUP BY ALL),
+        named AS (
+          SELECT campaign_name, channel_name, SUM(seen) AS impressions, SUM(clicked) AS clicked,
+                 CAST(SUM(spent) AS DOUBLE) AS total_spend, CAST(SUM(earned) AS DOUBLE) AS earned
+          FROM per_pair
+            JOIN (SELECT campaign_key, campaign_name FROM parquet.`{base}/dim_campaign`) USING (campaign_key)
+            JOIN (SELECT channel_key, channel_name FROM parquet.`{base}/dim_channel`) USING (channel_key)
+          GROUP BY campaign_name, channel_name)
+        SELECT campaign_name, channel_name, impressions,
+               CAST(ROUND(CAST(100D * clicked / NULLIF(impressions, 0) AS DECIMAL(38,18)), 2) AS DOUBLE) AS ctr_pct,
+               CAST(ROUND(CAST(earned / NULLIF(total_spend, 0D) AS DECIMAL(38,18)), 2) AS DOUBLE) AS roas,
+               total_spend
+        FROM named ORDER BY total_spend DESC, campaign_name, channel_name
         """
     )
 
 
 @query
 def registered_table(spark, sf_dir):
+    """A catalog table over the stored Silver, all platforms; the name is taken anew each time."""
     base = new_path(spark, "registered")
     path = writers.write_table(silver(spark, sf_dir), base, "silver", partition_by=["platform"])
-    name = "ad_metrics_" + base.rsplit("-", 1)[1]
-    writers.register_table(spark, name, path, partitioned=True)
-    return spark.table(name).where("platform = 'Meta'").groupBy("channel").agg(
+    spark.sql("DROP TABLE IF EXISTS admetrics_silver")
+    writers.register_table(spark, "admetrics_silver", path, partitioned=True)
+    return spark.table("admetrics_silver").groupBy("platform", "channel").agg(
         F.count(F.lit(1)).alias("row_count"), F.sum("impressions").alias("impressions")
     )
 
@@ -466,7 +501,7 @@ def registered_table(spark, sf_dir):
 def clustered_rewrite(spark, sf_dir):
     fact_table = star(spark, sf_dir)["fact_ad_impressions"]
     path = layout.rewrite_clustered(
-        fact_table, ["campaign_key", "date_key"], 8, new_path(spark, "clustered"), spread_by="event_id"
+        fact_table, ["campaign_key", "date_key"], new_path(spark, "clustered"), spread_by="event_id"
     )
     return spark.read.schema(schemas.FACT).parquet(path)
 
@@ -476,7 +511,7 @@ def clustered_rewrite(spark, sf_dir):
 
 def _run_stream(spark, sf_dir, start):
     base = new_path(spark, "stream")
-    messages = readers.read_messages_files(spark, message_files(spark, sf_dir), max_files=2)
+    messages = readers.read_messages_files(spark, message_files(spark, sf_dir))
     start(messages, f"{base}/table", f"{base}/checkpoint", {"availableNow": True}).awaitTermination()
     return base
 
@@ -492,3 +527,16 @@ def stream_silver(spark, sf_dir):
 def stream_bronze_then_silver(spark, sf_dir):
     base = _run_stream(spark, sf_dir, streams.stream_bronze)
     return build_silver(readers.read_table(spark, base, "table", schema=schemas.RAW))
+
+
+@query
+def bronze_batch_and_stream(spark, sf_dir):
+    """One Bronze fed by both jobs: some events arrive in the batch, the others as messages."""
+    base = new_path(spark, "lake")
+    events = wire_events(spark, sf_dir)
+    batch = F.pmod(F.xxhash64("event_id"), F.lit(3)) == 0
+    writers.write_table(events.where(batch), base, jobs.BRONZE_BATCH)
+    path = new_path(spark, "waiting-messages")
+    writers.to_kafka_messages(events.where(~batch)).write.parquet(path)
+    jobs.append_bronze(readers.read_messages_files(spark, path), base)
+    return jobs.read_bronze(spark, base)

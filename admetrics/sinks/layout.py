@@ -5,11 +5,27 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from admetrics.operators.blocks import count_up_to
-
 BITS = 10
 
 
+def count_up_to(marks: str, value: str) -> Column:
+    """How many entries of a sorted array column are at most ``value``, by binary search over 2 ** BITS entries at most."""
+    middle = "shiftright(span.low + span.high, 1)"
+    return F.expr(
+        f"""
+        aggregate(
+          sequence(1, {BITS + 1}),
+          named_struct('low', 0, 'high', size({marks})),
+          (span, step) -> CASE
+            WHEN span.low >= span.high THEN span
+            WHEN get({marks}, {middle}) <= {value}
+              THEN named_struct('low', {middle} + 1, 'high', span.high)
+            ELSE named_struct('low', span.low, 'high', {middle}) END,
+          span -> span.low)
+        """
+    )
+
+
 def z_value(columns) -> Column:
     """Interleaves the low ``BITS`` bits of the columns; the first column gives the highest bit."""
     bits = []
@@ -37,18 +53,19 @@ def with_z_order(df: DataFrame, columns) -> DataFrame:
     return marked.withColumn("_z", z_value(ranks)).select(*df.columns, "_z")
 
 
-def clustered(df: DataFrame, columns, n_files, spread_by=None) -> DataFrame:
-    """Rows in ``n_files`` ranges of the curve, sorted within each.
+def clustered(df: DataFrame, columns, spread_by=None, n_ranges=None) -> DataFrame:
+    """Rows in ranges of the curve, sorted within each.
 
-    ``spread_by`` (a column that tells rows apart) lets one crowded point of the curve fill several
-    files.
+    Without ``n_ranges`` Spark sets the number: its shuffle partitions, joined by size under adaptive execution. ``spread_by``
+    (a column that tells rows apart) lets one crowded point of the curve fill several ranges.
     """
     order = [F.col("_z")] + ([F.xxhash64(spread_by)] if spread_by else [])
-    ordered = with_z_order(df, columns).repartitionByRange(n_files, *order)
-    return ordered.sortWithinPartitions("_z").drop("_z")
+    marked = with_z_order(df, columns)
+    ranged = marked.repartitionByRange(n_ranges, *order) if n_ranges else marked.repartitionByRange(*order)
+    return ranged.sortWithinPartitions("_z").drop("_z")
 
 
-def rewrite_clustered(df: DataFrame, columns, n_files, path, spread_by=None, fmt="parquet") -> str:
-    """Writes the clustered rows to a new path; the table being read stays as it is."""
-    clustered(df, columns, n_files, spread_by).write.format(fmt).save(path)
+def rewrite_clustered(df: DataFrame, columns, path, spread_by=None, n_ranges=None, fmt="parquet") -> str:
+    """Writes the clustered rows to another path than the table being read, which stays as it is."""
+    clustered(df, columns, spread_by, n_ranges).write.format(fmt).mode("overwrite").save(path)
     return path

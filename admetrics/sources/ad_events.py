@@ -1,6 +1,7 @@
 """Ad events derived from the ``lineitem`` table of the test data.
 
-Grain: one row per campaign, channel and day. Money is computed in whole cents.
+Grain: one row per campaign, channel and day, with a campaign for each supplier, so campaigns and events grow with the data. Money
+is computed in whole cents.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ def ad_events(spark: SparkSession, sf_dir) -> DataFrame:
     discount = F.floor(F.col("l_discount") * 100 + 0.5)
     clicks = F.col("l_quantity").cast("long") - 1
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        (F.col("l_suppkey") % 20).alias("campaign"),
+        F.col("l_suppkey").cast("long").alias("campaign"),
         (F.col("l_partkey") % 4).alias("placement"),
         F.col("l_shipdate").cast("date").alias("date"),
         clicks.alias("clicks"),
@@ -30,7 +31,7 @@ def ad_events(spark: SparkSession, sf_dir) -> DataFrame:
     number = (F.col("campaign") + 1).cast("string")
     kind, placement = F.col("campaign") % 3, F.col("placement")
     named = days.select(
-        F.concat(F.lit("C"), F.lpad(number, 3, "0")).alias("campaign_id"),
+        F.concat(F.lit("C"), F.lpad(number, 12, "0")).alias("campaign_id"),
         F.concat(F.lit("Campaign "), number).alias("campaign_name"),
         F.when(kind == 0, "awareness")
         .when(kind == 1, "conversion")
@@ -56,7 +57,3 @@ def ad_events(spark: SparkSession, sf_dir) -> DataFrame:
         }
     ).select(*RAW.names)
 
-
-def raw_events(spark: SparkSession, sf_dir) -> DataFrame:
-    """The same events as they arrive on the wire, with ``date`` as a string."""
-    return ad_events(spark, sf_dir).withColumn("date", F.col("date").cast("string"))

@@ -27,12 +27,14 @@ def read_mart_csv(spark: SparkSession, path, schema) -> DataFrame:
 
 
 def kafka_options(servers, topic, **options) -> dict:
-    """Options of the stream source: from the earliest offset, going on when old data has gone."""
+    """Options of the stream source: from the earliest offset.
+
+    When the broker has dropped offsets that were not read yet, the stream fails, unless ``failOnDataLoss="false"`` is passed.
+    """
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": "earliest",
-        "failOnDataLoss": "false",
         **options,
     }
 

@@ -1,12 +1,12 @@
 """DuckDB SQL for every registered query, written independently of the Spark code.
 
-Sums of money are exact decimals. Means of ratios add each ratio to twelve decimals, so that no sum
+Sums of money are exact decimals. Means of ratios add each ratio to eighteen decimals, so that no sum
 depends on row order; the sum is turned into a double by way of its text, which rounds once.
 """
 
 EVENTS = """
 b AS (
-  SELECT l_suppkey % 20 AS k, l_partkey % 4 AS h, CAST(l_shipdate AS DATE) AS d,
+  SELECT CAST(l_suppkey AS BIGINT) AS k, l_partkey % 4 AS h, CAST(l_shipdate AS DATE) AS d,
          CAST(l_quantity AS BIGINT) - 1 AS q, l_returnflag AS rf, l_linenumber,
          CAST(l_extendedprice AS DECIMAL(18,2)) AS p, CAST(l_discount AS DECIMAL(4,2)) AS disc
   FROM lineitem),
@@ -20,7 +20,7 @@ g AS (
                   ELSE CAST(p * CAST(0.25 AS DECIMAL(4,2)) AS DECIMAL(18,2)) END) AS revenue
   FROM b GROUP BY k, h, d),
 n AS (
-  SELECT 'C' || lpad(CAST(k + 1 AS STRING), 3, '0') AS campaign_id,
+  SELECT 'C' || lpad(CAST(k + 1 AS STRING), 12, '0') AS campaign_id,
          'Campaign ' || CAST(k + 1 AS STRING) AS campaign_name,
          CASE k % 3 WHEN 0 THEN 'awareness' WHEN 1 THEN 'conversion' ELSE 'retargeting' END AS campaign_type,
          'Advertiser ' || CAST(k % 4 AS STRING) AS advertiser,
@@ -67,14 +67,12 @@ def money(x, over=""):
 
 
 def mean(x):
-    first = f"({x} - floor({x})) * 1000000"
-    second = f"({first} - floor({first})) * 1000000"
-    total = (
-        f"SUM(CAST(floor({x}) AS HUGEINT)) * 1000000000000"
-        f" + SUM(CAST(floor({first}) AS HUGEINT)) * 1000000"
-        f" + SUM(CAST(floor({second} + 0.5) AS HUGEINT))"
-    )
-    return f"(CAST(CAST({total} AS VARCHAR) || 'e-12' AS DOUBLE) / COUNT({x}))"
+    """Ratios are cut into units, millionths and so on down to 1e-18, and the pieces are added."""
+    pieces, rest = [], x
+    for place in range(18, -1, -6):
+        pieces.append(f"SUM(CAST(floor({rest}{' + 0.5' if place == 0 else ''}) AS HUGEINT)) * {10 ** place}")
+        rest = f"(({rest}) - floor({rest})) * 1000000"
+    return f"(CAST(CAST({' + '.join(pieces)} AS VARCHAR) || 'e-18' AS DOUBLE) / COUNT({x}))"
 
 
 def rounded(x, places):
@@ -183,28 +181,35 @@ def _kpis(select, source, group):
 
 
 def _mom(by):
-    keys = f"{by}, " if by else ""
-    same = f"AND p.{by} = c.{by}" if by else ""
+    """The measure in every cell of groups x months of the calendar, where it or its month has a value."""
+    keys, groups = (f"{by}, ", f"(SELECT DISTINCT {by} FROM ev)") if by else ("", "(SELECT 1)")
+    same = f"AND p.{by} = g.{by}" if by else ""
+    own = f"AND c.{by} = g.{by}" if by else ""
     return _ev(f"""
       , monthly AS (
         SELECT {keys} CAST(date_trunc('month', date) AS DATE) AS month, {money('spend_usd')} AS total_spend
-        FROM ev GROUP BY ALL)
-      SELECT {f'c.{by},' if by else ''} c.month, c.total_spend, p.total_spend AS previous_spend,
-             (c.total_spend - p.total_spend) / NULLIF(p.total_spend, 0) AS spend_mom
-      FROM monthly c LEFT JOIN monthly p
-        ON p.month = CAST(c.month - INTERVAL 1 MONTH AS DATE) {same}""")
+        FROM ev GROUP BY ALL),
+      grid AS (SELECT * FROM {groups}, (SELECT DISTINCT month FROM monthly))
+      SELECT {f'g.{by},' if by else ''} g.month, c.total_spend, p.total_spend AS previous_spend,
+             (COALESCE(c.total_spend, 0) - p.total_spend) / NULLIF(p.total_spend, 0) AS spend_mom
+      FROM grid g LEFT JOIN monthly c ON c.month = g.month {own}
+        LEFT JOIN monthly p ON p.month = CAST(g.month - INTERVAL 1 MONTH AS DATE) {same}
+      WHERE c.month IS NOT NULL OR p.month IS NOT NULL""")
 
 
 def _seven_days(by):
-    keys = f"{by}, " if by else ""
-    partition = f"PARTITION BY {by}" if by else ""
+    """The measure in every cell of groups x days of the calendar that has data in its seven days."""
+    keys, groups = (f"{by}, ", f"(SELECT DISTINCT {by} FROM d)") if by else ("", "(SELECT 1)")
+    same = f"AND x.{by} = g.{by}" if by else ""
+    own = f"AND o.{by} = g.{by}" if by else ""
     return _ev(f"""
       , e AS (SELECT *, channel AS channel_name, date AS full_date FROM ev),
       d AS (SELECT {keys} full_date, CAST(SUM(impressions) AS BIGINT) AS total_impressions
-            FROM e GROUP BY ALL)
-      SELECT *, SUM(total_impressions) OVER w / COUNT(*) OVER w AS impressions_7d_avg FROM d
-      WINDOW w AS ({partition} ORDER BY full_date
-                   RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW)""")
+            FROM e GROUP BY ALL),
+      grid AS (SELECT * FROM {groups}, (SELECT DISTINCT full_date FROM d)),
+      w AS (SELECT {f'g.{by},' if by else ''} g.full_date, SUM(x.total_impressions) / COUNT(*) AS impressions_7d_avg
+            FROM grid g JOIN d x ON x.full_date BETWEEN g.full_date - INTERVAL 6 DAYS AND g.full_date {same} GROUP BY ALL)
+      SELECT g.*, o.total_impressions FROM w g LEFT JOIN d o ON o.full_date = g.full_date {own}""")
 
 
 _NEGATIVE = " OR ".join(
@@ -224,6 +229,13 @@ def _band(value, low, high):
 
 _BANDS = ["Google Search", "Google Display", "Meta Feed", "Meta Stories"]
 
+_REPORT = _ev(f"""
+  SELECT campaign_name, channel AS channel_name, CAST(SUM(impressions) AS BIGINT) AS impressions,
+         {rounded('100.0::DOUBLE * SUM(clicks) / NULLIF(SUM(impressions), 0)', 2)} AS ctr_pct,
+         {rounded(f"{money('revenue_usd')} / NULLIF({money('spend_usd')}, 0)", 2)} AS roas,
+         {money('spend_usd')} AS total_spend
+  FROM ev GROUP BY campaign_name, channel ORDER BY total_spend DESC""")
+
 ORACLES = {
     "ctr_cpc_roas_cvr": _m("SELECT event_id, ctr, cpc, roas, conversion_rate FROM m"),
     "safe_ratios": _ev(f"""
@@ -248,7 +260,7 @@ ORACLES = {
       SELECT event_id, CAST(RANK() OVER (PARTITION BY channel, isoyear(date), week(date)
         ORDER BY roas DESC) AS BIGINT) AS roas_rank_in_channel FROM m"""),
     "silver": _s("SELECT * FROM s"),
-    "silver_in_blocks": _s("SELECT * FROM s"),
+    "silver_in_ranges": _s("SELECT * FROM s"),
     "dim_campaign": _dims("SELECT * FROM dca"),
     "dim_channel": _dims("SELECT * FROM dch"),
     "dim_date": _dims("SELECT * FROM dda"),
@@ -264,12 +276,7 @@ ORACLES = {
         (SELECT channel_name FROM dch GROUP BY 1 HAVING COUNT(*) > 1)
       UNION ALL SELECT 'repeated full_date', COUNT(*) FROM
         (SELECT full_date FROM dda GROUP BY 1 HAVING COUNT(*) > 1)"""),
-    "campaign_channel_report": _ev(f"""
-      SELECT campaign_name, channel AS channel_name, CAST(SUM(impressions) AS BIGINT) AS impressions,
-             {rounded('100.0::DOUBLE * SUM(clicks) / NULLIF(SUM(impressions), 0)', 2)} AS ctr_pct,
-             {rounded(f"{money('revenue_usd')} / NULLIF({money('spend_usd')}, 0)", 2)} AS roas,
-             {money('spend_usd')} AS total_spend
-      FROM ev GROUP BY campaign_name, channel ORDER BY total_spend DESC"""),
+    "campaign_channel_report": _REPORT,
     "campaign_daily_summary": _daily("SELECT * FROM daily ORDER BY campaign_id, date"),
     "channel_weekly_summary": _weekly("SELECT * FROM weekly ORDER BY year, week, channel"),
     "channel_weekly_iso_year": _with(EVENTS, METRICS, weekly("isoyear(date)"))("SELECT * FROM weekly"),
@@ -347,20 +354,20 @@ ORACLES = {
         {_band('conversion_rate', (0.02, 0.005, 0.01, 0.008), (0.08, 0.02, 0.04, 0.03))} AS cvr_in_band,
         {_band('roas', (2.0, 1.0, 1.5, 1.2), (5.0, 3.0, 4.0, 3.5))} AS roas_in_band
       FROM m GROUP BY channel"""),
-    "kafka_messages": _ev("""
-      SELECT campaign_id || '#' || CAST(date AS VARCHAR) AS key, event_id, impressions FROM ev"""),
+    "kafka_messages": _ev(f"""
+      SELECT campaign_id || '#' || CAST(date AS VARCHAR) AS key, {_RAW} FROM ev"""),
     "kafka_roundtrip": _ev(f"SELECT {_RAW} FROM ev"),
     "json_roundtrip": _ev(f"SELECT {_RAW} FROM ev"),
     "csv_roundtrip": _daily("SELECT * FROM daily"),
     "table_roundtrip": _s("SELECT * FROM s"),
-    "sql_path_table": _ev(f"""
-      SELECT campaign_name, channel AS channel_name, CAST(SUM(impressions) AS BIGINT) AS impressions,
-             {rounded('100.0::DOUBLE * SUM(clicks) / NULLIF(SUM(impressions), 0)', 2)} AS ctr_pct
-      FROM ev GROUP BY campaign_name, channel"""),
+    "partitioned_silver": _s("SELECT * FROM s"),
+    "partitioned_fact": _fact("SELECT * FROM fact"),
+    "sql_path_table": _REPORT,
     "registered_table": _ev("""
-      SELECT channel, COUNT(*) AS row_count, CAST(SUM(impressions) AS BIGINT) AS impressions
-      FROM ev WHERE platform = 'Meta' GROUP BY channel"""),
+      SELECT platform, channel, COUNT(*) AS row_count, CAST(SUM(impressions) AS BIGINT) AS impressions
+      FROM ev GROUP BY platform, channel"""),
     "clustered_rewrite": _fact("SELECT * FROM fact"),
     "stream_silver": _m("SELECT * EXCLUDE (conversion_rate) FROM m"),
     "stream_bronze_then_silver": _s("SELECT * FROM s"),
+    "bronze_batch_and_stream": _ev(f"SELECT {_RAW} FROM ev"),
 }

@@ -1,4 +1,7 @@
+import random
 from datetime import date
+from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from conftest import by_id
@@ -7,8 +10,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from admetrics.functions import calendar, classify, ratios
-from admetrics.functions.exact import exact_mean, exact_sum
-from admetrics.operators.blocks import count_up_to, text_key
+from admetrics.functions.exact import RATIO, exact_mean, exact_sum
+from admetrics.operators.ranges import text_key
+from admetrics.sinks.layout import count_up_to
 
 
 def test_guards_give_zero(events):
@@ -70,13 +74,12 @@ def test_channel_types(spark):
     assert [r[0] for r in by_name] == ["search", "display", "social_feed", "social_story", None]
 
 
-def test_tiers_scaling_and_zero_fill(spark):
+def test_tiers_and_scaling(spark):
     df = spark.createDataFrame([(1, 2.0), (2, 1.5), (3, 1.0), (4, None)], "id int, x double")
     tiers = df.orderBy("id").select(classify.roas_tier("x")).collect()
     assert [r[0] for r in tiers] == ["good", "fair", "poor", "poor"]
     sizes = df.orderBy("id").select(classify.scale_to_max("x").alias("s")).collect()
     assert [r.s for r in sizes] == [680.0, 530.0, 380.0, None]
-    assert classify.zero_fill(df, ["x"]).where("id = 4").first().x == 0.0
 
 
 @settings(max_examples=10, deadline=None)
@@ -105,9 +108,37 @@ def test_sums_of_odd_values(spark):
     assert total(-0.75, None, 0.5) == -0.25
 
 
-def test_means_keep_twelve_decimals(spark):
+def test_means_keep_small_values(spark):
     df = spark.createDataFrame([(1 / 3,), (1e-7,)], "x double")
-    assert df.agg(exact_mean(F.col("x")).alias("m")).first().m == pytest.approx((1 / 3 + 1e-7) / 2, abs=1e-12)
+    assert df.agg(exact_mean(F.col("x")).alias("m")).first().m == pytest.approx((1 / 3 + 1e-7) / 2, abs=1e-17)
+
+
+def _drawn(kind, rng):
+    if kind == "any":
+        return 10 ** rng.uniform(-7, 15) * rng.choice([1, -1])
+    if kind == "cents":
+        return rng.randrange(10**9) / 100
+    if kind == "tiny":
+        return 1e-7
+    if kind == "large":
+        return rng.uniform(1e9, 1e15)
+    return rng.choice([0.1, 1e-9, 99999999.999999, 1e8, 1e9, 123456789.123456, -0.3, 5e14])
+
+
+def test_sums_equal_exact_sums_in_every_layout(spark):
+    """Values from 1e-7 to 1e15: the total is that of their shortest decimals, rounded once."""
+    rng = random.Random(11)
+    rows = [(kind, _drawn(kind, rng)) for kind in ("any", "cents", "tiny", "large", "edges") for _ in range(2000)]
+    want = {}
+    for kind, x in rows:
+        want[kind] = want.get(kind, 0) + Fraction(Decimal(repr(x)))
+    for n in (1, 2, 5, 8, 13):
+        rng.shuffle(rows)
+        df = spark.createDataFrame(rows, "k string, x double").repartition(n)
+        sums = df.groupBy("k").agg(exact_sum(F.col("x")).alias("s"), exact_sum(F.col("x"), RATIO).alias("r"))
+        got = {r.k: r for r in sums.collect()}
+        assert {k: r.s for k, r in got.items()} == {k: float(x) for k, x in want.items()}
+        assert {k: r.r for k, r in got.items()} == pytest.approx({k: float(x) for k, x in want.items()}, rel=1e-14)
 
 
 def test_binary_search(spark):

@@ -76,10 +76,11 @@ def test_registered_table(spark, events, tmp_path):
 
 
 def test_kafka_options():
-    options = readers.kafka_options("h:9093", "ad-impressions", **readers.kafka_sasl_options("secret"))
-    assert options["startingOffsets"] == "earliest" and options["failOnDataLoss"] == "false"
+    options = readers.kafka_options("h:9093", "events", **jobs.broker_options("secret"))
+    assert options["startingOffsets"] == "earliest" and "failOnDataLoss" not in options
     assert options["kafka.security.protocol"] == "SASL_SSL"
     assert 'username="$ConnectionString" password="secret";' in options["kafka.sasl.jaas.config"]
+    assert jobs.broker_options(keep_on_data_loss=True) == {"failOnDataLoss": "false"}
 
 
 def test_messages_round_trip(events):
@@ -97,7 +98,7 @@ def test_clustered_rewrite(spark, tmp_path):
         (20240101 + F.floor(F.col("id") / 200)).cast("int").alias("date_key"),
     )
     columns = ["campaign_key", "date_key"]
-    path = layout.rewrite_clustered(df, columns, 8, str(tmp_path / "z"), spread_by="event_id")
+    path = layout.rewrite_clustered(df, columns, str(tmp_path / "z"), spread_by="event_id", n_ranges=8)
     back = spark.read.parquet(path)
     assert back.exceptAll(df).count() == 0 and back.count() == 4000
     files = back.groupBy(F.input_file_name().alias("file")).agg(
@@ -154,7 +155,7 @@ def test_batch_job_and_export(spark, tmp_path):
     base, csv = str(tmp_path / "lake"), str(tmp_path / "csv")
     jobs.run_batch(spark, str(source), base, quarantine=True)
     jobs.run_export(spark, base, csv)
-    assert readers.read_table(spark, base, jobs.BRONZE).count() == 9
+    assert jobs.read_bronze(spark, base).count() == 9
     assert readers.read_table(spark, base, jobs.QUARANTINE).count() == 1
     fact = readers.read_mart_csv(spark, f"{csv}/fact_ad_impressions", schemas.FACT)
     stored = readers.read_table(spark, base, "gold/fact_ad_impressions", schema=schemas.FACT)
@@ -163,6 +164,67 @@ def test_batch_job_and_export(spark, tmp_path):
     assert {r.total_spend for r in daily.collect()} == {10.0}
 
 
+def test_batch_and_stream_share_bronze(spark, events, tmp_path):
+    """batch, bronze, batch, bronze: every event is there once in all layers."""
+    base, source, sent = str(tmp_path / "lake"), tmp_path / "in", tmp_path / "sent"
+    _lines(source, *[{"event_id": f"b{i}", "date": f"2024-01-{1 + i:02d}"} for i in range(5)])
+
+    def layers():
+        names = (jobs.SILVER, "gold/fact_ad_impressions")
+        tables = [jobs.read_bronze(spark, base), *[readers.read_table(spark, base, name) for name in names]]
+        return [sorted(r.event_id for r in t.select("event_id").collect()) for t in tables]
+
+    jobs.run_batch(spark, str(source), base)
+    assert layers() == [[f"b{i}" for i in range(5)]] * 3
+    _send(spark, events, sent, *[{"event_id": f"s{i}"} for i in range(3)])
+    jobs.run_bronze_then_batch(spark, readers.read_messages_files(spark, str(sent)), base)
+    assert layers() == [[f"b{i}" for i in range(5)] + [f"s{i}" for i in range(3)]] * 3
+    _lines(source, {"event_id": "b9"})
+    jobs.run_batch(spark, str(source), base)
+    _send(spark, events, sent, {"event_id": "s9"}, {"event_id": "bad", "date": "bad"})
+    jobs.run_bronze_then_batch(spark, readers.read_messages_files(spark, str(sent)), base, quarantine=True)
+    want = sorted([f"b{i}" for i in range(5)] + ["b9", "s0", "s1", "s2", "s9"])
+    bronze, silver, fact = layers()
+    assert bronze == sorted([*want, "bad"]) and silver == fact == want
+
+
+def test_stream_sets_malformed_rows_aside(spark, events, tmp_path):
+    base, sent = str(tmp_path / "lake"), tmp_path / "sent"
+    _send(spark, events, sent, {"event_id": "a"}, {"event_id": "z", "date": "bad"})
+    for query in jobs.run_stream(readers.read_messages_files(spark, str(sent)), base, trigger=NOW, quarantine=True):
+        query.awaitTermination()
+    assert set(by_id(readers.read_table(spark, base, jobs.SILVER_STREAM), "ctr")) == {"a"}
+    assert set(by_id(readers.read_table(spark, base, f"{jobs.QUARANTINE}_stream"), "clicks")) == {"z"}
+
+
+def test_steps_after_the_build(spark, tmp_path):
+    source, base = tmp_path / "in", str(tmp_path / "lake")
+    named = [{"event_id": "a", "campaign_name": "Old"}, {"event_id": "b", "campaign_name": "New", "date": "2024-02-01"}]
+    _lines(source, *named)
+    jobs.run_batch(spark, str(source), base)
+    assert jobs.run_validate(spark, base)["repeated campaign_id"] == 1
+    jobs.run_batch(spark, str(source), base, latest=True)
+    args = jobs.parse_arguments(
+        ["batch", "--input", str(source), "--base", base, "--validate", "--cluster", "--register", "ads_test", "--export", str(tmp_path / "csv")]
+    )
+    jobs.after_build(spark, args)
+    report = jobs.run_validate(spark, base)
+    assert report.pop("fact rows") == 2 and set(report.values()) == {0}
+    assert spark.table("ads_test.fact_ad_impressions").count() == 2
+    assert spark.table("ads_test.silver_events").where("platform = 'Google'").count() == 2
+    assert spark.read.parquet(f"{base}/gold/fact_ad_impressions_clustered").count() == 2
+    assert readers.read_mart_csv(spark, f"{tmp_path}/csv/dim_campaign", schemas.DIM_CAMPAIGN).first().campaign_name == "New"
+
+
+@pytest.mark.parametrize(
+    "line",
+    ["batch --base x", "produce --input x", "bronze --base x", "stream --base x --servers s --topic t --export y"],
+)
+def test_arguments_that_do_not_fit(line):
+    with pytest.raises(SystemExit):
+        jobs.parse_arguments(line.split())
+
+
 def test_without_quarantine_bad_rows_stay_in_silver_and_leave_the_fact(spark, tmp_path):
     source = tmp_path / "in"
     _lines(source, {"event_id": "a"}, "not json")

@@ -72,6 +72,31 @@ def test_month_over_month_needs_the_month_before(events):
     ]
 
 
+def test_silent_months_and_days_have_their_measures(events):
+    """A silent month after one with spend is -100 %; a silent day still has the mean of its last seven days."""
+    silver = build_silver(
+        events(
+            {"campaign_id": "A", "date": "2024-01-05", "impressions": 10, "spend_usd": 4.0},
+            {"campaign_id": "A", "date": "2024-02-05", "impressions": 20, "spend_usd": 2.0},
+            {"campaign_id": "B", "date": "2024-01-30", "impressions": 70, "spend_usd": 5.0},
+            {"campaign_id": "A", "date": "2024-04-05", "impressions": 30, "spend_usd": 1.0},
+        )
+    )
+    months = kpis.kpi_mom(silver, ["campaign_id"], "date").orderBy("campaign_id", "month").collect()
+    assert [(r.campaign_id, str(r.month)[:7], r.total_spend, r.previous_spend, r.spend_mom) for r in months] == [
+        ("A", "2024-01", 4.0, None, None),
+        ("A", "2024-02", 2.0, 4.0, -0.5),
+        ("A", "2024-04", 1.0, None, None),
+        ("B", "2024-01", 5.0, None, None),
+        ("B", "2024-02", None, 5.0, -1.0),
+    ]
+    days = kpis.kpi_7d(silver, ["campaign_id"], "date").where("campaign_id = 'B'").orderBy("date").collect()
+    assert [(str(r.date), r.total_impressions, r.impressions_7d_avg) for r in days] == [
+        ("2024-01-30", 70, 70.0),
+        ("2024-02-05", None, 70.0),
+    ]
+
+
 def test_seven_day_mean_counts_days_not_rows(events):
     df = events(
         {"date": "2024-01-01", "impressions": 10},

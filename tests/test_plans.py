@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from admetrics import schemas
-from admetrics.operators import kpis, marts, star
+from admetrics.functions.ratios import with_metrics
+from admetrics.operators import kpis, marts, star, windows
+from admetrics.operators.ranges import numbered
 from admetrics.plans.layers import build_silver, build_star
 from admetrics.session import materialize
 
@@ -33,22 +35,23 @@ def stored(events):
     return materialize(events(*rows), "plan-test")
 
 
-def test_large_silver_shuffles_its_rows_twice(stored, conf):
+def test_silver_windows_have_one_form(stored, conf):
+    """Every window over event rows lies inside a range; no array travels with the rows."""
     conf(**NO_BROADCAST)
-    plan = plan_of(build_silver(stored, rows=10**9))
-    wide = [columns for columns in nodes(plan, "Exchange") if "event_id" in columns and "advertiser" in columns]
-    assert len(wide) == 2
-    # Broadcast are the cuts (for the rows and for the block sums) and the offsets of the blocks, once for
-    # the rank and once for the running total.
-    assert len(nodes(plan, "BroadcastExchange")) == 6
-    assert not [c for c in nodes(plan, "BroadcastExchange") if "event_id" in c or "spend_usd" in c]
-
-
-def test_small_silver_needs_two_shuffles_and_two_sorts(stored):
-    plan = plan_of(build_silver(stored))
-    assert len(nodes(plan, "Exchange")) == 2
-    assert len(nodes(plan, "Sort")) == 2
-    assert "BroadcastExchange" not in plan
+    df = numbered(with_metrics(stored.withColumn("date", F.to_date("date"))))
+    for made in (windows.running_sum(df, range_rows=10), windows.roas_rank(df, range_rows=10)):
+        plan = plan_of(made)
+        wide = [c for c in nodes(plan, "Window") if "advertiser" in c]
+        assert wide and all("_range" in c for c in wide)
+        assert len([c for c in nodes(plan, "Exchange") if "advertiser" in c]) == 1
+        assert "BroadcastExchange" not in plan and "array<" not in plan
+
+
+def test_rolling_averages_join_last(stored, conf):
+    """So adaptive execution may split a campaign and day with very many rows."""
+    conf(**NO_BROADCAST)
+    plan = plan_of(windows.rolling_7d(stored.withColumn("date", F.to_date("date"))))
+    assert not [c for c in nodes(plan, "Window") if "advertiser" in c]
 
 
 def test_fact_joins_stored_dimensions_without_a_shuffle(stored):

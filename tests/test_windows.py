@@ -3,13 +3,15 @@ from datetime import date, timedelta
 
 import pytest
 from conftest import by_id
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from admetrics import schemas
-from admetrics.functions.calendar import parse_date
+from admetrics.functions.calendar import day_ordinal, parse_date
+from admetrics.functions.exact import exact_mean, exact_sum
 from admetrics.functions.ratios import with_metrics
 from admetrics.operators import marts, windows
-from admetrics.operators.blocks import with_blocks
+from admetrics.operators.ranges import in_ranges, numbered, text_key
 from admetrics.plans.layers import build_silver
 
 WINDOWS = [*windows.ROLLING.values(), "running_total_spend", "roas_rank_in_channel"]
@@ -44,23 +46,52 @@ def skewed(events):
     return events(*skewed_rows(1500)).repartition(6)
 
 
-@pytest.mark.parametrize("block_rows", [1, 7, 100, 1499])
-def test_blocks_equal_plain_windows(skewed, block_rows):
-    blocked = build_silver(skewed, block_rows=block_rows)
-    plain = build_silver(skewed)
-    assert blocked.columns == plain.columns == schemas.SILVER.names
-    assert blocked.count() == plain.count() == 1500
-    assert blocked.exceptAll(plain).count() == 0
+def plain_silver(raw):
+    """The same columns by a window per group, for comparison."""
+    df = with_metrics(parse_date(raw)).withColumns({"_c": text_key("campaign_id"), "_d": day_ordinal("date")})
+    spend = F.col("spend_usd")
+    week = Window.partitionBy(text_key("channel"), F.weekofyear("date")).orderBy(F.desc("roas"))
+    so_far = Window.partitionBy("_c").orderBy("_d", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    days = Window.partitionBy("_c").orderBy("_d").rangeBetween(-6, 0)
+    rolling = {windows.ROLLING[c]: F.avg(c).over(days) for c in ("impressions", "clicks")}
+    return df.withColumns(
+        {
+            **rolling,
+            windows.ROLLING["spend_usd"]: exact_mean(spend, digits=6, window=days),
+            "running_total_spend": exact_sum(spend, window=so_far),
+            "roas_rank_in_channel": F.rank().over(week).cast("long"),
+        }
+    ).select(*schemas.SILVER.names)
+
+
+@pytest.mark.parametrize("range_rows", [60, 400, 10**6])
+def test_ranges_equal_plain_windows(skewed, range_rows):
+    ranged = build_silver(skewed, range_rows=range_rows)
+    plain = plain_silver(skewed)
+    assert ranged.columns == plain.columns == schemas.SILVER.names
+    assert ranged.count() == plain.count() == 1500
+    assert ranged.exceptAll(plain).count() == 0
+
+
+def test_large_values_are_summed_alike_in_all_ranges(events):
+    rows = [{"event_id": f"{i:04d}", "spend_usd": 1e9 + i * 1e-3 + 0.1, "date": f"2024-01-{1 + i % 3:02d}"} for i in range(400)]
+    df = events(*rows)
+    assert build_silver(df, range_rows=40).exceptAll(plain_silver(df)).count() == 0
 
 
-def test_hot_group_is_spread(events):
-    """No window partition of the rank keeps more than a small part of a group with one hot value."""
-    rows = [{"channel": "Meta Feed", "revenue_usd": 0.0 if i % 2 else i / 100} for i in range(4000)]
-    df = with_metrics(parse_date(events(*rows))).withColumn("_g", F.lit(1))
-    blocks = with_blocks(df, ["_g"], "roas", stride=40).groupBy("_block", F.col("roas") == 0).count()
-    hot = blocks.where("(roas = 0)").collect()
-    assert len(hot) == 1 and hot[0]["_block"] % 2 == 1  # equal values have a block of their own
-    assert blocks.where("(roas = 0) = false").agg(F.max("count")).first()[0] < 200
+def test_no_range_holds_a_hot_group(spark, events):
+    """A third malformed, one event_id repeated, one value repeated: ranges stay near their size."""
+    malformed = spark.range(3000).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.RAW])
+    repeated = events({"event_id": "same"}).crossJoin(spark.range(3000)).drop("id")
+    rest = events(*[{"revenue_usd": i / 100} for i in range(3000)])
+    raw = malformed.union(repeated).union(rest).repartition(5)
+    df = numbered(with_metrics(parse_date(raw))).withColumns({"_g": text_key("channel"), "_d": day_ordinal("date")})
+    for order in (["_d", "event_id"], [F.desc("roas")]):
+        sizes = in_ranges(df, ["_g"], order, 9000, 300).groupBy("_range").count()
+        assert sizes.agg(F.max("count")).first()[0] < 600 and sizes.count() > 20
+    silver = build_silver(raw, range_rows=300)
+    ranks = {r.roas_rank_in_channel for r in silver.where("channel IS NULL").collect()}
+    assert ranks == {1} and silver.count() == 9000
 
 
 @pytest.mark.parametrize("partitions", ["1", "7"])
@@ -86,7 +117,7 @@ def test_rolling_equals_brute_force(skewed):
 
 
 def test_last_running_total_is_the_campaign_sum(skewed):
-    silver = build_silver(skewed, block_rows=10)
+    silver = build_silver(skewed, range_rows=100)
     totals = silver.groupBy("campaign_id").agg(
         F.max("running_total_spend").alias("last"), marts.exact_sum(F.col("spend_usd")).alias("total")
     )
