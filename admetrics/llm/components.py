@@ -38,7 +38,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         sides = _both(edges)
         large = _star(sides).where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-        large = materialize(_clean(large), "edges")
+        large = _clean(large)
         down = large.select(F.col("a").alias("u"), F.col("b").alias("v"))
         small = _star(down)
         small = small.select(F.col("v").alias("a"), F.col("m").alias("b")).union(small.select(F.col("u").alias("a"), F.col("m").alias("b")))

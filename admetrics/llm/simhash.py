@@ -35,7 +35,8 @@ TILE = 1 << 14
 _GENERATOR, _LENGTH, _RADIUS = 0xC75, 23, 3
 _WORDS = ((0, 22), (22, 21), (43, 21))
 _SEED = 42
-_BLOCK = 1 << 16
+_BLOCK = 1 << 14
+_ROWS = 256
 
 
 def fingerprint(text: str | None, shingle: int) -> int:
@@ -62,9 +63,11 @@ def fingerprints(docs: DataFrame, keys, text="text", shingle=4) -> DataFrame:
 
     def make(batches):
         for batch in batches:
-            found = np.array([fingerprint(t, shingle) for t in batch.column("_text").to_pylist()], np.uint64)
-            columns = [batch.column(i) for i in range(len(keys))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(found.view(np.int64))], [*keys, "fp"])
+            for k in range(0, len(batch), _ROWS):
+                part = batch.slice(k, _ROWS)
+                found = np.array([fingerprint(t, shingle) for t in part.column("_text").to_pylist()], np.uint64)
+                columns = [part.column(i) for i in range(len(keys))]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(found.view(np.int64))], [*keys, "fp"])
 
     rows = docs.select(*keys, F.col(f"`{text}`").alias("_text"))
     schema = docs.select(*keys).withColumn("fp", F.lit(0).cast("bigint")).schema
