@@ -73,18 +73,12 @@ def campaign_days(df: DataFrame, days=7) -> DataFrame:
     )
 
 
-#: Stands for a missing date in joins; earlier than any date.
-_NO_DAY = -(2**31)
-
-
 def join_days(df: DataFrame, per_day: DataFrame) -> DataFrame:
     """Adds the rolling averages of its campaign and day to every row.
 
     The join comes last, so adaptive execution may split a campaign and day with very many rows.
     """
-    day = F.coalesce("_day", F.lit(_NO_DAY))
-    averages = per_day.drop("campaign_id").withColumn("_day", day)
-    joined = _keyed(df).withColumn("_day", day).join(averages, ["_campaign", "_day"], "left")
+    joined = _keyed(df).join(per_day.drop("campaign_id"), ["_campaign", "_day"], "left")
     return joined.select(*df.columns, *ROLLING.values())
 
 

@@ -14,8 +14,6 @@ from admetrics.operators import marts, windows
 from admetrics.operators.ranges import in_ranges, numbered, text_key
 from admetrics.plans.layers import build_silver
 
-WINDOWS = [*windows.ROLLING.values(), "running_total_spend", "roas_rank_in_channel"]
-
 
 def skewed_rows(n, seed=7):
     """A third of the rows in one campaign, day and channel, a third with zero roas, some NULLs."""
