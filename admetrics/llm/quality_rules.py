@@ -5,7 +5,7 @@ from the whole text inside its own row, so nothing is shuffled and no row depend
 
 Defined cases: a null, empty or blank text has zero words and fails the base rules. Repeated rows are judged alike.
 Columns of the input other than the text are carried along; a measure whose name clashes with one of them
-takes its place in `with_measures`. An empty table gives an empty table. Equal windows of words are found by their
+takes its place in `judge`. An empty table gives an empty table. Equal windows of words are found by their
 64-bit hashes within one text, so a text of a million words errs with a chance below 1e-7.
 """
 
@@ -113,19 +113,11 @@ def measures(text: Column) -> Column:
     )
 
 
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_stop_words", "n_lines", "n_dup_lines", "n_repeat_words")
-
-
-def with_measures(df: DataFrame, text="text") -> DataFrame:
-    """The input with the counts and ratios that rules may name."""
-    bag = "_measures"
-    while bag in df.columns:
-        bag += "_"
-    df = df.withColumn(bag, measures(F.col(f"`{text}`")))
-    got = F.col(bag)
-    counts = {c: got["words"][c] for c in ("n_words", "n_stop_words", "n_repeat_words")}
-    counts |= {c: got["lines"][c] for c in ("n_lines", "n_dup_lines")}
-    counts |= {c: got[c] for c in ("word_chars", "n_symbols")}
+def named(found: Column) -> dict[str, Column]:
+    """The counts of `measures` and the ratios that rules may name."""
+    counts = {c: found["words"][c] for c in ("n_words", "n_stop_words", "n_repeat_words")}
+    counts |= {c: found["lines"][c] for c in ("n_lines", "n_dup_lines")}
+    counts |= {c: found[c] for c in ("word_chars", "n_symbols")}
 
     def ratio(part, whole):
         return F.when(counts[whole] > 0, counts[part] / counts[whole]).otherwise(F.lit(0.0))
@@ -137,40 +129,45 @@ def with_measures(df: DataFrame, text="text") -> DataFrame:
         "dup_line_ratio": ratio("n_dup_lines", "n_lines"),
         "repeat_percent": F.when(counts["n_words"] > 0, 100 * counts["n_repeat_words"] / counts["n_words"]).otherwise(F.lit(0.0)),
     }
-    return df.withColumns(counts | ratios).drop(bag)
+    return counts | ratios
 
 
-def fails(rule: Rule) -> Column:
+def fails(rule: Rule, values: dict[str, Column]) -> Column:
     """True for a text outside the rule."""
-    value = F.col(rule.measure)
-    outside = F.lit(False)
+    value, outside = values[rule.measure], F.lit(False)
     if rule.least is not None:
         outside = outside | (value < rule.least)
     if rule.most is not None:
         outside = outside | (value > rule.most)
-    return outside & (F.col("n_words") >= rule.from_words)
+    return outside & (values["n_words"] >= rule.from_words)
 
 
-def any_of(rules) -> Column:
+def any_of(rules, values: dict[str, Column]) -> Column:
     verdict = F.lit(False)
     for rule in rules:
-        verdict = verdict | fails(rule)
+        verdict = verdict | fails(rule, values)
     return verdict
 
 
 def judge(df: DataFrame, text="text", base=BASE, rules=RULES) -> DataFrame:
-    """The input with its counts, `base_failed`, `failed_rules` (names) and `kept`."""
-    names = F.array(*[F.when(fails(r), F.lit(r.name)) for r in (*base, *rules)])
-    return with_measures(df, text).withColumns(
-        {
-            "base_failed": any_of(base),
-            "failed_rules": F.array_compact(names),
-            "kept": ~any_of((*base, *rules)),
-        }
-    )
+    """The input with its counts and ratios, `base_failed`, `failed_rules` (names) and `kept`."""
+    bag = "_measures"
+    while bag in df.columns:
+        bag += "_"
+    values = named(F.col(bag))
+    names = F.array(*[F.when(fails(r, values), F.lit(r.name)) for r in (*base, *rules)])
+    verdicts = {
+        "base_failed": any_of(base, values),
+        "failed_rules": F.array_compact(names),
+        "kept": ~any_of((*base, *rules), values),
+    }
+    return df.withColumn(bag, measures(F.col(f"`{text}`"))).withColumns(values | verdicts).drop(bag)
 
 
 def keep_good(docs: DataFrame, text="text", base=BASE, rules=RULES) -> DataFrame:
-    """The rows that pass all rules, with the columns they came with."""
-    row = docs.select(F.struct("*").alias("row"), F.col(f"`{text}`").alias("text"))
-    return judge(row, "text", base, rules).where("kept").select("row.*")
+    """The rows that pass all rules, with the columns they came with.
+
+    The verdict is one expression that takes the measures once, so a filter on it does not count a text again for every rule.
+    """
+    verdict = let(measures(F.col(f"`{text}`")), lambda found: ~any_of((*base, *rules), named(found)))
+    return docs.where(verdict)
