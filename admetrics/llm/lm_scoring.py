@@ -100,7 +100,8 @@ def train(docs: DataFrame, target_ids: DataFrame, size=SIZE, mass=MASS):
     docs = docs.select("doc_id", "text")
     words = vocabulary(docs, size)
     chosen = target_ids.select("doc_id").where("doc_id IS NOT NULL").distinct().withColumn("target", F.lit(True))
-    marked = docs.join(chosen, "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
+    # A merge join at every size of the labels, so that what is shuffled grows in proportion to the documents.
+    marked = docs.join(chosen.hint("merge"), "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
     table = materialize(bigrams(marked, words, size), "bigrams").toArrow()
     pair, n, n_target = (table.column(c).to_numpy() for c in ("pair", "n", "n_target"))
     return words, losses(pair, n_target, size, mass), losses(pair, n, size, mass)
