@@ -146,6 +146,7 @@ class Reader:
             yield doc_id, start, held[start - held_from : end - held_from]
 
 
+_MARKS = ".,;:!?"
 _ENCODERS = {}
 
 
@@ -157,17 +158,28 @@ def library_encoder(tokenizer_path: str) -> ChunkEncoder:
         tokenizer = Tokenizer.from_file(tokenizer_path)
         merge, letters = tokenizer.model.tokenize, {b: c for c, b in byte_letters().items()}
 
+        def merged(word):
+            return [t.id for t in merge(word.encode().decode("latin-1").translate(letters))]
+
+        marks = {}
+
         def encode_many(parts):
-            # A space and letters are one pre-token, which the library's model takes as it is.
-            whole = [p[:1] == " " and p[1:].isalpha() for p in parts]
-            others = iter(tokenizer.encode_batch_fast([p for p, w in zip(parts, whole) if not w], add_special_tokens=False))
-            out = []
-            for part, is_word in zip(parts, whole):
-                if is_word:
-                    ids = [t.id for t in merge(part.encode().decode("latin-1").translate(letters))]
+            # A space and letters are one pre-token, and so are marks behind them: the library's model takes these as they are.
+            out, others = [None] * len(parts), []
+            for i, part in enumerate(parts):
+                word = part.rstrip(_MARKS)
+                if word[:1] == " " and word[1:].isalpha():
+                    end = part[len(word) :]
+                    if end not in marks:
+                        marks[end] = merged(end)
+                    out[i] = array("I", merged(word) + marks[end]).tobytes()
+                    if len(marks) > 10_000:
+                        marks.clear()
                 else:
-                    ids = next(others).ids
-                out.append(array("I", ids).tobytes())
+                    others.append(i)
+            found = tokenizer.encode_batch_fast([parts[i] for i in others], add_special_tokens=False)
+            for i, e in zip(others, found):
+                out[i] = array("I", e.ids).tobytes()
             return out
 
         _ENCODERS[tokenizer_path] = ChunkEncoder(encode_many)

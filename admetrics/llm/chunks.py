@@ -13,11 +13,22 @@ CACHED_CHARS = 48
 _CALL_CHARS = 2_000_000
 
 
+#: White space other than the space, for Python or for the pre-tokenizer: fixed values.
+_OTHER_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def _loose(text: str) -> bool:
+    """Whether a space stands at an end of the text or beside other white space."""
+    if "  " in text or text[:1] == " " or text[-1:] == " ":
+        return True
+    return any(c in text and (" " + c in text or c + " " in text) for c in _OTHER_SPACE)
+
+
 def chunks(text: str) -> list[str]:
     """The chunks of a text without their leading spaces; joined by single spaces they give the text again."""
-    parts, words = text.split(" "), text.split()
-    if len(text) - sum(map(len, words)) == len(words) - 1:
-        return parts  # single white space between words, and none at the ends
+    parts = text.split(" ")
+    if not _loose(text):
+        return parts
     out, start = [], 0
     for i in range(1, len(parts)):
         left, right = parts[i - 1], parts[i]
