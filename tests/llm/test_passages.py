@@ -160,3 +160,26 @@ def test_pipeline_of_odd_rows(spark):
         docs = spark.createDataFrame(stage(spark, docs, SF_DIR).collect(), docs.schema) if name != "BPE encoding" else stage(spark, docs, SF_DIR)
     assert docs.count() == docs.select("doc_id").distinct().count() > 0
     assert np.all([r.n_tokens > 0 for r in docs.collect()])
+
+
+def test_repeats_need_length_and_a_share_of_the_host(spark):
+    """Common word runs on a large host, copies of a page, and near-copies lose no text; a notice on most pages goes."""
+    rng = random.Random(9)
+    few = [f"w{i}" for i in range(12)]
+    notice = "<div>All prices include tax in this shop</div>"
+    bodies = ["".join(f"<p>{' '.join(rng.choices(few, k=rng.randint(6, 12)))} {i} {k}</p>" for k in range(3)) for i in range(400)]
+    rows = [(i, f"http://big.com/{i}", notice + b) for i, b in enumerate(bodies)]
+    rows += [(1000 + i, f"http://big.com/copy{i}", notice + bodies[0]) for i in range(300)]
+    rows += [(2000 + i, f"http://two.com/{i}", "<p>one text under two addresses</p>") for i in range(2)]
+    long = [" ".join(f"near{j}x{k}" for k in range(40)) for j in range(2)]
+    rows += [(3000 + i, f"http://near.com/{i}", f"<p>{long[0]}</p><p>{long[1]}</p><p>seen {i} times</p>") for i in range(4)]
+    rows += [(4000 + i, f"http://same.com/{i}", "".join(f"<p>{t}</p>" for t in rng.sample(["only a part", "another part", "third part"], 3))) for i in range(6)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    whole, cut = ({r.page_id: r.text for r in html_text.extract(pages, shard=n).collect()} for n in (10**6, 300))
+    assert whole == cut and len(whole) == len(rows)
+    for page_id, _, page in rows[:700]:
+        assert whole[page_id] == "\n".join(re.findall("<p>(.*?)</p>", page))
+    assert whole[2000] == whole[2001] == "one text under two addresses"
+    assert sum(long[0] in whole[3000 + i] and long[1] in whole[3000 + i] for i in range(4)) == 1
+    assert all(f"seen {i} times" in whole[3000 + i] for i in range(4))
+    assert all(whole[4000 + i].count("\n") == 2 for i in range(6))
