@@ -183,3 +183,29 @@ def test_repeats_need_length_and_a_share_of_the_host(spark):
     assert sum(long[0] in whole[3000 + i] and long[1] in whole[3000 + i] for i in range(4)) == 1
     assert all(f"seen {i} times" in whole[3000 + i] for i in range(4))
     assert all(whole[4000 + i].count("\n") == 2 for i in range(6))
+
+
+@pytest.mark.parametrize(
+    "page,content",
+    [
+        ('<div class="has-sidebar"><article><p>all</p><div class="share">no</div></article></div>', "all"),
+        ('<div class="no-ads" id="search-layout"><main class="search">all<form>no</form></main></div>', "all"),
+        ('<div class="search"><form action="/x"><article>all</article></form></div>', "all"),
+        ('<div class="comments"><main role="main"><div class="cookie-notice">no</div>all</main></div>', "all"),
+        ("<aside><article>teaser</article></aside><form><article>one</article></form><article>two</article>", "one\ntwo"),
+    ],
+)
+def test_labels_around_content_leave_it(page, content):
+    assert html_text.parse(page)[0] == content
+
+
+def test_labels_are_whole_tokens_and_never_hold_all():
+    def kinds(page):
+        return html_text.parse(page)[1]
+
+    for label in ("has-sidebar", "no-ads", "search-layout", "download", "researchSearchers"):
+        assert kinds(f'<div class="{label}">x</div><p>y</p>') == [html_text.OPEN] * 2
+    for label in ("sidebar", "big ad", "cookie-notice", "site-footer", "cookieBanner"):
+        assert kinds(f'<div class="{label}">x</div><p>y</p>') == [html_text.CHROME, html_text.OPEN]
+    assert kinds('<form><div id="search">x<nav>n</nav></div></form>') == [html_text.OPEN, html_text.CHROME]
+    assert kinds("<nav>n</nav>") == [html_text.OPEN]
