@@ -1,12 +1,16 @@
-"""Cross-entropy difference: a target and a background bigram model over one vocabulary, and their loss on each document.
+"""Cross-entropy difference: a target and a background bigram model over all words, and their loss on each document.
 
-Tokens are runs of letters in the case they have, runs of digits, and single other characters that are not white space; the vocabulary is the `size - 2` most frequent ones of all documents, an entry for all other words and one for the
-start of a document. Both models are counted in one pass over all documents, the background on all of them, the target on the chosen ones, and are
-smoothed alike: p(w | v) = (c(v, w) + m p(w)) / (c(v) + m), with p(w) = (c(w) + 1) / (N + size). A document's loss is the mean of
+Tokens are runs of letters in the case they have, runs of digits, and single other characters that are not white space. The vocabulary is all words
+of the documents, an entry for unknown words and one for the start of a document. Both models are counted in one pass over all documents, the background on all of them, the target on the chosen ones, and are
+smoothed alike: p(w | v) = (c(v, w) + m p(w)) / (c(v) + m), with p(w) = (c(w) + 1) / (N + vocabulary). A document's loss is the mean of
 -ln p over its tokens; its score is target loss minus background loss, so low scores are like the target.
 
-What is gathered grows with the corpus: words and bigrams are counted in each task and added by Spark. What reaches the
-driver is the vocabulary and at most size * size bigrams, and what is broadcast are two matrices of that size.
+What is gathered grows with the corpus: the counts of all words and of all bigrams are Spark tables, and nothing but three totals reaches the driver.
+To score, each task gathers the bigrams of a slice of documents, with the documents that have them, so a common bigram is one row a slice; these
+rows are joined with the losses of the bigrams and added up by document. Words are known by 64-bit hashes, and so are
+texts; equal texts are scored together. A bigram that was not counted takes its loss from the counts of its two words.
+
+`train` with a `size` gives a model over the `size - 2` most frequent words only, kept in memory as two matrices.
 
 Defined cases: a null or blank text has no tokens and null losses. A null doc_id is scored, but never target. Repeated
 target ids count once, repeated documents each time. Ties in the vocabulary go to the first word in order. With no documents there are no
@@ -14,17 +18,20 @@ rows; with no target both models are smoothed to the same, uniform distribution
 """
 
 import re
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from admetrics.llm.chunks import in_calls
 from admetrics.session import materialize
 
-SIZE = 2048
 MASS = 50.0
 OTHER, START = 0, 1
+#: Stands for the start of a document among the hashes of words.
+_START_KEY = xxhash.xxh64_intdigest("", 3)
 _TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]|_")
 _TALLY = 400_000
 
@@ -33,7 +40,7 @@ def tokens_of(text: str | None) -> list[str]:
     return _TOKEN.findall(text or "")
 
 
-def vocabulary(docs: DataFrame, size=SIZE) -> list[str]:
+def vocabulary(docs: DataFrame, size) -> list[str]:
     """The most frequent words of all documents, most frequent first."""
 
     def count(batches):
@@ -61,7 +68,7 @@ def _ids(words, numbers):
     return np.fromiter((numbers.get(w, OTHER) for w in words), np.int64, len(words))
 
 
-def bigrams(docs: DataFrame, words: list[str], size=SIZE) -> DataFrame:
+def bigrams(docs: DataFrame, words: list[str], size) -> DataFrame:
     """Counts of (before * size + word): in all documents and in those whose `target` is true."""
     sent = docs.sparkSession.sparkContext.broadcast(words)
 
@@ -86,7 +93,7 @@ def bigrams(docs: DataFrame, words: list[str], size=SIZE) -> DataFrame:
     return counted.groupBy("pair").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
 
 
-def losses(pair: np.ndarray, n: np.ndarray, size=SIZE, mass=MASS) -> np.ndarray:
+def losses(pair: np.ndarray, n: np.ndarray, size, mass=MASS) -> np.ndarray:
     """-ln p(word | before) as a matrix before x word, from bigram counts."""
     counts = np.zeros(size * size)
     counts[pair] = n
@@ -95,23 +102,145 @@ def losses(pair: np.ndarray, n: np.ndarray, size=SIZE, mass=MASS) -> np.ndarray:
     return -np.log((counts + mass * single) / (counts.sum(1, keepdims=True) + mass)).astype(np.float32)
 
 
-def train(docs: DataFrame, target_ids: DataFrame, size=SIZE, mass=MASS):
-    """(vocabulary, target losses, background losses); the target documents are those with a doc_id of `target_ids`."""
-    docs = docs.select("doc_id", "text")
-    words = vocabulary(docs, size)
+def _counted_pairs(texts: list[str]):
+    """The hashes of a slice's distinct words, then, sorted by bigram and text: places of its two words, text, how often."""
+    numbers, parts = {}, []
+    for text in texts:
+        words = tokens_of(text)
+        ids = np.fromiter((numbers.setdefault(w, len(numbers) + 1) for w in words), np.int64, len(words))
+        parts.append(np.concatenate([[0], ids]))
+    size, many = len(numbers) + 1, len(texts)
+    code = np.concatenate([(p[:-1] * size + p[1:]) * many + i for i, p in enumerate(parts)])
+    code, times = np.unique(code, return_counts=True)
+    pair, text = np.divmod(code, many)
+    keys = np.array([_START_KEY, *[xxhash.xxh64_intdigest(w, 3) for w in numbers]], np.uint64).view(np.int64)
+    return keys, *np.divmod(pair, size), text, times
+
+
+@dataclass(frozen=True)
+class Counts:
+    """All bigrams (before, word, n, n_target), all words (key, as word and as before: n and n_target), and totals."""
+
+    pairs: DataFrame
+    words: DataFrame
+    tokens: int
+    target_tokens: int
+    size: int
+    mass: float
+
+    def losses(self, pair: tuple, word: tuple, before: tuple):
+        """-ln p of the target and of the background, from counts (target, background) of the bigram and its words."""
+        out = []
+        for c, w, v, total in zip(pair, word, before, (self.target_tokens, self.tokens)):
+            single = (F.coalesce(w, F.lit(0)) + 1) / F.lit(float(total + self.size))
+            out.append(F.log(F.coalesce(v, F.lit(0)) + self.mass) - F.log(c + self.mass * single))
+        return out
+
+
+def _marked(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
+    """text and whether the document is one of the target."""
     chosen = target_ids.select("doc_id").where("doc_id IS NOT NULL").distinct().withColumn("target", F.lit(True))
     # A merge join at every size of the labels, so that what is shuffled grows in proportion to the documents.
-    marked = docs.join(chosen.hint("merge"), "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    table = materialize(bigrams(marked, words, size), "bigrams").toArrow()
+    return docs.select("doc_id", "text").join(chosen.hint("merge"), "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
+
+
+def count_all(docs: DataFrame, target_ids: DataFrame, mass=MASS) -> Counts:
+    """The counts of all words and bigrams; the target documents are those with a doc_id of `target_ids`."""
+
+    def count(batches):
+        for batch in batches:
+            chosen = np.array(batch.column("target").to_pylist(), bool)
+            for at, call in in_calls(batch.column("text").to_pylist()):
+                keys, before, word, text, times = _counted_pairs(call)
+                if not len(times):
+                    continue
+                new = np.flatnonzero(np.concatenate([[True], (before[1:] != before[:-1]) | (word[1:] != word[:-1])]))
+                of_target = np.add.reduceat(times * chosen[at : at + len(call)][text], new)
+                columns = [keys[before[new]], keys[word[new]], np.add.reduceat(times, new), of_target]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["before", "word", "n", "n_target"])
+
+    rows = _marked(docs, target_ids).mapInArrow(count, "before bigint, word bigint, n bigint, n_target bigint")
+    pairs = materialize(rows.groupBy("before", "word").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target")), "bigrams")
+    sums = [
+        pairs.groupBy(F.col(c).alias("key")).agg(F.sum(n).alias("n"), F.sum(t).alias("n_target"), F.sum(bn).alias("n_before"), F.sum(bt).alias("n_before_target"))
+        for c, n, t, bn, bt in (("word", F.col("n"), F.col("n_target"), F.lit(0), F.lit(0)), ("before", F.lit(0), F.lit(0), F.col("n"), F.col("n_target")))
+    ]
+    names = ("n", "n_target", "n_before", "n_before_target")
+    words = materialize(sums[0].union(sums[1]).groupBy("key").agg(*[F.sum(c).cast("bigint").alias(c) for c in names]), "words")
+    total = words.agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"), F.count_if(F.col("n") > 0).alias("words")).first()
+    return Counts(pairs, words, total.n or 0, total.n_target or 0, total.words + 2, mass)
+
+
+def _score_all(docs: DataFrame, model: Counts, text, kept) -> DataFrame:
+    def split(batches):
+        for batch in batches:
+            known = batch.column("text_key").to_numpy()
+            for at, call in in_calls(batch.column("text").to_pylist()):
+                keys, before, word, place, times = _counted_pairs(call)
+                if not len(times):
+                    continue
+                new = np.flatnonzero(np.concatenate([[True], (before[1:] != before[:-1]) | (word[1:] != word[:-1])]))
+                offsets = pa.array(np.append(new, len(times)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(keys[before[new]]),
+                        pa.array(keys[word[new]]),
+                        pa.ListArray.from_arrays(offsets, pa.array(known[at : at + len(call)][place])),
+                        pa.ListArray.from_arrays(offsets, pa.array(times.astype(np.int32))),
+                    ],
+                    ["before", "word", "texts", "times"],
+                )
+
+    def words_as(side):
+        return model.words.select(F.col("key").alias(f"{side}_key"), *[F.col(c).alias(f"{side}_{c}") for c in model.words.columns[1:]]).hint("merge")
+
+    def taken(pair):
+        sides = (("word_n_target", "word_n"), ("before_n_before_target", "before_n_before"))
+        return model.losses(pair, *[tuple(map(F.col, side)) for side in sides])
+
+    target, background = taken((F.col("n_target"), F.col("n")))
+    pairs = model.pairs.join(words_as("word"), F.col("word") == F.col("word_key")).join(words_as("before"), F.col("before") == F.col("before_key"))
+    pairs = pairs.select("before", "word", target.alias("target"), background.alias("background"))
+    key = F.xxhash64(F.col(f"`{text}`").cast("string"))
+    rows = docs.select(key.alias("text_key"), F.col(f"`{text}`").alias("text")).where("text IS NOT NULL")
+    rows = rows.mapInArrow(split, "before bigint, word bigint, texts array<bigint>, times array<int>")
+    joined = rows.join(pairs.hint("merge"), ["before", "word"], "left")
+    joined = joined.select("*", F.explode(F.arrays_zip("texts", "times")).alias("of"))
+    unseen = F.col("target").isNull()
+    by_text = joined.groupBy(F.col("of.texts").alias("text_key"), F.when(unseen, F.col("before")).alias("v"), F.when(unseen, F.col("word")).alias("w"))
+    sums = by_text.agg(F.sum("of.times").alias("k"), *[F.sum(F.col(c) * F.col("of.times")).alias(c) for c in ("target", "background")])
+    # Sums of counted bigrams look up nothing; the key of the text spreads them.
+    sums = sums.join(words_as("word"), F.coalesce("w", "text_key") == F.col("word_key"), "left").join(words_as("before"), F.coalesce("v", "text_key") == F.col("before_key"), "left")
+    fresh = taken((F.lit(0), F.lit(0)))
+    means = [F.sum(F.when(F.col("w").isNull(), F.col(c)).otherwise(F.col("k") * f)) for c, f in zip(("target", "background"), fresh)]
+    found = sums.groupBy("text_key").agg(F.sum("k").alias("k"), *[m.alias(c) for m, c in zip(means, ("target", "background"))])
+    # A text given `copies` times counts as often in the sums, so the means stand, and its tokens are a share of them.
+    copies = docs.groupBy(key.alias("text_key")).agg(F.count("*").alias("copies"))
+    found = found.join(copies.hint("merge"), "text_key")
+    n, target, background = (F.col("k") / F.col("copies")).cast("bigint"), F.col("target") / F.col("k"), F.col("background") / F.col("k")
+    found = found.select("text_key", n.alias("n_tokens"), target.alias("target_loss"), background.alias("background_loss"), (target - background).alias("score"))
+    given = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"), F.when(F.col(f"`{text}`").isNotNull(), key).alias("text_key"))
+    scored = given.join(found.hint("merge"), "text_key", "left").withColumn("n_tokens", F.coalesce("n_tokens", F.lit(0).cast("bigint")))
+    return scored.select("_row.*", "n_tokens", "target_loss", "background_loss", "score")
+
+
+def train(docs: DataFrame, target_ids: DataFrame, size=None, mass=MASS):
+    """`Counts` of all words, or with a `size` (vocabulary, target losses, background losses) of the most frequent ones."""
+    if size is None:
+        return count_all(docs, target_ids, mass)
+    words = vocabulary(docs, size)
+    table = materialize(bigrams(_marked(docs, target_ids), words, size), "bigrams").toArrow()
     pair, n, n_target = (table.column(c).to_numpy() for c in ("pair", "n", "n_target"))
     return words, losses(pair, n_target, size, mass), losses(pair, n, size, mass)
 
 
 def score(docs: DataFrame, model, text="text") -> DataFrame:
     """The input with n_tokens, target_loss, background_loss and score."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
     names = ("n_tokens", "target_loss", "background_loss", "score")
     kept = [c for c in docs.columns if c not in names]
+    if isinstance(model, Counts):
+        return _score_all(docs, model, text, kept)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def judge(batches):
         words, *models = sent.value

@@ -144,3 +144,49 @@ def test_scores_tell_quality(spark):
     found = lm_scoring.score(table.join(labels.where(held_out(F.col("doc_id"))), "doc_id"), model).where("score IS NOT NULL").collect()
     good, bad = ([r.score for r in found if r.quality == q] for q in (1, 0))
     assert np.mean([[g < b for b in bad] for g in good]) > 0.95
+
+
+def test_all_words_and_bigrams_count(spark, docs):  # noqa: F811
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(["the", "of", str(rng.randrange(6000))]) for _ in range(rng.randint(1, 90))) for _ in range(240)] + [None, "", "a a a a"]
+    frame = docs(*texts, (0, texts[0]), (None, texts[1]))
+    rows = [*texts, texts[0], texts[1]]
+    chosen = [i % 3 == 0 for i in range(len(texts))] + [True, False]
+    target = spark.createDataFrame([(i,) for i in range(0, len(texts), 3)], "doc_id bigint")
+    vocabulary = {w for t in rows for w in lm_scoring.tokens_of(t)}
+    assert len(vocabulary) > 2046
+    pairs, words, before = ([{}, {}] for _ in range(3))
+
+    def bigrams(text):
+        tokens = lm_scoring.tokens_of(text)
+        return list(zip([None, *tokens], tokens))
+
+    for text, is_target in zip(rows, chosen):
+        for v, w in bigrams(text):
+            for m in range(1 + is_target):
+                for table, k in ((pairs, (v, w)), (words, w), (before, v)):
+                    table[m][k] = table[m].get(k, 0) + 1
+
+    totals = [sum(w.values()) for w in words]
+
+    def loss(m, v, w):
+        single = (words[m].get(w, 0) + 1) / (totals[m] + len(vocabulary) + 2)
+        return -math.log((pairs[m].get((v, w), 0) + lm_scoring.MASS * single) / (before[m].get(v, 0) + lm_scoring.MASS))
+
+    model = lm_scoring.train(frame, target)
+    assert model.pairs.count() == len(pairs[0])
+    new = [(900, "the unheard of the " + texts[5][::-1]), (901, texts[4])]
+    for given in (frame.withColumn("score", F.lit(1)), docs(*new)):
+        found = lm_scoring.score(given, model)
+        assert found.columns == ["doc_id", "text", "n_tokens", "target_loss", "background_loss", "score"]
+        found = found.collect()
+        assert len(found) == given.count()
+        for r in found:
+            two = bigrams(r.text)
+            assert r.n_tokens == len(two)
+            if not two:
+                assert (r.target_loss, r.background_loss, r.score) == (None, None, None)
+                continue
+            t, b = (sum(loss(m, v, w) for v, w in two) / len(two) for m in (1, 0))
+            assert (r.target_loss, r.background_loss, r.score) == pytest.approx((t, b, t - b), abs=1e-9)
+    assert lm_scoring.score(frame, lm_scoring.train(frame.limit(0), target)).count() == len(rows)
