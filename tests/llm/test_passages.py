@@ -209,3 +209,13 @@ def test_labels_are_whole_tokens_and_never_hold_all():
         assert kinds(f'<div class="{label}">x</div><p>y</p>') == [html_text.CHROME, html_text.OPEN]
     assert kinds('<form><div id="search">x<nav>n</nav></div></form>') == [html_text.OPEN, html_text.CHROME]
     assert kinds("<nav>n</nav>") == [html_text.OPEN]
+
+
+def test_shards_count_pages_and_repeated_rows_once(spark):
+    rows = [(None, i, [], []) for i in range(50)] + [(None, 7, [html_text.OPEN], ["same"])] * 200
+    rows += [(None, 1000 + i, [html_text.OPEN], ["x"]) for i in range(100)]
+    rows = [("", *r) for r in rows]
+    parsed = spark.createDataFrame(rows, "host string, content string, key bigint, kinds array<int>, texts array<string>")
+    contents = html_text.open_contents(parsed)
+    assert sorted(r.key for r in contents.collect()) == [7, *range(1000, 1100)]
+    assert [tuple(r) for r in html_text.host_sizes(contents, 80).collect()] == [("", 101, 11)]
