@@ -3,12 +3,15 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from admetrics.llm import bitpack, bpe, html_text, langid, lm_scoring, quality_rules, simhash, tiling, url_filters, warc
+from admetrics.llm import bitpack, bpe, filter_audit, html_text, langid, lm_scoring, quality_rules, ranked_search, sharding, simhash, tiling
+from admetrics.llm import url_filters, warc
 
 #: The tokenizer of the encoding queries: where its file is, how many ids it has, and the id written after each document.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 VOCABULARY = 50_257
 END_ID = 2
+#: Shards of the sharding query.
+SHARDS = 40
 
 #: Rules of the URL query: fixed values.
 URL_RULES = (
@@ -85,6 +88,25 @@ def op10_url_filters(spark, sf_dir):
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_ranked_search(spark, sf_dir):
+    docs = _read(spark, sf_dir, "documents", "doc_id", "text")
+    return ranked_search.search(docs, _read(spark, sf_dir, "benchmark", "item_id", "text"), k=10)
+
+
+def op12_sharding(spark, sf_dir):
+    """Shards of equal bytes by source, language and length."""
+    docs = _read(spark, sf_dir, "documents", "doc_id", "text", "source", "lang", "n_chars")
+    found = sharding.assign(docs, ("source", "lang", "n_chars"), SHARDS)
+    return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op13_filter_audit(spark, sf_dir):
+    checked, tables = filter_audit.failing(_read(spark, sf_dir, "documents", "doc_id", "text", "source"))
+    labels = _read(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
+    marks = {"good": filter_audit.labelled(checked, labels.where("quality = 1")), "toxic": filter_audit.labelled(checked, labels.where("toxic = 1"))}
+    return filter_audit.audit(checked, tables, marks)
+
+
 QUERIES = {
     "op1_langid": op1_langid,
     "op2_bitpack": op2_bitpack,
@@ -96,6 +118,9 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_decontamination": op9_decontamination,
     "op10_url_filters": op10_url_filters,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_sharding": op12_sharding,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 _WARC_SQL = """
@@ -170,8 +195,64 @@ FROM parts LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts
 QUALIFY row_number() OVER (PARTITION BY r ORDER BY length(h || p) DESC, length(h) DESC, action DESC) = 1
 """
 
+_SEARCH_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+b AS (
+  SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+  FROM benchmark),
+asked AS (SELECT i, item_id, t, count(*) AS q FROM b GROUP BY ALL),
+total AS (SELECT count(*)::BIGINT AS n_docs, sum(len(words))::BIGINT AS n_terms FROM d WHERE len(words) > 0),
+occurring AS (SELECT r, unnest(words) AS t FROM d),
+tfs AS (SELECT r, t, count(*)::BIGINT AS tf FROM occurring SEMI JOIN asked USING (t) GROUP BY ALL),
+rarity AS (SELECT t, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tfs, total GROUP BY t),
+lengths AS (SELECT r, doc_id, 100 - 75 + ((75 * len(words)::BIGINT * n_docs) // n_terms) AS m FROM d, total WHERE len(words) > 0),
+scores AS (
+  SELECT i, item_id, r, doc_id, sum(q * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM asked JOIN rarity USING (t) JOIN tfs USING (t) JOIN lengths USING (r) GROUP BY ALL)
+SELECT item_id, (row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST))::INT AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 10
+"""
+
+_AUDIT_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id FROM documents),
+cut AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM texts),
+docs AS (
+  SELECT part, doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS good, doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS toxic,
+    CASE WHEN len(w) < 50 THEN 'A' ELSE '' END
+      || CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END
+      || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 'C' ELSE '' END
+      || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+      || CASE WHEN doc_id > first_id THEN 'E' ELSE '' END AS fails
+  FROM cut),
+counted AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic FROM docs GROUP BY ALL),
+names(f) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM names a, names b, names c, names d, names e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (
+  SELECT filter_order, s::INT AS step, filter_order[s:s] AS f, filter_order[1:s - 1] AS before, filter_order[1:s] AS upto
+  FROM orders, range(1, 6) AS x(s)),
+found AS (
+  SELECT part, filter_order, step, f,
+    coalesce(sum(n) FILTER (translate(fails, upto, '') = fails), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (contains(fails, f) AND translate(fails, before, '') = fails), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (contains(fails, f) AND translate(fails, before, '') <> fails), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (fails = f), 0)::BIGINT AS unique_fails,
+    coalesce(sum(n_good) FILTER (contains(fails, f) AND translate(fails, before, '') = fails), 0)::BIGINT AS good_lost,
+    coalesce(sum(n_toxic) FILTER (contains(fails, f) AND translate(fails, before, '') = fails), 0)::BIGINT AS toxic_lost
+  FROM counted, steps GROUP BY ALL)
+SELECT * EXCLUDE (f), (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM found
+"""
+
 ORACLES = {
     "op6_warc": _WARC_SQL,
     "op8_quality_rules": quality_sql(),
     "op10_url_filters": _URL_SQL,
+    "op11_ranked_search": _SEARCH_SQL,
+    "op13_filter_audit": _AUDIT_SQL,
 }

@@ -1,0 +1,109 @@
+"""Ranked search against brute force over all documents."""
+
+import math
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from admetrics.llm import queries, ranked_search
+from admetrics.llm.ranked_search import search, terms
+from conftest import SF_DIR
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    return TERM.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def brute(docs, items, k):
+    """docs: (doc_id, text); items: (item_id, text). All rows of all items, sorted."""
+    bags = [(d, Counter(words(t))) for d, t in docs]
+    bags = [(d, b) for d, b in bags if b]
+    n, length = len(bags), sum(sum(b.values()) for _, b in bags)
+    df = Counter(t for _, b in bags for t in b)
+    out = []
+    for item, text in items:
+        scored = []
+        for d, b in bags:
+            m, score = 100 - 75 + (75 * sum(b.values()) * n) // length, 0
+            for t, q in Counter(words(text)).items():
+                if b[t]:
+                    w = math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1)))
+                    score += q * w * ((1000000000 * b[t]) // (1000 * b[t] + 8 * m))
+            if score > 0:
+                scored.append((-score, d is None, d or 0))
+        scored.sort()
+        out += [(item, i, None if none else d, -s) for i, (s, none, d) in enumerate(scored[:k], 1)]
+    return sorted(out, key=repr)
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.select("item_id", "rank", "doc_id", "score").collect()), key=repr)
+
+
+def frames(spark, docs, items):
+    return (
+        spark.createDataFrame(docs, "doc_id bigint, text string").selectExpr("*", "'x' AS item_id", "1 AS rank", "2 AS n", "3 AS _text"),
+        spark.createDataFrame(items, "item_id bigint, text string").selectExpr("*", "1 AS item", "'t' AS term", "0 AS doc_id"),
+    )
+
+
+def test_terms_follow_the_pattern():
+    text = "Ab_c D'E x\x00y\x7fZé ÀÉ 日本 a1٣  q\t[K]^`{|}~9 " + "".join(map(chr, range(300)))
+    assert [t.decode() for t in terms(text.encode())] == words(text)
+    assert terms(None) == terms(b"") == terms(b" ,.") == []
+
+
+EDGE = [
+    (0, "the cat sat on the mat"), (1, "The CAT"), (2, None), (3, ""), (4, " .,;"), (5, "the the the the"), (6, "dog"), (7, "cat"), (7, "cat"),
+    (None, "cat"), (8, "cat"), (9, "Cat dog " + "filler " * 3000), (10, "日本 cat 日本"), (None, None),
+]
+
+
+def test_edge_rows(spark):
+    items = [(1, "cat"), (2, "the the CAT dog"), (3, None), (4, "absent"), (5, ""), (None, "日本 dog"), (1, "cat"), (6, "the " * 500)]
+    docs, asked = frames(spark, EDGE, items)
+    for k in (1, 3, 10):
+        assert rows(search(docs, asked, k)) == brute(EDGE, items, k)
+    assert rows(search(docs.limit(0), asked)) == rows(search(docs, asked.limit(0))) == []
+
+
+@pytest.mark.parametrize("options", [{}, {"depth": 1}, {"depth": 2, "chunk": (7, 10_000)}, {"block_terms": 9, "chunk": (1000, 40)}])
+def test_equals_brute_force(spark, options):
+    rng = np.random.default_rng(5)
+    lexicon = [f"w{i}" for i in range(60)]
+    draw = lambda n: " ".join(rng.choice(lexicon, n, p=(p := 1 / np.arange(1, 61)) / p.sum()))
+    data = [(int(i), draw(rng.integers(1, 40))) for i in rng.permutation(300)]
+    # A third of all rows has one text, so ties reach far beyond k.
+    data += [(1000 + i, data[0][1]) for i in range(150)]
+    items = [(i, draw(rng.integers(1, 15))) for i in range(12)] + [(99, data[0][1])]
+    docs, asked = frames(spark, data, items)
+    assert rows(search(docs.repartition(3), asked, 10, **options)) == brute(data, items, 10)
+
+
+def test_reading_stops_early():
+    """A document that leads every list ends the reading before the lists end."""
+    n = 5000
+    reads = []
+
+    class Counted(np.ndarray):
+        def __getitem__(self, key):
+            if isinstance(key, slice) and key.stop is not None:
+                reads.append(key.stop)
+            return super().__getitem__(key)
+
+    lists = []
+    for weight in (5, 7):
+        impact = np.concatenate([[100_000, 90_000], np.full(n - 2, 10)]).astype(np.int64)
+        lists.append((weight, np.arange(n).view(Counted), impact))
+    found, scores = ranked_search.no_random_access(lists, n, 2, depth=4)
+    assert found.tolist() == [0, 1] and scores.tolist() == [1_200_000, 1_080_000]
+    assert max(reads) == 4
+
+
+def test_whole_table(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
+    items = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").select("item_id", "text").collect()
+    assert rows(queries.op11_ranked_search(spark, SF_DIR)) == brute(docs, items, 10)

@@ -1,0 +1,116 @@
+"""The k-d tree of shards: sizes, slots, hot rows, against a tree grown over sorted lists."""
+
+import zlib
+from collections import defaultdict
+
+import pytest
+from admetrics.llm import queries, sharding
+from conftest import SF_DIR
+
+
+def by_shard(rows):
+    out = defaultdict(list)
+    for r in rows:
+        out[r.shard].append(r)
+    return out
+
+
+def check(rows, texts):
+    """texts: (doc_id, text) of all rows."""
+    assert sorted(((r.doc_id, r.size, r.text_crc32) for r in rows), key=repr) == sorted(
+        ((d, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for d, t in texts), key=repr
+    )
+    for members in by_shard(rows).values():
+        assert sorted(r.slot for r in members) == list(range(len(members)))
+
+
+def sizes(rows, shards):
+    found = by_shard(rows)
+    assert set(found) <= set(range(shards))
+    return [sum(r.size for r in found[s]) for s in range(shards)]
+
+
+def test_query(spark):
+    found = queries.op12_sharding(spark, SF_DIR)
+    assert found.dtypes == [
+        ("doc_id", "bigint"), ("size", "bigint"), ("text_crc32", "bigint"), ("law", "string"), ("shard", "int"), ("slot", "bigint"), ("grown_shard", "int")
+    ]
+    rows, docs = found.collect(), spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
+    check(rows, [(d.doc_id, d.text) for d in docs])
+    assert {r.law for r in rows} == {"bytes"} and {r.grown_shard for r in rows} == {None}
+    # A cut is at most half a row off on each of six levels, and these rows are large beside a shard.
+    each, target = sizes(rows, 40), sum(r.size for r in rows) / 40
+    assert max(abs(x - target) for x in each) <= 2 * max(r.size for r in rows)
+
+
+def test_edge_rows(spark):
+    texts = [(1, "a"), (1, "a"), (None, None), (2, None), (3, ""), (4, "é" * 50_000), (None, "日本"), (5, "x y")]
+    docs = spark.createDataFrame([(d, t, None if d == 2 else "s" * (d or 0), d) for d, t in texts], "doc_id bigint, text string, source string, n int")
+    docs = docs.selectExpr("*", "0 AS row", "7 AS size", "9 AS shard", "1 AS d0", "2 AS tie", "3 AS slot")
+    for dims in ((), ("source",), ("n", "source"), ("d0",)):
+        rows = sharding.assign(docs, dims, 4).collect()
+        check(rows, texts)
+        assert len(by_shard(rows)) >= 2
+    assert sharding.assign(docs.limit(0), ("source", "n"), 4).collect() == []
+    assert {r.shard for r in sharding.assign(docs, ("n",), 1).collect()} == {0}
+
+
+@pytest.mark.parametrize("bins, few", [(4, 0), (16, 3), (4096, 500)])
+def test_equal_bytes_with_a_hot_third(spark, monkeypatch, bins, few):
+    """A third of all rows is one row many times; every cut still finds the median."""
+    monkeypatch.setattr(sharding, "BINS", bins)
+    monkeypatch.setattr(sharding, "FEW", few)
+    texts = [(7, "copy " * 4)] * 1000 + [(i, "t" * (i % 50)) for i in range(2000)]
+    docs = spark.createDataFrame([(d, t, f"src{d % 7}", d % 11) for d, t in texts], "doc_id bigint, text string, source string, n int").repartition(5)
+    rows = sharding.assign(docs, ("source", "n"), 7).collect()
+    check(rows, texts)
+    each = sizes(rows, 7)
+    assert max(each) - min(each) <= 6 * max(r.size for r in rows)
+
+
+def reference_tree(rows, shards, first, whole):
+    """The same tree over a list of (d0, d1, tie, size, i): each cut at the exact median."""
+    if shards == 1 or not rows:
+        return {r[-1]: first for r in rows}
+    width = [(max(r[d] for r in rows) - min(r[d] for r in rows)) / whole[d] for d in (0, 1)]
+    d = 0 if width[0] >= width[1] else 1
+    order = sorted(rows, key=(lambda r: (r[d], r[2])) if max(width) > 0 else (lambda r: r[2]))
+    rest, at, before = sum(r[3] for r in rows) * (shards // 2) / shards, 0, 0
+    while at < len(order) and before + order[at][3] / 2 < rest:
+        before += order[at][3]
+        at += 1
+    left = reference_tree(order[:at], shards // 2, first, whole)
+    return left | reference_tree(order[at:], shards - shards // 2, first + shards // 2, whole)
+
+
+def test_cuts_are_the_weighted_medians(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "TOLERANCE", 0)
+    monkeypatch.setattr(sharding, "BINS", 8)
+    texts = [(i, "z" * (i * i % 97)) for i in range(600)]
+    docs = spark.createDataFrame([(d, t, d % 13, d * 7 % 101) for d, t in texts], "doc_id bigint, text string, a int, b int")
+    meta = sharding.metadata(docs, ("a", "b"))
+    for few in (0, 40):
+        monkeypatch.setattr(sharding, "FEW", few)
+        found = {r.doc_id: r.shard for r in meta.withColumn("shard", sharding.shard_of(sharding.grow(meta, 9))).collect()}
+        data = [(r.d0, r.d1, r.tie, r.size, r.doc_id) for r in meta.collect()]
+        whole = [max(r[d] for r in data) - min(r[d] for r in data) for d in (0, 1)]
+        assert found == reference_tree(data, 9, 0, whole)
+
+
+def test_copies_stay_together(spark):
+    """Equal texts with equal metadata are next to each other, so few cuts part them."""
+    texts = [(i, f"text number {i % 300} of many") for i in range(3000)]
+    docs = spark.createDataFrame([(d, t, d % 300) for d, t in texts], "doc_id bigint, text string, n int")
+    rows = sharding.assign(docs, ("n",), 8).collect()
+    spread = defaultdict(set)
+    for r in rows:
+        spread[r.text_crc32].add(r.shard)
+    assert sum(len(s) > 1 for s in spread.values()) <= 7
+
+
+def test_written_shards(spark):
+    texts = [(i, "w" * (i % 9)) for i in range(200)] + [(None, None)]
+    docs = spark.createDataFrame([(d, t, d) for d, t in texts], "doc_id bigint, text string, shard bigint").selectExpr("*", "'k' AS row", "1 AS number")
+    back = spark.read.parquet(sharding.write_shards(docs, ("shard",), 5)).select("row.*", "shard")
+    assert back.columns[:-1] == docs.columns
+    assert sorted((r[0], r[1]) for r in back.where("doc_id IS NOT NULL").collect()) == texts[:-1] and back.count() == 201
