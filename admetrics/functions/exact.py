@@ -1,15 +1,13 @@
 """Sums and means of doubles that do not depend on row order.
 
-A double sum changes in its last bits with every partitioning. Here every finite value is added as an exact number and
-the total is rounded to a double once.
-
-Two ways lead to the same total. A value that is a whole number of millionths below ``_PIECES_BELOW`` is cut into units and
-millionths, two bigints whose sums run in generated code and combine map-side: that is money as it occurs, and about a
-tenth of the time of decimals. A ratio is cut further, down to 1e-18. Any other value is added as a decimal of its
-shortest form, with 18 places, or with 12 from 1e9 on. So the choice between the ways is one of speed; it leaves the total as it is.
-
-Limits: a group takes 9e10 values next to ``_PIECES_BELOW`` before a bigint overflows, which is an error and not a wrong sum. Digits of a
-money value below 1e-18 are dropped. Values of 1e22 and more, infinities and NaN are added as plain doubles.
+A double sum changes in its last bits with every partitioning. Here every finite value is added as an exact number, and the total is rounded to a
+double once. Money is added as the decimal it is written with (the shortest one that gives the double again): values below 1e9 share one
+decimal buffer with 18 places, and nearly all values do. A ratio is cut into units and units of 1e-18, a bigint and a decimal made from a bigint. Larger values go to
+a second decimal buffer with 12 places, which a double of that size cannot use up, and what is no ordinary number to a plain double sum. All of them are plain
+sums, so they run in generated code and combine map-side.
+
+Limits: a total of values below 1e9 may reach 1e20; beyond, Spark reports an overflow and gives no wrong sum. Digits below 1e-18 are
+dropped. Values of 1e22 and more, infinities and NaN are added as plain doubles.
 """
 
 from decimal import Decimal
@@ -19,23 +17,12 @@ from pyspark.sql import functions as F
 
 MONEY = 6
 RATIO = 18
-#: What a total consists of: units of 1e-18, decimals of large values, plain doubles.
-PARTS = ("low", "high", "odd")
-_PIECE = 1_000_000
-_PIECES_BELOW = 1e8
+#: What a total of money consists of: decimals of ordinary and of large values, plain doubles of the others.
+PARTS = {"main": "decimal(38,18)", "high": "decimal(38,12)", "odd": "double"}
 _LARGE_FROM = 1e9
+_RATIO_LARGE_FROM = 1e8
 _ODD_FROM = 1e22
-_LOW, _HIGH = "decimal(38,0)", "decimal(38,12)"
-
-
-def _cut(x: Column, digits: int) -> list[Column]:
-    """Units, millionths, ... down to ``digits`` decimals."""
-    pieces, rest = [], x
-    for place in range(0, digits + 1, 6):
-        piece = F.floor(rest + 0.5 if place == digits else rest)
-        rest = (rest - piece) * _PIECE
-        pieces.append(piece)
-    return pieces
+_PIECE = 1_000_000
 
 
 def _add(*terms: Column) -> Column:
@@ -46,55 +33,62 @@ def _add(*terms: Column) -> Column:
     return total
 
 
-def total_parts(x: Column, digits: int = MONEY, window=None) -> dict[str, Column]:
-    """The parts of a total as aggregates or window functions; each is NULL where nothing falls into it."""
-
-    def summed(value):
-        added = F.sum(value)
-        return added if window is None else added.over(window)
-
+def _large(x: Column, start) -> dict[str, Column]:
     size = F.abs(x)
-    cut = size < _PIECES_BELOW
-    if digits == MONEY:
-        units, millionths = _cut(F.when(cut, x), digits)
-        cut = F.coalesce((units * _PIECE + millionths) / _PIECE == x, F.lit(False))
-    low = None
-    for piece, place in zip(_cut(F.when(cut, x), digits), range(18, -1, -6)):
-        term = summed(piece).cast("decimal(20,0)") * F.lit(Decimal(10) ** place)
-        low = term.cast(_LOW) if low is None else (low + term).cast(_LOW)
-    fine = summed(F.when(~cut & (size < _LARGE_FROM), x).cast("decimal(38,18)"))
-    # With 18 places always written out, the text without its point is the number of units of 1e-18.
-    fine = F.replace(fine.cast("string"), F.lit("."), F.lit("")).cast(_LOW)
-    large = F.when((size >= _LARGE_FROM) & (size < _ODD_FROM), x)
     return {
-        "low": _add(low, fine).cast(_LOW),
-        "high": summed(large.cast(_HIGH)),
-        "odd": summed(F.when(F.isnan(x) | (size >= _ODD_FROM), x)),
+        "high": F.when((size >= start) & (size < _ODD_FROM), x).cast(PARTS["high"]),
+        "odd": F.when(F.isnan(x) | (size >= _ODD_FROM), x),
     }
 
 
+def _sums(values: dict, window) -> dict[str, Column]:
+    sums = {name: F.sum(value) for name, value in values.items()}
+    return sums if window is None else {name: total.over(window) for name, total in sums.items()}
+
+
+def total_parts(x: Column, window=None) -> dict[str, Column]:
+    """The parts of a total of money as aggregates or window functions; each is NULL where nothing falls into it."""
+    main = F.when(F.abs(x) < _LARGE_FROM, x).cast(PARTS["main"])
+    return _sums({"main": main, **_large(x, _LARGE_FROM)}, window)
+
+
 def add_parts(*parts: dict[str, Column]) -> dict[str, Column]:
     """The parts of the sum of several totals."""
-    kinds = {"low": _LOW, "high": _HIGH, "odd": "double"}
-    return {name: _add(*[p[name] for p in parts]).cast(kinds[name]) for name in PARTS}
+    return {name: _add(*[p[name] for p in parts]).cast(kind) for name, kind in PARTS.items()}
 
 
 def sum_parts(parts: dict[str, Column], window) -> dict[str, Column]:
     """Totals of stored parts over a window."""
-    kinds = {"low": _LOW, "high": _HIGH, "odd": "double"}
-    return {name: F.sum(parts[name]).over(window).cast(kinds[name]) for name in PARTS}
+    return {name: F.sum(parts[name]).over(window).cast(kind) for name, kind in PARTS.items()}
 
 
 def as_double(parts: dict[str, Column]) -> Column:
-    low, high, odd = (parts[name] for name in PARTS)
-    small = F.concat(low.cast("string"), F.lit("E-18"))
-    both = F.coalesce(small.cast(_HIGH) + high, high).cast("double")
-    exact = F.when(high.isNull(), small.cast("double")).otherwise(both)
+    main, high, odd = (parts[name] for name in PARTS)
+    both = F.coalesce(main.cast(PARTS["high"]) + high, high).cast("double")
+    exact = F.when(high.isNull(), main.cast("double")).otherwise(both)
+    return F.coalesce(exact + odd, exact, odd)
+
+
+def _ratio_sum(x: Column, window) -> Column:
+    """Each value to 18 places: its units, and three times six digits as one bigint."""
+    small = F.when(F.abs(x) < _RATIO_LARGE_FROM, x)
+    units = F.floor(small)
+    pieces, rest = [], small - units
+    for last in (False, False, True):
+        rest = rest * _PIECE
+        piece = F.floor(rest + 0.5 if last else rest)
+        rest = rest - piece
+        pieces.append(piece)
+    low = (pieces[0] * _PIECE + pieces[1]) * _PIECE + pieces[2]
+    sums = _sums({"units": units, "low": low.cast("decimal(20,0)"), **_large(x, _RATIO_LARGE_FROM)}, window)
+    places = (sums["units"].cast("decimal(19,0)") * F.lit(Decimal(10) ** 18) + sums["low"]).cast("decimal(38,0)")
+    main, high, odd = F.concat(places.cast("string"), F.lit("E-18")), sums["high"], sums["odd"]
+    exact = F.when(high.isNull(), main.cast("double")).otherwise(F.coalesce(main.cast(PARTS["high"]) + high, high).cast("double"))
     return F.coalesce(exact + odd, exact, odd)
 
 
 def exact_sum(x: Column, digits: int = MONEY, window=None) -> Column:
-    return as_double(total_parts(x, digits, window))
+    return as_double(total_parts(x, window)) if digits == MONEY else _ratio_sum(x, window)
 
 
 def exact_mean(x: Column, digits: int = RATIO, window=None) -> Column:

@@ -15,9 +15,9 @@ def _money(name):
     return exact_sum(F.col(name))
 
 
-def campaign_daily(df: DataFrame) -> DataFrame:
-    """Per campaign and day; the ratio columns are means of the row ratios."""
-    return (
+def campaign_daily(df: DataFrame, ordered=True) -> DataFrame:
+    """Per campaign and day; the ratio columns are means of the row ratios. A table that is stored needs no order."""
+    mart = (
         df.groupBy(*CAMPAIGN_ATTRIBUTES, "date")
         .agg(
             F.sum("impressions").alias("total_impressions"),
@@ -29,18 +29,18 @@ def campaign_daily(df: DataFrame) -> DataFrame:
             exact_mean(F.col("roas")).alias("avg_roas"),
         )
         .select(*CAMPAIGN_DAILY.names)
-        .orderBy("campaign_id", "date")
     )
+    return mart.orderBy("campaign_id", "date") if ordered else mart
 
 
-def channel_weekly(df: DataFrame, iso_year_groups=False) -> DataFrame:
+def channel_weekly(df: DataFrame, iso_year_groups=False, ordered=True) -> DataFrame:
     """Per channel, platform, year and ISO week.
 
     The year is the calendar year, so 2024-12-30 counts as week 1 of 2024; ``iso_year_groups`` takes the
     year the ISO week belongs to.
     """
     year = iso_year("date") if iso_year_groups else F.year("date")
-    return (
+    mart = (
         df.withColumns({"year": year, "week": F.weekofyear("date")})
         .groupBy("channel", "platform", "year", "week")
         .agg(
@@ -52,8 +52,8 @@ def channel_weekly(df: DataFrame, iso_year_groups=False) -> DataFrame:
             exact_mean(F.col("ctr")).alias("avg_ctr"),
         )
         .select(*CHANNEL_WEEKLY.names)
-        .orderBy("year", "week", "channel")
     )
+    return mart.orderBy("year", "week", "channel") if ordered else mart
 
 
 def campaign_channel_report(fact: DataFrame, dims: dict) -> DataFrame:

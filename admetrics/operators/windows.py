@@ -1,23 +1,29 @@
 """Rolling, running and ranking columns of Silver.
 
-A window per campaign, or per channel and week, would put each of these few groups into one task. So the rolling averages come from day
-totals, and the running total and the rank from ranges of the sorted rows (`ranges.py`): there is one form for all sizes, and one campaign, day
-or channel with a third of all rows spreads over the cluster.
+A window per campaign, or per channel and week, puts each group into one task. That is the cheapest way while the groups are small, so their
+sizes are counted first. Where the largest has more rows than a range (`ranges.py`), the rolling averages come from day
+totals, and the running total and the rank from ranges of the sort key, so that one campaign, day
+or channel with a third of all rows spreads over the cluster. Each of the two costs one shuffle of the rows: a pass over the keys finds
+what lies before each range, at most one row per border, which is broadcast to the rows that were dealt to their ranges. Both ways give the same rows.
 """
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from admetrics.functions.calendar import day_ordinal, iso_year
 from admetrics.functions.exact import (
+    MONEY,
     PARTS,
     add_parts,
     as_double,
     exact_mean,
+    exact_sum,
     sum_parts,
     total_parts,
 )
-from admetrics.operators.ranges import RANGE_ROWS, ROW, in_ranges, numbered, text_key
+from admetrics.operators.ranges import OWN, RANGE_ROWS, ROW, TIE, Ranges, find_ranges, numbered, text_key
 
 ROLLING = {
     "impressions": "rolling_7d_impressions",
@@ -82,81 +88,165 @@ def join_days(df: DataFrame, per_day: DataFrame) -> DataFrame:
     return joined.select(*df.columns, *ROLLING.values())
 
 
-def rolling_7d(df: DataFrame, days=7) -> DataFrame:
-    """Adds the rolling averages over the last 7 days, from day totals."""
+def _fit(keyed: DataFrame, keys, most) -> bool:
+    """Whether no group has more than ``most`` rows."""
+    return keyed.groupBy(*keys).count().where(F.col("count") > most).isEmpty()
+
+
+def campaigns_fit(df: DataFrame, most=RANGE_ROWS) -> bool:
+    return _fit(_keyed(df), ["_campaign"], most)
+
+
+def weeks_fit(df: DataFrame, iso_year_groups=False, most=RANGE_ROWS) -> bool:
+    keyed, group = _rank_keyed(df, iso_year_groups)
+    return _fit(keyed, group, most)
+
+
+def in_campaigns(df: DataFrame, rolling=True, running=True, days=7) -> DataFrame:
+    """The rolling averages and the running total by windows over campaigns that fit into a task."""
+    content = [F.col(f"`{c}`") for c in df.columns if c not in OWN]
+    frame = _days(days)
+    columns = {}
+    if rolling:
+        columns |= {ROLLING[c]: F.avg(c).over(frame) for c in _COUNTS}
+        columns[ROLLING["spend_usd"]] = exact_mean(F.col("spend_usd"), MONEY, frame)
+    if running:
+        # Rows with equal content get the same totals in either order.
+        so_far = Window.partitionBy("_campaign").orderBy("_day", "event_id", F.xxhash64(*content))
+        columns["running_total_spend"] = exact_sum(F.col("spend_usd"), window=so_far.rowsBetween(Window.unboundedPreceding, 0))
+    return _keyed(df).withColumns(columns).drop("_campaign", "_day")
+
+
+def rolling_7d(df: DataFrame, days=7, most=RANGE_ROWS) -> DataFrame:
+    """Adds the rolling averages over the last 7 days, from day totals where a campaign is large."""
+    if campaigns_fit(df, most):
+        return in_campaigns(df, running=False, days=days)
     return join_days(df, campaign_days(df, days))
 
 
-def running_sum(df: DataFrame, rows=None, range_rows=RANGE_ROWS) -> DataFrame:
-    """Adds ``running_total_spend`` of each campaign by day; ties within a day follow ``event_id``, then the row's content.
+def _small(df: DataFrame) -> DataFrame:
+    """A table of fewer rows than there are ranges, worked out once and held by the driver."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
 
-    The running total of a row is that of its range so far, plus its campaign's spend in earlier ranges.
-    """
-    rows = df.count() if rows is None else rows
-    keyed = _keyed(numbered(df))
-    ranged = in_ranges(keyed, ["_campaign"], ["_day", "event_id"], rows, range_rows)
-    spend = F.col("spend_usd")
-    so_far = (
+
+@dataclass
+class RunningPlan:
+    """Ranges by campaign, day and event, and the spend of a range's first campaign in earlier ranges."""
+
+    ranges: Ranges
+    before: DataFrame
+
+
+def plan_running(rows: DataFrame, count=None, range_rows=RANGE_ROWS) -> RunningPlan:
+    keyed = _keyed(rows)
+    ranges = find_ranges(keyed, ["_campaign", "_day", "event_id"], rows.count() if count is None else count, range_rows)
+    earlier = Window.partitionBy("_campaign").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range and campaign in it.
+    sums = ranges.number(keyed).groupBy("_range", "_campaign").agg(*_named(total_parts(F.col("spend_usd")), "_sum"))
+    before = sums.select("_range", "_campaign", F.count(F.lit(1)).over(earlier).alias("_n"), *_named(sum_parts(_stored("_sum"), earlier), "_before"))
+    return RunningPlan(ranges, _small(before.where("_n > 0").drop("_n")))
+
+
+def add_running(df: DataFrame, plan: RunningPlan) -> DataFrame:
+    """Adds ``running_total_spend`` to rows with a tie-break: that of the row's range so far, plus its campaign's spend in earlier ranges."""
+    here = (
         Window.partitionBy("_range", "_campaign")
-        .orderBy("_day", "event_id", "_tie", ROW)
+        .orderBy("_day", "event_id", TIE, ROW)
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    # One row per range and campaign in it.
-    earlier = Window.partitionBy("_campaign").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy("_range", "_campaign")
-        .agg(*_named(total_parts(spend), "_sum"))
-        .select("_range", "_campaign", *_named(sum_parts(_stored("_sum"), earlier), "_before"))
-    )
-    here = ranged.select("*", *_named(total_parts(spend, window=so_far), "_here"))
+    dealt = plan.ranges.dealt(_keyed(df)).select("*", *_named(total_parts(F.col("spend_usd"), here), "_here"))
+    # Only the first campaign of a range reaches back, so there are fewer rows than ranges.
+    joined = dealt.join(F.broadcast(plan.before), ["_range", "_campaign"], "left")
     running = as_double(add_parts(_stored("_before"), _stored("_here")))
-    kept = [c for c in df.columns if c != ROW]
-    return here.join(offsets, ["_range", "_campaign"], "left").select(*kept, running.alias("running_total_spend"))
+    return joined.select(*df.columns, running.alias("running_total_spend"))
 
 
-def roas_rank(df: DataFrame, iso_year_groups=False, rows=None, range_rows=RANGE_ROWS) -> DataFrame:
-    """Adds ``roas_rank_in_channel``: rank by roas, best first, within channel and ISO week.
+def running_sum(df: DataFrame, rows=None, range_rows=RANGE_ROWS) -> DataFrame:
+    """Adds ``running_total_spend`` of each campaign by day; ties within a day follow ``event_id``, then the row's content."""
+    if campaigns_fit(df, range_rows):
+        return in_campaigns(df, rolling=False).select(*df.columns, "running_total_spend")
+    given = numbered(df)
+    return add_running(given, plan_running(given, rows, range_rows)).select(*df.columns, "running_total_spend")
 
-    Without ``iso_year_groups`` equal weeks of different years share a group. A row's rank is its rank within its range plus the
-    group's rows in earlier ranges; rows that share the value with which an earlier range ends take the rank of that value's first row.
-    """
+
+@dataclass
+class RankPlan:
+    """Ranges by group and falling roas; a group's rows in earlier ranges; the rows above each value that lies on a border."""
+
+    ranges: Ranges
+    group: list
+    above: DataFrame
+    on_border: DataFrame
+
+
+def _rank_keyed(df, iso_year_groups):
     keys = {"_channel": text_key("channel"), "_week": F.coalesce(F.weekofyear("date"), F.lit(0))}
     if iso_year_groups:
         keys["_year"] = F.coalesce(iso_year("date"), F.lit(0))
-    group = list(keys)
-    rows = df.count() if rows is None else rows
-    ranged = in_ranges(numbered(df).withColumns(keys), group, [F.desc("roas")], rows, range_rows)
-    inside = Window.partitionBy("_range", *group)
-    here = ranged.withColumn("_here", F.rank().over(inside.orderBy(F.desc("roas"))))
-
-    # One row per range and group in it.
-    ends = here.groupBy("_range", *group).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.max("_here").alias("_last_here"),
-        F.max("roas").alias("_first"),
-        F.when(F.count_if(F.col("roas").isNull()) == 0, F.min("roas")).alias("_last"),
-    )
-    by_range = Window.partitionBy(*group).orderBy("_range")
-    earlier = by_range.rowsBetween(Window.unboundedPreceding, -1)
-    goes_on = F.coalesce(F.lag(F.lit(True)).over(by_range) & F.lag("_last").over(by_range).eqNullSafe(F.col("_first")), F.lit(False))
-    offsets = (
-        ends.withColumns({"_above": F.coalesce(F.sum("_rows").over(earlier), F.lit(0)), "_goes_on": goes_on})
-        .withColumn(
-            "_starts",
-            F.when(~(F.col("_goes_on") & F.col("_first").eqNullSafe(F.col("_last"))), F.col("_above") + F.col("_last_here")),
-        )
-        .withColumn("_carried", F.last("_starts", ignorenulls=True).over(earlier))
-        .select("_range", *group, "_above", "_goes_on", "_first", "_carried")
-    )
-    rank = F.when(F.col("_goes_on") & F.col("roas").eqNullSafe(F.col("_first")), F.col("_carried")).otherwise(
-        F.col("_above") + F.col("_here")
-    )
-    return here.join(offsets, ["_range", *group], "left").select(*df.columns, rank.cast("long").alias("roas_rank_in_channel"))
+    # Falling roas, NULL last.
+    return df.withColumns({**keys, "_last": F.col("roas").isNull(), "_falling": -F.col("roas")}), list(keys)
+
+
+def plan_rank(rows: DataFrame, iso_year_groups=False, count=None, range_rows=RANGE_ROWS) -> RankPlan:
+    keyed, group = _rank_keyed(rows, iso_year_groups)
+    value = ["_last", "_falling"]
+    ranges = find_ranges(keyed, [*group, *value], rows.count() if count is None else count, range_rows)
+    border = {f: ranges.upper_border(f) for f in (*group, *value)}
+    same = F.lit(True)
+    for f in group:
+        same = same & (F.col(f) == border[f])
+    before_border = same & (F.struct(*value) < F.struct(*[border[f].alias(f) for f in value]))
+    earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range and group in it; those that matter are the ones that a border cuts.
+    sums = ranges.number(keyed).groupBy("_range", *group).agg(F.count(F.lit(1)).alias("_n"), F.count_if(before_border).alias("_better"))
+    sums = sums.withColumn("_above", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    at_border = sums.withColumns({"_cut": F.coalesce(same, F.lit(False)), **{f: border[f] for f in value}})
+    cut = _small(at_border.where("_cut OR _above > 0"))
+    # A value on several borders has its first row below the first of them.
+    on_border = cut.where("_cut").groupBy(*group, *value).agg(F.min(F.col("_above") + F.col("_better")).alias("_above_value"))
+    return RankPlan(ranges, group, cut.where("_above > 0").select("_range", *group, "_above"), _small(on_border))
+
+
+def add_rank(df: DataFrame, plan: RankPlan) -> DataFrame:
+    """Adds ``roas_rank_in_channel`` to rows with a tie-break.
+
+    A row's rank is its rank within its range plus the group's rows in earlier ranges; rows whose value lies on a border, and so may begin in an earlier
+    range, take the rank of the value's first row.
+    """
+    group = plan.group
+    keyed, _ = _rank_keyed(df, "_year" in group)
+    here = F.rank().over(Window.partitionBy("_range", *group).orderBy("_last", "_falling"))
+    dealt = plan.ranges.dealt(keyed).withColumn("_here", here)
+    # Both tables have fewer rows than there are ranges.
+    border = plan.on_border.select(*group, F.col("_last").alias("_b_last"), F.col("_falling").alias("_b_falling"), "_above_value")
+    alike = [dealt[g] == border[g] for g in group] + [dealt["_last"] == border["_b_last"], dealt["_falling"].eqNullSafe(border["_b_falling"])]
+    joined = dealt.join(F.broadcast(border), alike, "left").drop(*[border[g] for g in group])
+    joined = joined.join(F.broadcast(plan.above), ["_range", *group], "left")
+    rank = F.coalesce(F.col("_above_value") + 1, F.coalesce("_above", F.lit(0)) + F.col("_here"))
+    return joined.select(*df.columns, rank.cast("long").alias("roas_rank_in_channel"))
+
+
+def rank_in_weeks(df: DataFrame, iso_year_groups=False) -> DataFrame:
+    """The rank by a window over channels and weeks that fit into a task."""
+    keyed, group = _rank_keyed(df, iso_year_groups)
+    rank = F.rank().over(Window.partitionBy(*group).orderBy(F.desc("roas")))
+    return keyed.select(*df.columns, rank.cast("long").alias("roas_rank_in_channel"))
+
+
+def roas_rank(df: DataFrame, iso_year_groups=False, rows=None, range_rows=RANGE_ROWS) -> DataFrame:
+    """Adds ``roas_rank_in_channel``: rank by roas, best first, within channel and ISO week.
+
+    Without ``iso_year_groups`` equal weeks of different years share a group.
+    """
+    if weeks_fit(df, iso_year_groups, range_rows):
+        return rank_in_weeks(df, iso_year_groups)
+    given = numbered(df)
+    return add_rank(given, plan_rank(given, iso_year_groups, rows, range_rows)).select(*df.columns, "roas_rank_in_channel")
 
 
 def rolling_rows(daily: DataFrame, n=7) -> DataFrame:
     """Mean of the last ``n`` daily spends of a campaign by row; NULL until ``n`` rows exist."""
     rows = Window.partitionBy("campaign_id").orderBy("date").rowsBetween(1 - n, 0)
     full = F.count("total_spend").over(rows) == n
-    mean = exact_mean(F.col("total_spend"), digits=6, window=rows)
+    mean = exact_mean(F.col("total_spend"), MONEY, rows)
     return daily.withColumn(f"rolling_{n}row_spend", F.when(full, mean))

@@ -12,14 +12,19 @@ from admetrics.schemas import SILVER
 def build_silver(raw: DataFrame, range_rows=RANGE_ROWS) -> DataFrame:
     """Ratios, rolling averages, running total and rank on every raw row.
 
-    ``raw`` should be stored: it is counted, read and sorted into ranges for the rank. What that gives is sorted into ranges for the running
-    total, and the rolling averages are joined to it.
+    Where a campaign, or a channel's week, has more than ``range_rows`` rows, the rows are stored once, with their ratios and tie-break, and cut into
+    ranges. Rank and running total cost one shuffle each either way.
     """
-    rows = raw.count()
-    ranked = windows.roas_rank(numbered(with_metrics(parse_date(raw))), rows=rows, range_rows=range_rows)
-    running = windows.running_sum(ranked, rows, range_rows)
-    per_day = with_metrics(parse_date(raw))
-    return windows.join_days(running, windows.campaign_days(per_day)).select(*SILVER.names)
+    rows = with_metrics(parse_date(raw))
+    campaigns_fit, weeks_fit = windows.campaigns_fit(rows, range_rows), windows.weeks_fit(rows, most=range_rows)
+    if not (campaigns_fit and weeks_fit):
+        rows = numbered(rows)
+        n = rows.count()
+    ranked = windows.rank_in_weeks(rows) if weeks_fit else windows.add_rank(rows, windows.plan_rank(rows, count=n, range_rows=range_rows))
+    if campaigns_fit:
+        return windows.in_campaigns(ranked).select(*SILVER.names)
+    running = windows.add_running(ranked, windows.plan_running(rows, n, range_rows))
+    return windows.join_days(running, windows.campaign_days(rows)).select(*SILVER.names)
 
 
 def build_dims(silver: DataFrame, latest=False) -> dict:

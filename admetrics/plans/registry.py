@@ -66,14 +66,14 @@ def stored_star(spark, sf_dir) -> str:
 
 def daily_mart(spark, sf_dir) -> DataFrame:
     def make():
-        return materialize(marts.campaign_daily(silver(spark, sf_dir)), "campaign-daily")
+        return materialize(marts.campaign_daily(silver(spark, sf_dir), ordered=False), "campaign-daily")
 
     return _once(spark, sf_dir, "campaign_daily", make)
 
 
 def weekly_mart(spark, sf_dir) -> DataFrame:
     def make():
-        return materialize(marts.channel_weekly(silver(spark, sf_dir)), "channel-weekly")
+        return materialize(marts.channel_weekly(silver(spark, sf_dir), ordered=False), "channel-weekly")
 
     return _once(spark, sf_dir, "channel_weekly", make)
 
@@ -221,7 +221,8 @@ def silver_(spark, sf_dir):
 @query
 def silver_in_ranges(spark, sf_dir):
     """The same in so many ranges that most groups are cut, as they are on large tables."""
-    return build_silver(bronze(spark, sf_dir), range_rows=500)
+    events = bronze(spark, sf_dir)
+    return build_silver(events, range_rows=max(2, events.count() // 500))
 
 
 # Star schema
@@ -467,7 +468,7 @@ def sql_path_table(spark, sf_dir):
         f"""
         WITH per_pair AS (
           SELECT campaign_key, channel_key, SUM(impressions) AS seen, SUM(clicks) AS clicked,
-                 SUM(CAST(spend_usd AS DECIMAL(28,6))) AS spent, SUM(CAST(revenue_usd AS DECIMAL(28,6))) AS earned
+                 SUM(CAST(spend_usd AS DECIMAL(38,18))) AS spent, SUM(CAST(revenue_usd AS DECIMAL(38,18))) AS earned
           FROM parquet.`{base}/fact_ad_impressions` GROUP BY ALL),
         named AS (
           SELECT campaign_name, channel_name, SUM(seen) AS impressions, SUM(clicked) AS clicked,

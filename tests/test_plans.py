@@ -36,7 +36,7 @@ def stored(events):
 
 
 def test_silver_windows_have_one_form(stored, conf):
-    """Every window over event rows lies inside a range; no array travels with the rows."""
+    """Every window over event rows lies inside a range and costs one shuffle; only what lies before a border is broadcast."""
     conf(**NO_BROADCAST)
     df = numbered(with_metrics(stored.withColumn("date", F.to_date("date"))))
     for made in (windows.running_sum(df, range_rows=10), windows.roas_rank(df, range_rows=10)):
@@ -44,13 +44,28 @@ def test_silver_windows_have_one_form(stored, conf):
         wide = [c for c in nodes(plan, "Window") if "advertiser" in c]
         assert wide and all("_range" in c for c in wide)
         assert len([c for c in nodes(plan, "Exchange") if "advertiser" in c]) == 1
-        assert "BroadcastExchange" not in plan and "array<" not in plan
+        assert not [c for c in nodes(plan, "BroadcastExchange") if "event_id" in c]
+
+
+def test_silver_costs_two_shuffles_and_one_join(stored, conf):
+    """Rank and running total deal the rows once each; the third shuffle is that of the rolling averages' join."""
+    conf(**NO_BROADCAST)
+    plan = plan_of(build_silver(stored, range_rows=10))
+    assert len([c for c in nodes(plan, "Exchange") if "advertiser" in c]) == 3
+    assert len([c for c in nodes(plan, "Window") if "advertiser" in c]) == 2
+
+
+def test_tables_before_the_borders_are_smaller_than_the_ranges(spark, stored):
+    df = numbered(with_metrics(stored.withColumn("date", F.to_date("date"))))
+    running, rank = windows.plan_running(df, range_rows=5), windows.plan_rank(df, range_rows=5)
+    assert 1 < running.ranges.count and running.before.count() < running.ranges.count
+    assert rank.above.count() < rank.ranges.count and rank.on_border.count() < rank.ranges.count
 
 
 def test_rolling_averages_join_last(stored, conf):
     """So adaptive execution may split a campaign and day with very many rows."""
     conf(**NO_BROADCAST)
-    plan = plan_of(windows.rolling_7d(stored.withColumn("date", F.to_date("date"))))
+    plan = plan_of(windows.rolling_7d(stored.withColumn("date", F.to_date("date")), most=10))
     assert not [c for c in nodes(plan, "Window") if "advertiser" in c]
 
 

@@ -11,7 +11,7 @@ from admetrics.functions.calendar import day_ordinal, parse_date
 from admetrics.functions.exact import exact_mean, exact_sum
 from admetrics.functions.ratios import with_metrics
 from admetrics.operators import marts, windows
-from admetrics.operators.ranges import in_ranges, numbered, text_key
+from admetrics.operators.ranges import find_ranges, numbered, text_key
 from admetrics.plans.layers import build_silver
 
 
@@ -83,9 +83,9 @@ def test_no_range_holds_a_hot_group(spark, events):
     repeated = events({"event_id": "same"}).crossJoin(spark.range(3000)).drop("id")
     rest = events(*[{"revenue_usd": i / 100} for i in range(3000)])
     raw = malformed.union(repeated).union(rest).repartition(5)
-    df = numbered(with_metrics(parse_date(raw))).withColumns({"_g": text_key("channel"), "_d": day_ordinal("date")})
-    for order in (["_d", "event_id"], [F.desc("roas")]):
-        sizes = in_ranges(df, ["_g"], order, 9000, 300).groupBy("_range").count()
+    df = numbered(with_metrics(parse_date(raw))).withColumns({"_g": text_key("channel"), "_d": day_ordinal("date"), "_falling": -F.col("roas")})
+    for order in (["_d", "event_id"], ["_falling"]):
+        sizes = find_ranges(df, ["_g", *order], 9000, 300).number(df).groupBy("_range").count()
         assert sizes.agg(F.max("count")).first()[0] < 600 and sizes.count() > 20
     silver = build_silver(raw, range_rows=300)
     ranks = {r.roas_rank_in_channel for r in silver.where("channel IS NULL").collect()}
