@@ -19,6 +19,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from admetrics.llm.chunks import ChunkEncoder, in_calls
+from admetrics.llm.workers import held
 
 #: Splits text before merging: a fixed value of this family of tokenizers.
 PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
@@ -214,15 +215,14 @@ class Encoder:
         return [b"".join([known[w] if isinstance(w, bytes) else w.to_bytes(4, "little") for w in ws]) for ws in split]
 
 
-_LOADED = {}
-
-
 def loaded(path: str):
-    """Vocabulary and encoder of a file, kept for the life of a worker."""
-    if path not in _LOADED:
+    """Vocabulary and encoder of a file, kept by a worker while it serves this operator."""
+
+    def make():
         vocabulary = Vocabulary(path)
-        _LOADED[path] = vocabulary, ChunkEncoder(Encoder(vocabulary))
-    return _LOADED[path]
+        return vocabulary, ChunkEncoder(Encoder(vocabulary))
+
+    return held(("encoder", path), make)
 
 
 def decode(vocabulary: Vocabulary, ids) -> str:

@@ -19,7 +19,6 @@ ties go to the first language by name. Training rows with a null text or languag
 import json
 import re
 import uuid
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +26,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from admetrics.llm.bpe import byte_letters
 from admetrics.llm.chunks import in_calls
+from admetrics.llm.workers import held
 from admetrics.session import materialize
 
 RUN = 16
@@ -36,19 +36,24 @@ MAX_LANGUAGES = 256
 UNKNOWN = "und"
 _UNIFORM = 1e-4
 EVIDENCE = 200
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 200_000
 _LETTERS = re.compile(rf"[^\W\d_]{{1,{RUN}}}")
 #: Pieces that can occur in a lower-cased word with a leading space.
 _USABLE = re.compile(rb" ?[a-z\x80-\xff]*")
 #: Each byte's probability is multiplied by this, so that words of up to 4 * RUN + 1 bytes stay inside floating point.
 _SCALE = 2.0**15
 #: Cells (word, byte, language) of one lattice.
-_CELLS = 1 << 22
+_CELLS = 1 << 21
 
 
 def words_of(text: str | None) -> list[str]:
     """Lower-cased letter runs of a text, cut every RUN letters."""
-    return _LETTERS.findall((text or "").lower())
+    lower = (text or "").lower()
+    found = _LETTERS.findall(lower)
+    if "".join(found).isalpha() or not found:
+        return found
+    # The pattern also takes numbers that are no decimal digits, such as fractions.
+    return _LETTERS.findall("".join(c if c.isalpha() else " " for c in lower))
 
 
 class Pieces:
@@ -101,9 +106,9 @@ class Pieces:
                 yield length, word[hit], start[hit], self._numbers[at[hit]]
 
 
-@cache
 def pieces_of(path: str) -> Pieces:
-    return Pieces(path)
+    """The pieces of a file, kept by a worker while it trains."""
+    return held(("pieces", path), lambda: Pieces(path))
 
 
 def _lattice(pieces, words):
@@ -211,7 +216,7 @@ def train(docs: DataFrame, tokenizer_path: str, sample_docs=SAMPLE_DOCS, rounds=
     counted = sample.mapInArrow(count, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     counted = materialize(counted, "language-words")
     languages = sorted(r.lang for r in counted.select("lang").distinct().collect())
-    pieces = pieces_of(tokenizer_path)
+    pieces = Pieces(tokenizer_path)
     start = np.array([2.0 ** -(8 + 2 * len(p)) if len(p) > 1 else 2.0**-10 for p in pieces.pieces])
     weights = np.repeat(start[:, None] / start.sum(), len(languages), 1)
     for _ in range(rounds if languages else 0):
@@ -271,9 +276,6 @@ class Scorer:
         return out
 
 
-_SCORERS = {}
-
-
 def predict(docs: DataFrame, model, tokenizer_path: str, text="text") -> DataFrame:
     """The input with lang_pred and score."""
     languages, weights = model
@@ -282,10 +284,7 @@ def predict(docs: DataFrame, model, tokenizer_path: str, text="text") -> DataFra
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
 
     def label(batches):
-        if name not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[name] = Scorer(pieces_of(tokenizer_path), *sent.value)
-        scorer = _SCORERS[name]
+        scorer = held(("scorer", name), lambda: Scorer(Pieces(tokenizer_path), *sent.value))
         for batch in batches:
             texts = batch.column("_text").to_pylist()
             for k, call in in_calls(texts):

@@ -25,6 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from admetrics.llm.components import components
+from admetrics.llm import workers
 from admetrics.session import materialize
 
 #: Distinct fingerprints from which pairs of Golay words are the anchors, and fingerprints of an anchor compared in one tile.
@@ -62,6 +63,7 @@ def fingerprints(docs: DataFrame, keys, text="text", shingle=4) -> DataFrame:
     """The key columns and `fp`, the fingerprint as a signed 64-bit integer."""
 
     def make(batches):
+        workers.held("fingerprints", object)
         for batch in batches:
             for k in range(0, len(batch), _ROWS):
                 part = batch.slice(k, _ROWS)
@@ -162,6 +164,7 @@ def links(fps: DataFrame, bits: int, paired: bool, tile=TILE) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(part[index]), pa.array(home)], ["cell", "fp", "home"])
 
     def compare(batches):
+        workers.held("fingerprints", object)
         key, held = None, []
 
         def finish():

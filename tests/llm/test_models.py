@@ -6,7 +6,7 @@ from itertools import product
 
 import numpy as np
 import pytest
-from admetrics.llm import langid, lm_scoring
+from admetrics.llm import langid, lm_scoring, workers
 from admetrics.llm.queries import TOKENIZER, held_out
 from conftest import SF_DIR
 from llm_fixtures import docs  # noqa: F401
@@ -59,6 +59,17 @@ def test_no_word_is_impossible():
     assert np.isfinite(langid.word_scores(pieces, langid.scaled_weights(pieces, weights), words)).all()
 
 
+def test_words_are_letters_alone():
+    assert langid.words_of("½ ② Ⅷ 42 _ ٣") == []
+    assert langid.words_of("Straße½x a_b ÉTÉ 日本") == ["straße", "x", "a", "b", "été", "日本"]
+
+
+def test_a_worker_holds_one_value():
+    assert workers.held("a", lambda: 1) == 1 and workers.held("a", lambda: 2) == 1
+    assert workers.held("b", lambda: 3) == 3 and list(workers._HELD) == ["b"]
+    assert workers.held("a", lambda: 4) == 4
+
+
 def test_held_out_accuracy(spark):
     table = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     model = langid.train(table.where(~held_out(F.col("doc_id"))), TOKENIZER, sample_docs=40)
