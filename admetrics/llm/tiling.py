@@ -1,14 +1,16 @@
 """Benchmark decontamination by greedy string tiling.
 
-Tokens are lower-cased runs of word characters. A seed is the Karp-Rabin value of `least` tokens in a row. Documents and items that
-share a seed are joined; for each such pair the longest match that is free in both texts is marked as a tile, again and
+Tokens are lower-cased runs of word characters, and single characters in scripts that put no spaces between words. A seed is the Karp-Rabin value of
+`least` tokens in a row, or of a whole item that is shorter. Documents and items that
+share a seed are joined. The places of the shared seeds in the item bound what can be covered, so a pair that cannot reach the wanted coverage, such as
+one that shares a common phrase alone, ends there, before any text is joined. For each other pair the longest match that is free in both texts is marked as a tile, again and
 again, until no match of `least` tokens is left. The share of an item's tokens under tiles is its coverage, whatever the order
 in which the document has them, so passages whose sentences were moved are found too. A match counts after its tokens are compared.
 
 Seeds of documents are looked up in a bitmap of `2 ** BITS` bits made from the benchmark's, of the same size for any benchmark; it only thins
 out what is joined. Equal texts are tiled once. What is returned are pairs, one row per document text, doc_id and item.
 
-Defined cases: null and empty texts have no tokens and match nothing, and so do items with fewer than `least` tokens. Items with equal
+Defined cases: null and empty texts and items have no tokens and match nothing. An item with fewer than `least` tokens is matched as a whole. Items with equal
 tokens count as one, named by the smallest item_id. A null doc_id is kept. Rows equal in doc_id and text give one row. Extra columns are
 not carried along by `pairs`; `decontaminate` returns its input's columns. Empty tables give no pairs.
 """
@@ -23,12 +25,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from admetrics.llm.chunks import in_calls
+from admetrics.llm import workers
 from admetrics.session import materialize
 
 LEAST = 5
 COVERAGE = 0.6
 BITS = 24
-_WORD = re.compile(r"\w+")
+#: Letters of scripts without spaces between words (kana, Han, Thai, Lao, Khmer, Burmese): fixed ranges.
+_ALONE = "\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\u0e00-\u0eff\u1780-\u17ff\u1000-\u109f\U00020000-\U0003ffff"
+_WORD = re.compile(rf"[{_ALONE}]|[^\W{_ALONE}]+")
 _BASE = np.uint64(0x100000001B3)
 
 
@@ -51,10 +56,6 @@ def rolling(codes: np.ndarray, least: int) -> np.ndarray:
     return value * np.uint64(0x9E3779B97F4A7C15)
 
 
-def _seeds(tokens, least):
-    return np.unique(rolling(_codes(tokens), least)).view(np.int64)
-
-
 def _free_runs(free: np.ndarray, least: int):
     edges = np.flatnonzero(np.diff(np.concatenate([[0], free.astype(np.int8), [0]])))
     for s, e in zip(edges[::2].tolist(), edges[1::2].tolist()):
@@ -120,18 +121,20 @@ def tiles(item: list[str], doc: list[str], least: int) -> list[tuple[int, int, i
 
 
 def _items(benchmark: DataFrame, text, least):
-    """Distinct items with their seeds: item_id, words, seeds."""
+    """Distinct items with the seeds at each of their places: item_id, words, width (tokens of a seed), seeds."""
 
     def read(batches):
         for batch in batches:
             words = [tokens_of(t) for t in batch.column("text").to_pylist()]
+            width = [min(least, len(w)) for w in words]
+            seeds = [rolling(_codes(w), n).view(np.int64).tolist() if n else [] for w, n in zip(words, width)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("item_id"), pa.array([" ".join(w) for w in words]), pa.array([_seeds(w, least).tolist() for w in words], pa.list_(pa.int64()))],
-                ["item_id", "words", "seeds"],
+                [batch.column("item_id"), pa.array([" ".join(w) for w in words], pa.string()), pa.array(width, pa.int32()), pa.array(seeds, pa.list_(pa.int64()))],
+                ["item_id", "words", "width", "seeds"],
             )
 
-    rows = benchmark.select("item_id", F.col(f"`{text}`").alias("text")).mapInArrow(read, "item_id bigint, words string, seeds array<bigint>")
-    distinct = rows.where(F.size("seeds") > 0).groupBy("words").agg(F.min("item_id").alias("item_id"), F.first("seeds").alias("seeds"))
+    rows = benchmark.select("item_id", F.col(f"`{text}`").alias("text")).mapInArrow(read, "item_id bigint, words string, width int, seeds array<bigint>")
+    distinct = rows.where("width > 0").groupBy("words").agg(F.min("item_id").alias("item_id"), F.first("width").alias("width"), F.first("seeds").alias("seeds"))
     return materialize(distinct, "benchmark-items")
 
 
@@ -146,45 +149,68 @@ def _bitmap(seeds: DataFrame) -> np.ndarray:
     return out
 
 
-def pairs(docs: DataFrame, benchmark: DataFrame, text="text", least=LEAST) -> DataFrame:
-    """Every document and item that share a seed: doc_id, item_id, digest (MD5 of the text), n_tiles, n_covered, coverage."""
+def _reachable(shared: DataFrame) -> DataFrame:
+    """Per pair the most tokens of the item that matches can cover: those under windows whose seeds the document has too."""
+    # At most as many places as the item has tokens.
+    pair = shared.groupBy("digest", "item_id").agg(F.sort_array(F.collect_set("place")).alias("places"), F.first("width").alias("width"), F.first("size").alias("size"))
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))
+
+    def cover(seen, place):
+        end = place + F.col("width")
+        return F.struct((seen["n"] + end - F.greatest(seen["end"], place)).alias("n"), end.alias("end"))
+
+    return pair.select("digest", "item_id", "size", F.aggregate("places", start, cover)["n"].alias("most"))
+
+
+def pairs(docs: DataFrame, benchmark: DataFrame, text="text", least=LEAST, coverage=0.0) -> DataFrame:
+    """Every document and item that share a seed: doc_id, item_id, digest (MD5 of the text), n_tiles, n_covered, coverage.
+
+    Pairs that cannot reach `coverage` are left out before they are tiled; others may still be below it.
+    """
     items = _items(benchmark, text, least)
-    seeds = items.select("item_id", F.explode("seeds").alias("seed"))
+    seeds = items.select("item_id", "width", (F.size("seeds") + F.col("width") - 1).alias("size"), F.posexplode("seeds").alias("place", "seed"))
     sent = docs.sparkSession.sparkContext.broadcast(_bitmap(seeds))
+    # At most `least` of them.
+    widths = sorted(r.width for r in items.select("width").distinct().collect())
 
     def scan(batches):
+        workers.held("tiling", object)
         bits = sent.value
         for batch in batches:
             ids, texts = batch.column("doc_id"), batch.column("text").to_pylist()
             for at, call in in_calls(texts):
                 words = [tokens_of(t) for t in call]
                 ends = np.cumsum([len(w) for w in words])
-                values = rolling(_codes([t for w in words for t in w]), least).view(np.int64)
-                place = values & ((1 << BITS) - 1)
-                hit = np.flatnonzero(bits[place >> 3] >> (place & 7).astype(np.uint8) & 1)
-                doc = np.searchsorted(ends, hit, "right")
-                inside = hit + least <= ends[doc] if len(hit) else hit
-                hit, doc = hit[inside], doc[inside]
-                which = np.unique(doc)
-                if len(which):
-                    found = [np.unique(values[hit[doc == k]]).tolist() for k in which]
+                codes, found = _codes([t for w in words for t in w]), {}
+                for width in widths:
+                    values = rolling(codes, width).view(np.int64)
+                    place = values & ((1 << BITS) - 1)
+                    hit = np.flatnonzero(bits[place >> 3] >> (place & 7).astype(np.uint8) & 1)
+                    doc = np.searchsorted(ends, hit, "right")
+                    inside = hit + width <= ends[doc] if len(hit) else hit
+                    hit, doc = hit[inside], doc[inside]
+                    for k in np.unique(doc).tolist():
+                        found.setdefault(k, []).append(values[hit[doc == k]])
+                if found:
+                    which = sorted(found)
                     kept = [call[k] for k in which]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            ids.take(pa.array(which + at)),
+                            ids.take(pa.array(np.array(which) + at)),
                             pa.array([hashlib.md5(t.encode()).hexdigest() for t in kept]),
                             pa.array(kept),
-                            pa.array(found, pa.list_(pa.int64())),
+                            pa.array([np.unique(np.concatenate(found[k])).tolist() for k in which], pa.list_(pa.int64())),
                         ],
                         ["doc_id", "digest", "text", "seeds"],
                     )
 
     def tile(batches):
+        workers.held("tiling", object)
         for batch in batches:
             rows = []
-            for words, body in zip(batch.column("words").to_pylist(), batch.column("text").to_pylist()):
+            for words, width, body in zip(*(batch.column(c).to_pylist() for c in ("words", "width", "text"))):
                 item = words.split(" ")
-                made = tiles(item, tokens_of(body), least)
+                made = tiles(item, tokens_of(body), width)
                 rows.append((len(made), sum(x[2] for x in made), len(item)))
             n, covered, size = map(np.array, zip(*rows))
             yield pa.RecordBatch.from_arrays(
@@ -195,8 +221,9 @@ def pairs(docs: DataFrame, benchmark: DataFrame, text="text", least=LEAST) -> Da
     rows = docs.select("doc_id", F.col(f"`{text}`").alias("text")).where("text IS NOT NULL")
     hits = materialize(rows.mapInArrow(scan, "doc_id bigint, digest string, text string, seeds array<bigint>"), "seeded-documents")
     texts = hits.groupBy("digest").agg(F.first("text").alias("text"), F.first("seeds").alias("seeds"))
-    shared = texts.select("digest", F.explode("seeds").alias("seed")).join(seeds, "seed").select("digest", "item_id").distinct()
-    work = shared.join(items.select("item_id", "words"), "item_id").join(texts.select("digest", "text"), "digest")
+    shared = texts.select("digest", F.explode("seeds").alias("seed")).join(seeds, "seed")
+    hopeful = _reachable(shared).where(F.col("most") >= F.lit(coverage) * F.col("size")).select("digest", "item_id")
+    work = hopeful.join(items.select("item_id", "words", "width"), "item_id").join(texts.select("digest", "text"), "digest")
     tiled = work.mapInArrow(tile, "digest string, item_id bigint, n_tiles bigint, n_covered bigint, coverage double")
     tiled = materialize(tiled, "tiled-pairs")
     return hits.select("doc_id", "digest").distinct().join(tiled, "digest").select("doc_id", "item_id", "digest", "n_tiles", "n_covered", "coverage")
@@ -204,7 +231,7 @@ def pairs(docs: DataFrame, benchmark: DataFrame, text="text", least=LEAST) -> Da
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, text="text", least=LEAST, coverage=COVERAGE) -> DataFrame:
     """The pairs whose item is covered to at least `coverage`."""
-    return pairs(docs, benchmark, text, least).where(F.col("coverage") >= coverage)
+    return pairs(docs, benchmark, text, least, coverage).where(F.col("coverage") >= coverage)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text="text", least=LEAST, coverage=COVERAGE) -> DataFrame:

@@ -9,6 +9,7 @@ import pytest
 from admetrics.llm import html_text, tiling
 from conftest import SF_DIR
 from llm_fixtures import docs  # noqa: F401
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 
@@ -47,8 +48,8 @@ def test_tiles_equal_brute_force():
 def test_pairs_equal_brute_force(spark, docs):  # noqa: F811
     rng = random.Random(4)
     words = [f"w{i}" for i in range(400)]
-    items = [(i, " ".join(rng.choices(words, k=rng.randint(6, 40)))) for i in range(12)] + [(50, None), (51, "too short"), (40, None)]
-    items[-1] = (40, items[0][1])
+    items = [(i, " ".join(rng.choices(words, k=rng.randint(6, 40)))) for i in range(12)] + [(50, None), (51, "too short"), (40, None), (52, "")]
+    items[-2] = (40, items[0][1])
     texts = [None, "", "w1 w2", "W1, " * 30_000]
     for _, text in items[:8]:
         w = text.split()
@@ -73,6 +74,30 @@ def test_pairs_equal_brute_force(spark, docs):  # noqa: F811
     assert tiling.pairs(docs().limit(0), benchmark).count() == 0
 
 
+def test_short_items_and_scripts_without_spaces(spark, docs):  # noqa: F811
+    clause = "春眠不觉晓处处闻啼鸟夜来风雨声花落知多少又一年春天"
+    items = [(1, "To be or not"), (2, clause), (3, "x"), (4, "ภาษาไทยไม่มีช่องว่าง"), (5, "not or be to")]
+    rows = [(1, "He said: to be, or NOT! And left."), (2, f"他说{clause}然后走了"), (3, "to be or"), (4, "a X b"), (5, clause[:10]), (6, "พูดว่าภาษาไทยไม่มีช่องว่างครับ")]
+    found = tiling.contaminated(docs(*rows), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert {(r.doc_id, r.item_id, r.coverage) for r in found.collect()} == {(1, 1, 1.0), (2, 2, 1.0), (4, 3, 1.0), (6, 4, 1.0)}
+
+
+def test_a_common_phrase_is_not_tiled(spark, docs):  # noqa: F811
+    """Pairs that share a phrase alone end before their texts are joined; the results are those of all pairs."""
+    rng = random.Random(9)
+    draw = lambda n: " ".join(f"w{rng.randrange(5000)}" for _ in range(n))
+    items = [(i, f"{draw(10)} in the course of the year {draw(10)}") for i in range(60)]
+    rows = [(i, f"{draw(20)} in the course of the year {draw(20)}") for i in range(400)] + [(1000 + i, f"{draw(5)} {items[i][1]} {draw(5)}") for i in range(5)]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    frame = docs(*rows)
+    found = tiling.contaminated(frame, benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(1000 + i, i) for i in range(5)} and {r.coverage for r in found} == {1.0}
+    assert tiling.pairs(frame, benchmark, coverage=tiling.COVERAGE).count() == 5
+    few = frame.where("doc_id >= 390")
+    whole = tiling.pairs(few, benchmark)
+    assert whole.count() == 15 * 60 and whole.where(F.col("coverage") >= tiling.COVERAGE).count() == 5
+
+
 @pytest.mark.parametrize(
     "page,content,others",
     [
