@@ -9,6 +9,10 @@ import os
 import uuid
 
 from pyarrow import fs
+from pyspark.sql import DataFrame, Window, functions as F
+
+#: Tasks that read files at most; beyond, a task reads several.
+_MOST_TASKS = 20_000
 
 
 def _open(uri):
@@ -30,3 +34,12 @@ def reading(uri):
     """A binary input file with random access."""
     system, path = _open(uri)
     return system.open_input_file(path)
+
+
+def one_per_task(listed: DataFrame) -> DataFrame:
+    """The rows of a stored list of files, each in a task of its own, whatever the size of the list in bytes."""
+    tasks = max(1, min(listed.count(), _MOST_TASKS))
+    # One row per file.
+    place = F.row_number().over(Window.orderBy("path")) - 1
+    numbered = listed.withColumn("_task", F.pmod(place, F.lit(tasks)).cast("int"))
+    return numbered.repartitionById(tasks, F.col("_task")).drop("_task")

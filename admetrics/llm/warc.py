@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from admetrics.llm.files import reading, writing
+from admetrics.llm.files import one_per_task, reading, writing
 from admetrics.session import materialize, new_path
 
 _CHUNK = 1 << 18
@@ -180,5 +180,4 @@ def read_archives(archives: DataFrame, with_payload=False) -> DataFrame:
         if rows:
             yield pa.RecordBatch.from_pylist(rows, arrow)
 
-    # A hash of the path deals the archives out; their number follows the tasks that wrote them.
-    return archives.select("path").repartition("path").mapInArrow(read, schema)
+    return one_per_task(archives.select("path")).mapInArrow(read, schema)

@@ -53,6 +53,14 @@ def test_small_payloads_are_responses(spark):
     assert {r.page_id for r in found if r.record_type == "revisit"} == {5, 9, None}
 
 
+def test_every_archive_has_a_task(spark):
+    rows = [(i, f"http://a.org/{i}", f"<p>{i}</p>" * 50) for i in range(60)]
+    frame = rows_of(spark, *rows).selectExpr("*", "1 AS payload", "2 AS digest", "3 AS refers_to", "'r' AS record_type")
+    archives = warc.write_archives(frame.repartition(5), max_bytes=900)
+    found = warc.read_archives(archives)
+    assert found.rdd.getNumPartitions() == archives.count() > 10 and found.count() == 60
+
+
 def test_empty_table(spark):
     archives = warc.write_archives(rows_of(spark, *ROWS).limit(0))
     assert archives.count() == 0 and warc.read_archives(archives).count() == 0
