@@ -17,6 +17,7 @@ a task that runs again writes the same name. Extra columns are not stored. An em
 
 import io
 import struct
+import string
 import zlib
 from array import array
 
@@ -27,7 +28,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from admetrics.llm.bpe import byte_letters
 from admetrics.llm.chunks import ChunkEncoder, in_calls
-from admetrics.llm.files import reading, writing
+from admetrics.llm.files import one_per_task, reading, writing
+from admetrics.llm.workers import held
 from admetrics.session import materialize, new_path
 
 BLOCK = 1 << 16
@@ -146,13 +148,13 @@ class Reader:
             yield doc_id, start, held[start - held_from : end - held_from]
 
 
-_MARKS = ".,;:!?"
-_ENCODERS = {}
+_MARKS = string.punctuation
 
 
 def library_encoder(tokenizer_path: str) -> ChunkEncoder:
-    """The tokenizers library on chunks, kept for the life of a worker."""
-    if tokenizer_path not in _ENCODERS:
+    """The tokenizers library on chunks, kept by a worker while it serves this operator."""
+
+    def make():
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(tokenizer_path)
@@ -163,27 +165,35 @@ def library_encoder(tokenizer_path: str) -> ChunkEncoder:
 
         marks = {}
 
+        def plain(part):
+            """Ids of lines of a word with marks behind it, which are pre-tokens of their own, as are the ends of lines; None for other chunks."""
+            out = []
+            for k, line in enumerate(part.split("\n")):
+                word = line.rstrip(_MARKS)
+                if not (word[1:] if k == 0 and word[:1] == " " else word).isalpha():
+                    return None
+                end = line[len(word) :]
+                if end not in marks:
+                    marks[end] = merged(end)
+                out += [*newline, *merged(word), *marks[end]] if k else merged(word) + marks[end]
+            if len(marks) > 10_000:
+                marks.clear()
+            return array("I", out).tobytes()
+
+        newline = merged("\n")
+
         def encode_many(parts):
-            # A space and letters are one pre-token, and so are marks behind them: the library's model takes these as they are.
-            out, others = [None] * len(parts), []
-            for i, part in enumerate(parts):
-                word = part.rstrip(_MARKS)
-                if word[:1] == " " and word[1:].isalpha():
-                    end = part[len(word) :]
-                    if end not in marks:
-                        marks[end] = merged(end)
-                    out[i] = array("I", merged(word) + marks[end]).tobytes()
-                    if len(marks) > 10_000:
-                        marks.clear()
-                else:
-                    others.append(i)
+            # The library's model takes plain pre-tokens as they are.
+            out = list(map(plain, parts))
+            others = [i for i, ids in enumerate(out) if ids is None]
             found = tokenizer.encode_batch_fast([parts[i] for i in others], add_special_tokens=False)
             for i, e in zip(others, found):
                 out[i] = array("I", e.ids).tobytes()
             return out
 
-        _ENCODERS[tokenizer_path] = ChunkEncoder(encode_many)
-    return _ENCODERS[tokenizer_path]
+        return ChunkEncoder(encode_many)
+
+    return held(("library encoder", tokenizer_path), make)
 
 
 def write_files(docs: DataFrame, tokenizer_path: str, vocabulary: int, end_id: int, text="text") -> DataFrame:
@@ -210,9 +220,11 @@ def write_files(docs: DataFrame, tokenizer_path: str, vocabulary: int, end_id: i
         )
 
     ordered = (
-        docs.select("doc_id", F.col(f"`{text}`").alias("text"))
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        docs.select("doc_id", F.col(f"`{text}`").alias("text"), F.substring(F.col(f"`{text}`"), 1, 64).alias("tie"), F.monotonically_increasing_id().alias("row"))
+        # A null or repeated id is cut like any other, since equal ids follow the start of their text and then the row's number.
+        .repartitionByRange("doc_id", "tie", "row")
+        .sortWithinPartitions("doc_id", "tie", "row")
+        .select("doc_id", "text")
     )
     return materialize(ordered.mapInArrow(write, "path string, part int, n_docs bigint, n_ids bigint"), "ids-list")
 
@@ -235,6 +247,6 @@ def read_files(files: DataFrame) -> DataFrame:
                         {"doc_id": pa.array(doc_id, pa.int64()), "start": start, "n_tokens": n, "ids_crc32": crc}
                     )
 
-    return listed.select("path", "first").repartition("path").mapInArrow(
+    return one_per_task(listed.select("path", "first")).mapInArrow(
         read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
     )

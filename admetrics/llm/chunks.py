@@ -5,6 +5,8 @@ characters that are not white space therefore always starts a token, whatever st
 there; every chunk but the first has a leading space.
 """
 
+from itertools import chain
+
 #: Entries of a worker's cache; chunks of more characters are not kept in it.
 CACHE_ENTRIES = 600_000
 CACHED_CHARS = 48
@@ -50,10 +52,9 @@ class ChunkEncoder:
 
     def _look_up(self, known, lists, space):
         """The ids of each list of chunks, joined."""
-        found = [list(map(known.get, parts)) for parts in lists]
-        missing = list({p for parts, ids in zip(lists, found) for p, i in zip(parts, ids) if i is None})
+        missing = list(set(chain.from_iterable(lists)).difference(known))
         known.update(zip(missing, self._encode_many([space + c for c in missing])))
-        joined = [b"".join([i or known[p] for p, i in zip(parts, ids)]) for parts, ids in zip(lists, found)]
+        joined = [b"".join(map(known.__getitem__, parts)) for parts in lists]
         for chunk in missing:
             if len(chunk) > CACHED_CHARS:
                 del known[chunk]

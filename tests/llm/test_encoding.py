@@ -117,3 +117,20 @@ def test_files_hold_all_documents_in_order(spark, docs, library, conf):  # noqa:
         start += len(ids)
     assert got == want
     assert bitpack.read_files(bitpack.write_files(docs().limit(0), TOKENIZER, VOCABULARY, END_ID)).count() == 0
+
+
+def test_hot_ids_are_cut_and_files_are_read_apart(spark, docs, conf):  # noqa: F811
+    """A third of the rows has no id; with default options each file has a task of its own."""
+    # Only so that small data make several files.
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB", spark__sql__adaptive__coalescePartitions__minPartitionSize="20KB")
+    rows = [(None if i % 3 == 0 else i, f"text {i % 40} {i * i} {i**5} {i**7}") for i in range(3000)]
+    frame = docs(*rows).repartition(4).selectExpr("*", "1 AS tie", "2 AS row", "3 AS start")
+    files = bitpack.write_files(frame, TOKENIZER, VOCABULARY, END_ID)
+    n = files.count()
+    found = bitpack.read_files(files)
+    assert n > 3 and found.rdd.getNumPartitions() == n
+    got = sorted(map(tuple, found.collect()), key=lambda r: r[1])
+    assert [r[0] for r in got] == sorted((r[0] for r in rows), key=lambda d: (d is not None, d or 0))
+    assert [r[1] for r in got] == [0, *np.cumsum([r[2] for r in got])[:-1]]
+    sizes = [r.n_docs for r in files.orderBy("part").collect()]
+    assert sizes[0] < 1000 and sum(sizes) == 3000
