@@ -12,6 +12,7 @@ from admetrics.schemas import (
     PLATFORMS,
     RAW,
 )
+from admetrics.session import materialize
 
 MEASURES = ["impressions", "clicks", "conversions", "spend_usd", "revenue_usd"]
 DOMAINS = {"campaign_type": CAMPAIGN_TYPES, "platform": PLATFORMS, "channel": CHANNELS}
@@ -39,6 +40,24 @@ def split_valid(df: DataFrame, domains=False):
     return good, checked.where(F.size("reasons") > 0)
 
 
+def split_repeated(df: DataFrame):
+    """The rows with each ``event_id`` once, and what was set aside: (event_id, copies, reasons).
+
+    Ids that occur once pass without their content being compared. Of the rows of a repeated id the one with the smallest content stays, which the tasks
+    find for their own rows first, so an id with a third of all rows is no hot group. Rows without an id have no identity and all stay.
+    """
+    named = df.where("event_id IS NOT NULL")
+    repeated = materialize(named.groupBy("event_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "repeated-ids")
+    rest = [c for c in df.columns if c != "event_id"]
+    ids = repeated.select("event_id")
+    # The smallest row; the aggregate combines before the shuffle.
+    kept = named.join(ids, "event_id", "left_semi").groupBy("event_id").agg(F.min(F.struct(*rest)).alias("_row"))
+    kept = kept.select("event_id", "_row.*").select(*df.columns)
+    once = df.join(ids, "event_id", "left_anti")
+    aside = repeated.select("event_id", (F.col("_n") - 1).alias("copies"), F.array(F.lit("event_id is repeated")).alias("reasons"))
+    return once.unionByName(kept), aside
+
+
 def benchmark_bands(df: DataFrame, bands=None) -> DataFrame:
     """Per channel the share of rows whose ratios lie within the published ranges."""
     bands = df.sparkSession.createDataFrame(bands or BENCHMARK_BANDS, BENCHMARK_COLUMNS)

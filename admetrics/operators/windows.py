@@ -19,7 +19,6 @@ from admetrics.functions.exact import (
     add_parts,
     as_double,
     exact_mean,
-    exact_sum,
     sum_parts,
     total_parts,
 )
@@ -49,13 +48,9 @@ def _keyed(df: DataFrame) -> DataFrame:
     return df.withColumns({"_campaign": text_key("campaign_id"), "_day": day_ordinal("date")})
 
 
-def campaign_days(df: DataFrame, days=7) -> DataFrame:
-    """Per campaign and day: the rolling averages over event rows.
-
-    A RANGE frame takes in every row of its days, so day totals give the same averages as the rows do.
-    The frame grows with campaigns x days, not with events.
-    """
-    totals = (
+def day_totals(df: DataFrame) -> DataFrame:
+    """Per campaign and day the sums and counts that the rolling averages are made of; totals of several tables add up."""
+    return (
         _keyed(df)
         .groupBy("campaign_id", "_campaign", "_day")
         .agg(
@@ -64,6 +59,17 @@ def campaign_days(df: DataFrame, days=7) -> DataFrame:
             *_named(total_parts(F.col("spend_usd")), "_spend"),
         )
     )
+
+
+def add_day_totals(totals: DataFrame) -> DataFrame:
+    """One row per campaign and day from the day totals of several tables."""
+    sums = [F.sum(f"_{c}").alias(f"_{c}") for c in _COUNTS] + [F.sum(f"_n_{c}").alias(f"_n_{c}") for c in ROLLING]
+    spend = [F.sum(f"_spend_{name}").cast(kind).alias(f"_spend_{name}") for name, kind in PARTS.items()]
+    return totals.groupBy("campaign_id", "_campaign", "_day").agg(*sums, *spend)
+
+
+def rolling_of(totals: DataFrame, days=7) -> DataFrame:
+    """The rolling averages of each campaign and day from the day totals."""
     frame = _days(days)
 
     def average(total, name):
@@ -79,6 +85,21 @@ def campaign_days(df: DataFrame, days=7) -> DataFrame:
     )
 
 
+def campaign_days(df: DataFrame, days=7) -> DataFrame:
+    """Per campaign and day: the rolling averages over event rows.
+
+    A RANGE frame takes in every row of its days, so day totals give the same averages as the rows do.
+    The frame grows with campaigns x days, not with events.
+    """
+    return rolling_of(day_totals(df), days)
+
+
+def spend_before(totals: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Per campaign of ``firsts`` (_campaign, _first) the parts of its spend before the day ``_first``."""
+    earlier = totals.join(firsts, "_campaign").where(F.col("_day") < F.col("_first"))
+    return earlier.groupBy("_campaign").agg(*[F.sum(f"_spend_{name}").cast(kind).alias(f"_base_{name}") for name, kind in PARTS.items()])
+
+
 def join_days(df: DataFrame, per_day: DataFrame) -> DataFrame:
     """Adds the rolling averages of its campaign and day to every row.
 
@@ -102,7 +123,7 @@ def weeks_fit(df: DataFrame, iso_year_groups=False, most=RANGE_ROWS) -> bool:
     return _fit(keyed, group, most)
 
 
-def in_campaigns(df: DataFrame, rolling=True, running=True, days=7) -> DataFrame:
+def in_campaigns(df: DataFrame, rolling=True, running=True, days=7, base=None) -> DataFrame:
     """The rolling averages and the running total by windows over campaigns that fit into a task."""
     content = [F.col(f"`{c}`") for c in df.columns if c not in OWN]
     frame = _days(days)
@@ -113,8 +134,10 @@ def in_campaigns(df: DataFrame, rolling=True, running=True, days=7) -> DataFrame
     if running:
         # Rows with equal content get the same totals in either order.
         so_far = Window.partitionBy("_campaign").orderBy("_day", "event_id", F.xxhash64(*content))
-        columns["running_total_spend"] = exact_sum(F.col("spend_usd"), window=so_far.rowsBetween(Window.unboundedPreceding, 0))
-    return _keyed(df).withColumns(columns).drop("_campaign", "_day")
+        parts = total_parts(F.col("spend_usd"), so_far.rowsBetween(Window.unboundedPreceding, 0))
+        columns["running_total_spend"] = as_double(parts) if base is None else as_double(add_parts(_stored("_base"), parts))
+    keyed = _keyed(df) if base is None else _keyed(df).join(base, "_campaign", "left")
+    return keyed.withColumns(columns).select(*df.columns, *columns)
 
 
 def rolling_7d(df: DataFrame, days=7, most=RANGE_ROWS) -> DataFrame:
@@ -147,8 +170,11 @@ def plan_running(rows: DataFrame, count=None, range_rows=RANGE_ROWS) -> RunningP
     return RunningPlan(ranges, _small(before.where("_n > 0").drop("_n")))
 
 
-def add_running(df: DataFrame, plan: RunningPlan) -> DataFrame:
-    """Adds ``running_total_spend`` to rows with a tie-break: that of the row's range so far, plus its campaign's spend in earlier ranges."""
+def add_running(df: DataFrame, plan: RunningPlan, base=None) -> DataFrame:
+    """Adds ``running_total_spend`` to rows with a tie-break: that of the row's range so far, plus its campaign's spend in earlier ranges.
+
+    ``base`` holds what campaigns spent before these rows (`spend_before`).
+    """
     here = (
         Window.partitionBy("_range", "_campaign")
         .orderBy("_day", "event_id", TIE, ROW)
@@ -157,16 +183,19 @@ def add_running(df: DataFrame, plan: RunningPlan) -> DataFrame:
     dealt = plan.ranges.dealt(_keyed(df)).select("*", *_named(total_parts(F.col("spend_usd"), here), "_here"))
     # Only the first campaign of a range reaches back, so there are fewer rows than ranges.
     joined = dealt.join(F.broadcast(plan.before), ["_range", "_campaign"], "left")
-    running = as_double(add_parts(_stored("_before"), _stored("_here")))
+    parts = [_stored("_before"), _stored("_here")]
+    if base is not None:
+        joined, parts = joined.join(base, "_campaign", "left"), [_stored("_base"), *parts]
+    running = as_double(add_parts(*parts))
     return joined.select(*df.columns, running.alias("running_total_spend"))
 
 
-def running_sum(df: DataFrame, rows=None, range_rows=RANGE_ROWS) -> DataFrame:
+def running_sum(df: DataFrame, rows=None, range_rows=RANGE_ROWS, base=None) -> DataFrame:
     """Adds ``running_total_spend`` of each campaign by day; ties within a day follow ``event_id``, then the row's content."""
     if campaigns_fit(df, range_rows):
-        return in_campaigns(df, rolling=False).select(*df.columns, "running_total_spend")
+        return in_campaigns(df, rolling=False, base=base).select(*df.columns, "running_total_spend")
     given = numbered(df)
-    return add_running(given, plan_running(given, rows, range_rows)).select(*df.columns, "running_total_spend")
+    return add_running(given, plan_running(given, rows, range_rows), base).select(*df.columns, "running_total_spend")
 
 
 @dataclass

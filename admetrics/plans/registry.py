@@ -14,7 +14,7 @@ from admetrics.functions import calendar as cal
 from admetrics.functions.classify import channel_type, channel_type_lookup
 from admetrics.functions.ratios import floor_ratio, null_ratio, pct, with_metrics
 from admetrics.operators import kpis, marts, quality, windows
-from admetrics.plans import jobs
+from admetrics.plans import incremental, jobs
 from admetrics.plans.layers import build_dims, build_silver, build_star
 from admetrics.session import materialize, new_path
 from admetrics.sinks import layout, writers
@@ -541,3 +541,62 @@ def bronze_batch_and_stream(spark, sf_dir):
     writers.to_kafka_messages(events.where(~batch)).write.parquet(path)
     jobs.append_bronze(readers.read_messages_files(spark, path), base)
     return jobs.read_bronze(spark, base)
+
+
+def _split_events(spark, sf_dir):
+    """Wire events in two parts: the late events of some campaigns and channels, and all others."""
+    events = wire_events(spark, sf_dir)
+    late = F.pmod(F.xxhash64("campaign_id", "channel"), F.lit(40)) == 0
+    late = late & (F.col("date") >= "2001-10-01")
+    return events.where(~late), events.where(late)
+
+
+@query
+def silver_updated(spark, sf_dir):
+    """Silver after an update: some events, and replays of others, arrive as messages once it is built."""
+    base = new_path(spark, "updated-lake")
+    early, late = _split_events(spark, sf_dir)
+    writers.write_table(early, base, jobs.BRONZE_BATCH)
+    writers.write_table(build_silver(early), base, jobs.SILVER, partition_by=["platform", "date"])
+    built = readers.read_table(spark, base, jobs.SILVER, schema=schemas.SILVER)
+    incremental.start_log(spark, base, built, jobs.bronze_files(spark, base))
+    path = new_path(spark, "late-messages")
+    replays = early.where((F.col("date") >= "2001-10-01") & (F.pmod(F.xxhash64("event_id"), F.lit(3)) == 0))
+    writers.to_kafka_messages(late.union(replays)).write.parquet(path)
+    jobs.append_bronze(readers.read_messages_files(spark, path), base)
+    files = incremental.unseen(spark, base, jobs.bronze_files(spark, base))
+    _, _, version = incremental.update_silver(spark, base, jobs.SILVER, files)
+    incremental.finish(spark, base, version, files)
+    return readers.read_table(spark, base, jobs.SILVER, schema=schemas.SILVER)
+
+
+@query
+def bronze_replayed(spark, sf_dir):
+    """Bronze of a stream whose messages came twice, in two runs: each event once."""
+    base = new_path(spark, "replayed-lake")
+    path = new_path(spark, "replayed-messages")
+    messages = writers.to_kafka_messages(wire_events(spark, sf_dir))
+    messages.union(messages.limit(1000)).write.parquet(path)
+    jobs.append_bronze(readers.read_messages_files(spark, path), base)
+    messages.write.mode("append").parquet(path)
+    jobs.append_bronze(readers.read_messages_files(spark, path), base)
+    return jobs.read_bronze(spark, base)
+
+
+@query
+def repeated_events(spark, sf_dir):
+    """Ids that occur more than once in Bronze and its replays, and how many rows of each are set aside."""
+    events = bronze(spark, sf_dir)
+    replays = events.where("clicks % 5 = 1")
+    third = events.where("clicks % 15 = 1").withColumn("clicks", F.col("clicks") + 1)
+    _, aside = quality.split_repeated(events.union(replays).union(third))
+    return aside.select("event_id", "copies", F.array_join("reasons", "; ").alias("reasons"))
+
+
+@query
+def unique_events(spark, sf_dir):
+    """The rows that stay: of a repeated id that with the smallest content."""
+    events = bronze(spark, sf_dir)
+    third = events.where("clicks % 15 = 1").withColumn("timestamp", F.lit("2001-01-01T00:00:00Z"))
+    kept, _ = quality.split_repeated(events.union(events.where("clicks % 5 = 1")).union(third))
+    return kept

@@ -370,4 +370,12 @@ ORACLES = {
     "stream_silver": _m("SELECT * EXCLUDE (conversion_rate) FROM m"),
     "stream_bronze_then_silver": _s("SELECT * FROM s"),
     "bronze_batch_and_stream": _ev(f"SELECT {_RAW} FROM ev"),
+    "bronze_replayed": _ev(f"SELECT {_RAW} FROM ev"),
+    "silver_updated": _s("SELECT * FROM s"),
+    "repeated_events": _ev("""
+      SELECT event_id, CAST(CASE WHEN clicks % 15 = 1 THEN 2 ELSE 1 END AS BIGINT) AS copies, 'event_id is repeated' AS reasons
+      FROM ev WHERE clicks % 5 = 1"""),
+    "unique_events": _ev("""
+      SELECT * REPLACE (CASE WHEN clicks % 15 = 1 AND timestamp > '2001-01-01T00:00:00Z' THEN '2001-01-01T00:00:00Z' ELSE timestamp END AS timestamp)
+      FROM ev"""),
 }
