@@ -74,6 +74,27 @@ def test_pairs_equal_brute_force(spark, docs):  # noqa: F811
     assert tiling.pairs(docs().limit(0), benchmark).count() == 0
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        # Readers' comments and teasers around and inside an article.
+        ('<article><p>Own text.</p></article><div id="comments"><ol class="comment-list"><li class="comment"><article class="comment-body"><p>A reader.</p></article></li></ol></div>', "Own text."),
+        ('<article><p>Own.</p></article><div id="comments"><ol><li><article><p>A reader.</p></article></li></ol></div>', "Own."),
+        ('<main><article><p>Own.</p></article><section class="related"><article>Teaser</article></section><div class="sidebar"><article>Other</article></div></main>', "Own."),
+        ('<div class="sidebar"><article>Teaser</article></div><main><article><p>Own.</p></article></main>', "Own."),
+        ('<article><p>Own.</p><section class="article-comments"><p>c1</p></section><div class="comment-body">c2</div><div class="user-comments">c3</div></article>', "Own."),
+        ('<div class="no-comments"><article class="comments-open"><p>Own.</p><p class="commentary">More.</p></article></div>', "Own.\nMore."),
+        ('<div class="widget"><article><p>One.</p></article><article><p>Two.</p></article></div>', "One.\nTwo."),
+        ('<form><article><p>Own.</p></article></form>', "Own."),
+        # A script inside a paragraph does not end it.
+        ("<article><p>one<script>x</script>two</p><p>a <style>b{}</style> c</p></article>", "onetwo\na c"),
+    ],
+)
+def test_main_text_of_markup(spark, page, text):
+    frame = spark.createDataFrame([(1, "http://a.org/1", page)], "page_id bigint, url string, html string")
+    assert html_text.extract(frame).first().text == text
+
+
 def test_short_items_and_scripts_without_spaces(spark, docs):  # noqa: F811
     clause = "春眠不觉晓处处闻啼鸟夜来风雨声花落知多少又一年春天"
     items = [(1, "To be or not"), (2, clause), (3, "x"), (4, "ภาษาไทยไม่มีช่องว่าง"), (5, "not or be to")]
