@@ -26,12 +26,27 @@ _RATIOS = {
 }
 
 
+def _totals():
+    return [total(F.col(c)).alias(name) for name, (c, total) in _TOTALS.items()]
+
+
+def _with_ratios(totals: DataFrame) -> DataFrame:
+    return totals.withColumns({name: divide(num, den) for name, (num, den) in _RATIOS.items()})
+
+
 def kpis(fact: DataFrame, by=()) -> DataFrame:
     """Totals and ratios of totals per group; without ``by`` one row for everything."""
-    totals = [total(F.col(c)).alias(name) for name, (c, total) in _TOTALS.items()]
-    return fact.groupBy(*by).agg(*totals).withColumns(
-        {name: divide(num, den) for name, (num, den) in _RATIOS.items()}
-    )
+    return _with_ratios(fact.groupBy(*by).agg(*_totals()))
+
+
+def kpi_contexts(fact: DataFrame, by) -> DataFrame:
+    """The measures of every filter context over the columns ``by`` in one pass over the fact.
+
+    ``context`` tells a context from the values of its columns: a bit, the first column's the highest, is set for each column that is
+    not part of it, and that column is NULL. A row counts once for each context inside its task, where the sums are combined; one shuffle
+    brings these sums together.
+    """
+    return _with_ratios(fact.cube(*by).agg(*_totals(), F.grouping_id().cast("int").alias("context")))
 
 
 def kpi_mom(fact: DataFrame, by=(), date="full_date", calendar=None) -> DataFrame:

@@ -363,6 +363,13 @@ def kpis_by_month(spark, sf_dir):
     return kpis.kpis(fact_with(spark, sf_dir, "dim_date"), ["year", "month"])
 
 
+@query
+def kpis_all_contexts(spark, sf_dir):
+    """All measures by any choice of campaign, channel and month, from one scan of the fact."""
+    months = fact_with(spark, sf_dir, "dim_campaign", "dim_channel", "dim_date").withColumn("month", cal.month_label("full_date"))
+    return kpis.kpi_contexts(months, ["campaign_id", "channel_name", "month"])
+
+
 @query
 def kpi_spend_mom(spark, sf_dir):
     return kpis.kpi_mom(fact_with(spark, sf_dir, "dim_date"), calendar=star(spark, sf_dir)["dim_date"])

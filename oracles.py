@@ -333,6 +333,11 @@ ORACLES = {
     "kpis_by_month": _ev(_kpis(
         "CAST(year(date) AS INT) AS year, CAST(month(date) AS INT) AS month,", "ev",
         "GROUP BY year(date), month(date)")),
+    "kpis_all_contexts": _ev(_kpis(
+        """campaign_id, channel_name, month,
+        CAST(4 * GROUPING(campaign_id) + 2 * GROUPING(channel_name) + GROUPING(month) AS INT) AS context,""",
+        "(SELECT *, channel AS channel_name, strftime(date, '%Y-%m') AS month FROM ev)",
+        "GROUP BY CUBE (campaign_id, channel_name, month)")),
     "kpi_spend_mom": _mom(""),
     "kpi_spend_mom_by_campaign": _mom("campaign_id"),
     "kpi_impressions_7d": _seven_days(""),

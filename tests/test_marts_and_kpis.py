@@ -1,6 +1,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from admetrics.operators import kpis, marts
 from admetrics.plans.layers import build_silver, build_star
@@ -121,3 +122,14 @@ def test_report_sums_names_that_share_keys(events):
     assert [(r.campaign_name, r.impressions, r.ctr_pct, r.roas, r.total_spend) for r in row] == [
         ("One", 200, 10.0, 2.0, 10.0)
     ]
+
+
+def test_contexts_cost_one_scan_and_one_shuffle(spark, events):
+    df = events(*[{"campaign_id": f"C{i % 3}", "channel": None if i % 4 else "Meta Feed", "clicks": i} for i in range(24)])
+    found = kpis.kpi_contexts(df, ["campaign_id", "channel"])
+    for context, by in ((3, []), (1, ["campaign_id"]), (2, ["channel"]), (0, ["campaign_id", "channel"])):
+        want = kpis.kpis(df, by)
+        got = found.where(F.col("context") == context).select(*want.columns)
+        assert got.exceptAll(want).count() == 0 and got.count() == want.count()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Expand" in plan
