@@ -1,39 +1,17 @@
 """Dimensions, surrogate keys and the fact table."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from admetrics.functions.calendar import calendar
 from admetrics.functions.classify import channel_type
 from admetrics.functions.ratios import exact_round
+from admetrics.operators import history
+from admetrics.operators.keys import with_key
 from admetrics.schemas import CAMPAIGN_ATTRIBUTES, DIM_CAMPAIGN, DIM_CHANNEL, DIM_DATE
 
 
-def with_key(df: DataFrame, order_cols, name) -> DataFrame:
-    """Numbers the rows 0, 1, 2 ... by content alone, without passing all of them through one task.
-
-    Rows are dealt into 4,096 buckets by the first three digits of an MD5 over ``order_cols``, numbered
-    within the bucket, and moved up by the size of the buckets before. The same members always get the
-    same keys. ``order_cols`` must tell the rows apart.
-    """
-    bucketed = df.withColumn("_bucket", F.substring(F.md5(F.concat_ws("|", *order_cols)), 1, 3))
-    inside = Window.partitionBy("_bucket").orderBy(*order_cols)
-    # At most 4,096 rows, one per bucket: safe in a single window and safe to broadcast.
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        bucketed.groupBy("_bucket")
-        .count()
-        .select("_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
-    )
-    return (
-        bucketed.withColumn("_place", F.row_number().over(inside) - 1)
-        .join(F.broadcast(starts), "_bucket")
-        .withColumn(name, F.col("_start") + F.col("_place"))
-        .drop("_bucket", "_place", "_start")
-    )
-
-
-def dim_campaign(df: DataFrame, latest=False) -> DataFrame:
+def dim_campaign(df: DataFrame, latest=False, number=with_key) -> DataFrame:
     """One row per distinct set of attributes; with ``latest`` the newest set of each campaign only."""
     if latest:
         rest = CAMPAIGN_ATTRIBUTES[1:]
@@ -44,10 +22,10 @@ def dim_campaign(df: DataFrame, latest=False) -> DataFrame:
         )
     else:
         members = df.select(*CAMPAIGN_ATTRIBUTES).distinct()
-    return with_key(members, CAMPAIGN_ATTRIBUTES, "campaign_key").select(*DIM_CAMPAIGN.names)
+    return number(members, CAMPAIGN_ATTRIBUTES, "campaign_key").select(*DIM_CAMPAIGN.names)
 
 
-def dim_channel(df: DataFrame, latest=False) -> DataFrame:
+def dim_channel(df: DataFrame, latest=False, number=with_key) -> DataFrame:
     named = df.withColumnRenamed("channel", "channel_name")
     if latest:
         members = (
@@ -58,7 +36,7 @@ def dim_channel(df: DataFrame, latest=False) -> DataFrame:
     else:
         members = named.select("channel_name", "platform").distinct()
     typed = members.withColumn("channel_type", channel_type("channel_name"))
-    return with_key(typed, ["channel_name", "platform"], "channel_key").select(*DIM_CHANNEL.names)
+    return number(typed, ["channel_name", "platform"], "channel_key").select(*DIM_CHANNEL.names)
 
 
 def dim_date(df: DataFrame) -> DataFrame:
@@ -70,12 +48,16 @@ def dim_date(df: DataFrame) -> DataFrame:
 def attach_keys(df: DataFrame, dims: dict) -> DataFrame:
     """Inner joins to the three dimensions.
 
-    No broadcast is forced: Spark compares the size of each dimension with its own threshold.
+    No broadcast is forced: Spark compares the size of each dimension with its own threshold. Versions of campaigns are joined as
+    of the row's day.
     """
-    campaign = dims["dim_campaign"].select("campaign_id", "campaign_key")
     channel = dims["dim_channel"].select(F.col("channel_name").alias("channel"), "channel_key")
     date = dims["dim_date"].select(F.col("full_date").alias("date"), "date_key")
-    return df.join(campaign, "campaign_id").join(channel, "channel").join(date, "date")
+    if "valid_from" in dims["dim_campaign"].columns:
+        keyed = history.as_of(df, dims["dim_campaign"])
+    else:
+        keyed = df.join(dims["dim_campaign"].select("campaign_id", "campaign_key"), "campaign_id")
+    return keyed.join(channel, "channel").join(date, "date")
 
 
 def fact(df: DataFrame, dims: dict) -> DataFrame:
@@ -103,3 +85,16 @@ def with_campaign_name(df: DataFrame, dim: DataFrame) -> DataFrame:
     """Adds the campaign's name; one name per id, the first in the alphabet if it has several."""
     names = dim.groupBy("campaign_id").agg(F.min("campaign_name").alias("campaign_name"))
     return df.join(names, "campaign_id", "left")
+
+
+def fact_where(fact: DataFrame, dims: dict, **conditions) -> DataFrame:
+    """The fact rows whose dimension rows meet conditions: ``fact_where(fact, dims, date="year = 1995", campaign="advertiser = 'A'")``.
+
+    The conditions stay on the dimensions, whose keys filter the fact: on a fact partitioned by ``date_key`` Spark then prunes the folders of other
+    days while it plans the stages, and may test the other keys against a bloom filter in the scan. A row without the dimension row drops out;
+    none is doubled.
+    """
+    keys = {"campaign": "campaign_key", "channel": "channel_key", "date": "date_key"}
+    for name, condition in conditions.items():
+        fact = fact.join(dims[f"dim_{name}"].where(condition).select(keys[name]), keys[name], "left_semi")
+    return fact

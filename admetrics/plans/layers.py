@@ -5,6 +5,8 @@ from pyspark.sql import DataFrame
 from admetrics.functions.calendar import parse_date
 from admetrics.functions.ratios import with_metrics
 from admetrics.operators import star, windows
+from admetrics.operators.history import dim_campaign_versions
+from admetrics.operators.keys import with_key
 from admetrics.operators.ranges import RANGE_ROWS, numbered
 from admetrics.schemas import SILVER
 
@@ -27,21 +29,23 @@ def build_silver(raw: DataFrame, range_rows=RANGE_ROWS) -> DataFrame:
     return windows.join_days(running, windows.campaign_days(rows)).select(*SILVER.names)
 
 
-def build_dims(silver: DataFrame, latest=False) -> dict:
+def build_dims(silver: DataFrame, latest=False, history=False, number=with_key) -> dict:
+    """The dimensions; with ``history`` campaigns have a row for each version. ``number`` gives the surrogate keys."""
+    campaigns = dim_campaign_versions(silver, number) if history else star.dim_campaign(silver, latest, number)
     return {
-        "dim_campaign": star.dim_campaign(silver, latest),
-        "dim_channel": star.dim_channel(silver, latest),
+        "dim_campaign": campaigns,
+        "dim_channel": star.dim_channel(silver, latest, number),
         "dim_date": star.dim_date(silver),
     }
 
 
-def build_star(silver: DataFrame, store=None, latest=False) -> dict:
+def build_star(silver: DataFrame, store=None, latest=False, history=False, number=with_key) -> dict:
     """The three dimensions and the fact.
 
     ``store(df, name)`` writes a dimension and returns it as read back. The fact then joins the stored
     keys, and Spark knows the size of each dimension before it plans the joins.
     """
-    dims = build_dims(silver, latest)
+    dims = build_dims(silver, latest, history, number)
     if store:
         dims = {name: store(df, name) for name, df in dims.items()}
     return {**dims, "fact_ad_impressions": star.fact(silver, dims)}

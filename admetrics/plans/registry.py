@@ -14,6 +14,7 @@ from admetrics.functions import calendar as cal
 from admetrics.functions.classify import channel_type, channel_type_lookup
 from admetrics.functions.ratios import floor_ratio, null_ratio, pct, with_metrics
 from admetrics.operators import kpis, marts, quality, windows
+from admetrics.operators.star import fact_where
 from admetrics.plans import incremental, jobs
 from admetrics.plans.layers import build_dims, build_silver, build_star
 from admetrics.session import materialize, new_path
@@ -109,6 +110,12 @@ def fact_with(spark, sf_dir, *dims) -> DataFrame:
     return df
 
 
+def _fact_by_day(spark, sf_dir) -> str:
+    base = new_path(spark, "fact-table")
+    writers.write_table(star(spark, sf_dir)["fact_ad_impressions"], base, "fact", partition_by=["date_key"])
+    return base
+
+
 def message_files(spark, sf_dir) -> str:
     def make():
         path = new_path(spark, "messages")
@@ -248,6 +255,50 @@ def fact(spark, sf_dir):
     return build_star(silver(spark, sf_dir), materialize)["fact_ad_impressions"]
 
 
+def renamed_silver(spark, sf_dir) -> DataFrame:
+    """Silver in which campaigns take three names in turn, by quarter, and a third party has some of them in spring."""
+    turn = (F.year("date") * 4 + F.quarter("date")) % 3
+    agency = (F.col("channel") == "Meta Feed") & (F.quarter("date") == 2)
+    return silver(spark, sf_dir).withColumns(
+        {
+            "campaign_name": F.concat("campaign_name", F.lit(" v"), turn.cast("string")),
+            "advertiser": F.when(agency, "Third party").otherwise(F.col("advertiser")),
+        }
+    )
+
+
+@query
+def dim_campaign_versions(spark, sf_dir):
+    return build_dims(renamed_silver(spark, sf_dir), history=True)["dim_campaign"]
+
+
+@query
+def fact_as_of(spark, sf_dir):
+    """Each event once, with the attributes that its campaign had on its day."""
+    tables = build_star(renamed_silver(spark, sf_dir), materialize, history=True)
+    fact_table = tables["fact_ad_impressions"].join(tables["dim_campaign"], "campaign_key")
+    return fact_table.select("event_id", *schemas.CAMPAIGN_ATTRIBUTES, "valid_from", "campaign_key", "date_key", "channel_key", "spend_usd")
+
+
+@query
+def dim_campaign_grown(spark, sf_dir):
+    """The keys after a second load, which brings new sets of attributes: those of the first load are where they were."""
+    base, events = new_path(spark, "grown"), renamed_silver(spark, sf_dir)
+    for load in (events.where("date < '1995-07-01'"), events):
+        dims = build_dims(load, number=jobs.stored_keys(spark, base))
+    return dims["dim_campaign"]
+
+
+@query
+def month_of_advertiser(spark, sf_dir):
+    """KPIs of one advertiser in one month, from the stored fact, of which only that month's folders are read."""
+    base = _once(spark, sf_dir, "fact_by_day", lambda: _fact_by_day(spark, sf_dir))
+    tables = star(spark, sf_dir)
+    fact_table = readers.read_table(spark, base, "fact", schema=schemas.FACT)
+    chosen = fact_where(fact_table, tables, date="year = 1995 AND month = 3", campaign="advertiser = 'Advertiser 1'")
+    return kpis.kpis(chosen.join(tables["dim_campaign"], "campaign_key").join(tables["dim_channel"], "channel_key"), ["campaign_id", "channel_name"])
+
+
 @query
 def star_report(spark, sf_dir):
     tables = star(spark, sf_dir)
@@ -462,9 +513,7 @@ def partitioned_silver(spark, sf_dir):
 @query
 def partitioned_fact(spark, sf_dir):
     """The fact written by date_key, as the batch job stores it."""
-    base = new_path(spark, "fact-table")
-    writers.write_table(star(spark, sf_dir)["fact_ad_impressions"], base, "fact", partition_by=["date_key"])
-    return readers.read_table(spark, base, "fact", schema=schemas.FACT)
+    return readers.read_table(spark, _fact_by_day(spark, sf_dir), "fact", schema=schemas.FACT)
 
 
 @query

@@ -48,6 +48,10 @@ SILVER = T.StructType(
 
 DIM_CAMPAIGN = _struct(*[(name, STRING) for name in CAMPAIGN_ATTRIBUTES], ("campaign_key", LONG))
 
+DIM_CAMPAIGN_VERSIONS = T.StructType(
+    [*DIM_CAMPAIGN.fields, *_struct(("valid_from", T.DateType()), ("valid_to", T.DateType())).fields]
+)
+
 DIM_CHANNEL = _struct(
     ("channel_name", STRING), ("platform", STRING), ("channel_type", STRING), ("channel_key", LONG)
 )

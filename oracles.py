@@ -135,6 +135,36 @@ fact AS (
   FROM s JOIN dca USING (campaign_id) JOIN dch ON s.channel = dch.channel_name
          JOIN dda ON s.date = dda.full_date)"""
 
+RENAMED = f"""
+re AS (
+  SELECT * REPLACE (campaign_name || ' v' || CAST((year(date) * 4 + quarter(date)) % 3 AS STRING) AS campaign_name,
+                    CASE WHEN channel = 'Meta Feed' AND quarter(date) = 2 THEN 'Third party' ELSE advertiser END AS advertiser)
+  FROM s)"""
+
+VERSIONS = f"""
+rd AS (
+  SELECT {_CAMPAIGN}, date FROM re
+  QUALIFY row_number() OVER (PARTITION BY campaign_id, date
+    ORDER BY timestamp DESC, campaign_name DESC, campaign_type DESC, advertiser DESC) = 1),
+rs AS (
+  SELECT * FROM rd
+  QUALIFY lag(concat_ws('|', campaign_name, campaign_type, advertiser)) OVER (PARTITION BY campaign_id ORDER BY date)
+    IS DISTINCT FROM concat_ws('|', campaign_name, campaign_type, advertiser)),
+rv AS (
+  SELECT {_CAMPAIGN}, date AS valid_from,
+         CAST(lead(date) OVER (PARTITION BY campaign_id ORDER BY date) AS DATE) AS valid_to,
+         CAST(row_number() OVER (ORDER BY substr(md5(concat_ws('|', campaign_id, CAST(date AS VARCHAR))), 1, 3), campaign_id, date) - 1
+           AS BIGINT) AS campaign_key
+  FROM rs)"""
+
+GROWN = f"""
+r1 AS (SELECT DISTINCT {_CAMPAIGN} FROM re WHERE date < DATE '1995-07-01'),
+r2 AS (SELECT DISTINCT {_CAMPAIGN} FROM re EXCEPT SELECT * FROM r1),
+rg AS (
+  SELECT {_CAMPAIGN}, CAST(row_number() OVER (ORDER BY {_CAMPAIGN_KEY}) - 1 AS BIGINT) AS campaign_key FROM r1
+  UNION ALL
+  SELECT {_CAMPAIGN}, CAST(row_number() OVER (ORDER BY {_CAMPAIGN_KEY}) - 1 + (SELECT count(*) FROM r1) AS BIGINT) FROM r2)"""
+
 _RAW = (
     "event_id, timestamp, campaign_id, campaign_name, campaign_type, advertiser, platform, channel, "
     "CAST(date AS VARCHAR) AS date, impressions, clicks, conversions, spend_usd, revenue_usd"
@@ -163,6 +193,7 @@ _weekly = _with(EVENTS, METRICS, WEEKLY)
 _dims = _with(EVENTS, DIMS)
 _fact = _with(EVENTS, METRICS, SILVER, DIMS, FACT)
 _flawed = _with(EVENTS, FLAWED)
+_versions = _with(EVENTS, METRICS, SILVER, DIMS, RENAMED, VERSIONS)
 
 
 def _kpis(select, source, group):
@@ -265,6 +296,17 @@ ORACLES = {
     "dim_channel": _dims("SELECT * FROM dch"),
     "dim_date": _dims("SELECT * FROM dda"),
     "fact": _fact("SELECT * FROM fact"),
+    "dim_campaign_versions": _versions("SELECT * FROM rv"),
+    "fact_as_of": _versions("""
+      SELECT event_id, campaign_id, rv.campaign_name, rv.campaign_type, rv.advertiser, valid_from, campaign_key,
+             CAST(strftime(re.date, '%Y%m%d') AS INT) AS date_key, channel_key, spend_usd
+      FROM re JOIN rv USING (campaign_id) JOIN dch ON re.channel = dch.channel_name
+      WHERE re.date >= valid_from AND (valid_to IS NULL OR re.date < valid_to)"""),
+    "dim_campaign_grown": _with(EVENTS, METRICS, SILVER, RENAMED, GROWN)("SELECT * FROM rg"),
+    "month_of_advertiser": _ev(_kpis(
+        "campaign_id, channel AS channel_name,", "ev",
+        "WHERE year(date) = 1995 AND month(date) = 3 AND advertiser = 'Advertiser 1' GROUP BY campaign_id, channel",
+    )),
     "star_report": _fact("""
       SELECT 'fact rows' AS check, COUNT(*) AS n FROM fact
       UNION ALL SELECT 'facts without campaign', COUNT(*) FROM fact ANTI JOIN dca USING (campaign_key)
