@@ -212,8 +212,9 @@ def _rank_keyed(df, iso_year_groups):
     keys = {"_channel": text_key("channel"), "_week": F.coalesce(F.weekofyear("date"), F.lit(0))}
     if iso_year_groups:
         keys["_year"] = F.coalesce(iso_year("date"), F.lit(0))
-    # Falling roas, NULL last.
-    return df.withColumns({**keys, "_last": F.col("roas").isNull(), "_falling": -F.col("roas")}), list(keys)
+    # Falling roas: NaN first and NULL last, as Spark orders them.
+    odd = F.when(F.col("roas").isNull(), 2).when(F.isnan("roas"), 0).otherwise(1)
+    return df.withColumns({**keys, "_last": odd, "_falling": F.when(~F.isnan("roas"), -F.col("roas"))}), list(keys)
 
 
 def plan_rank(rows: DataFrame, iso_year_groups=False, count=None, range_rows=RANGE_ROWS) -> RankPlan:
@@ -273,6 +274,42 @@ def roas_rank(df: DataFrame, iso_year_groups=False, rows=None, range_rows=RANGE_
     return add_rank(given, plan_rank(given, iso_year_groups, rows, range_rows)).select(*df.columns, "roas_rank_in_channel")
 
 
+def value_ranks(df: DataFrame, iso_year_groups=False, range_rows=RANGE_ROWS) -> DataFrame:
+    """The rank of each distinct (group, roas): one more than the rows of the group with a better one.
+
+    Rows are only counted by value, map-side first; what is put in order are the values, in ranges where a group has more than ``range_rows`` of them.
+    """
+    keyed, group = _rank_keyed(df, iso_year_groups)
+    value = ["_last", "_falling"]
+    counts = numbered(keyed.groupBy(*group, *value).agg(F.count(F.lit(1)).alias("_n")))
+    better = Window.partitionBy(*group).orderBy(*value).rowsBetween(Window.unboundedPreceding, -1)
+    rank = F.coalesce(F.sum("_n").over(better), F.lit(0)) + 1
+    if _fit(counts, group, range_rows):
+        return counts.select(*group, *value, rank.alias("_rank"))
+    ranges = find_ranges(counts, [*group, *value], counts.count(), range_rows)
+    earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range and group in it; those with rows before them are the first groups of their ranges, fewer than there are ranges.
+    sums = ranges.number(counts).groupBy("_range", *group).agg(F.sum("_n").alias("_n"))
+    above = _small(sums.select("_range", *group, F.sum("_n").over(earlier).alias("_above")).where("_above > 0"))
+    here = Window.partitionBy("_range", *group).orderBy(*value).rowsBetween(Window.unboundedPreceding, -1)
+    dealt = ranges.dealt(counts).withColumn("_here", F.coalesce(F.sum("_n").over(here), F.lit(0)))
+    joined = dealt.join(F.broadcast(above), ["_range", *group], "left")
+    return joined.select(*group, *value, (F.coalesce("_above", F.lit(0)) + F.col("_here") + 1).alias("_rank"))
+
+
+def rank_by_values(df: DataFrame, iso_year_groups=False, range_rows=RANGE_ROWS) -> DataFrame:
+    """Adds ``roas_rank_in_channel`` from the ranks of the values; event rows are neither sorted nor gathered by group.
+
+    Pays where values repeat. The table of values is joined without a hint: a small one is broadcast and the rows stay where they are, a
+    large one meets them by group and value, and adaptive execution splits a value that very many rows have.
+    """
+    keyed, group = _rank_keyed(df, iso_year_groups)
+    ranks = value_ranks(df, iso_year_groups, range_rows).select(*[F.col(c).alias(f"v{c}") for c in [*group, "_last", "_falling"]], "_rank")
+    alike = [F.col(c) == F.col(f"v{c}") for c in [*group, "_last"]] + [F.col("_falling").eqNullSafe(F.col("v_falling"))]
+    # Every row has its value in the table.
+    return keyed.join(ranks, alike).select(*df.columns, F.col("_rank").cast("long").alias("roas_rank_in_channel"))
+
+
 def rolling_rows(daily: DataFrame, n=7) -> DataFrame:
     """Mean of the last ``n`` daily spends of a campaign by row; NULL until ``n`` rows exist."""
     rows = Window.partitionBy("campaign_id").orderBy("date").rowsBetween(1 - n, 0)

@@ -220,6 +220,13 @@ def roas_rank_iso_year(spark, sf_dir):
     return ranked.select("event_id", "roas_rank_in_channel")
 
 
+@query
+def roas_rank_by_values(spark, sf_dir):
+    """The rank from counts of the values, in so many ranges that the weeks' values are cut."""
+    rows = metrics(spark, sf_dir)
+    return windows.rank_by_values(rows, range_rows=max(2, rows.count() // 500)).select("event_id", "roas_rank_in_channel")
+
+
 @query
 def silver_(spark, sf_dir):
     return build_silver(bronze(spark, sf_dir))

@@ -287,6 +287,7 @@ ORACLES = {
     "rolling_7d_daily_grain": _s(f"SELECT DISTINCT campaign_id, date, {_ROLLING} FROM s"),
     "running_spend": _s("SELECT event_id, running_total_spend FROM s"),
     "roas_rank": _s("SELECT event_id, roas_rank_in_channel FROM s"),
+    "roas_rank_by_values": _s("SELECT event_id, roas_rank_in_channel FROM s"),
     "roas_rank_iso_year": _m("""
       SELECT event_id, CAST(RANK() OVER (PARTITION BY channel, isoyear(date), week(date)
         ORDER BY roas DESC) AS BIGINT) AS roas_rank_in_channel FROM m"""),

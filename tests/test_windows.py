@@ -13,6 +13,7 @@ from admetrics.functions.ratios import with_metrics
 from admetrics.operators import marts, windows
 from admetrics.operators.ranges import find_ranges, numbered, text_key
 from admetrics.plans.layers import build_silver
+from admetrics.session import materialize
 
 
 def skewed_rows(n, seed=7):
@@ -177,3 +178,18 @@ def test_row_window_waits_for_seven_rows(spark):
     daily = spark.createDataFrame(rows, "campaign_id string, date date, total_spend double")
     got = windows.rolling_rows(daily).orderBy("campaign_id", "date").collect()
     assert [r.rolling_7row_spend for r in got] == [None] * 6 + [3.0, 4.0, 5.0] + [None] * 5
+
+
+@pytest.mark.parametrize("range_rows", [3, 1000])
+def test_rank_by_values_equals_the_window(events, range_rows):
+    """A hot week, ties over many ranges, a value with a third of the rows, missing values and channels."""
+    rows = [{"date": "2024-01-03", "spend_usd": 1.0, "revenue_usd": float(i % 40) if i % 3 else 0.0} for i in range(150)]
+    rows += [{"date": d, "channel": c, "spend_usd": s} for d in ("2024-02-01", "2025-02-01", "bad") for c in ("Meta Feed", None) for s in (1.0, 2.0, None)]
+    df = with_metrics(events(*rows).withColumn("date", F.try_to_date("date")))
+    df = df.withColumn("roas", F.when(F.col("clicks") > 0, F.when(F.rand(7) < 0.05, F.lit(float("nan"))).otherwise(F.col("roas"))))
+    df = materialize(df.withColumn("roas", F.when(F.rand(8) > 0.04, F.col("roas"))), "ranked")
+    for iso in (False, True):
+        want = by_id(windows.rank_in_weeks(df, iso), "roas_rank_in_channel")
+        assert by_id(windows.rank_by_values(df, iso, range_rows), "roas_rank_in_channel") == want and len(want) == 168
+        assert by_id(windows.roas_rank(df, iso, range_rows=range_rows), "roas_rank_in_channel") == want
+    assert windows.rank_by_values(df.limit(0)).count() == 0
