@@ -1,7 +1,8 @@
 """Quality rules: a table of thresholds compiled into one projection of built-in functions.
 
 Words are maximal runs without the white space of `[\\x20\\x09-\\x0D]`; a null text has none. Every measure is taken
-from the whole text inside its own row, so nothing is shuffled and no row depends on another.
+from the whole text inside its own row, so nothing is shuffled and no row depends on another. Word length and stop words are
+measures of Latin scripts; texts in Cyrillic, Chinese and other scripts are judged by the other rules.
 
 Defined cases: a null, empty or blank text has zero words and fails the base rules. Repeated rows are judged alike.
 Columns of the input other than the text are carried along; a measure whose name clashes with one of them
@@ -18,24 +19,42 @@ _SPACES = " \t\n\x0b\f\r"
 _SYMBOLS = "#*$%&|<>"
 _WINDOW = 5
 
-#: Frequent function words of English, German, French and Spanish: fixed values.
+#: Frequent function words of languages in Latin letters: fixed values. English, German, French, Spanish, Italian, Portuguese, Dutch,
+#: Polish, Swedish, Turkish, Indonesian, Czech, Finnish and Hungarian.
 STOP_WORDS = (
     "the of and to in a is that it for was on as with be by this are at from or an "
     "der die das und den von zu mit sich des auf für ist im dem nicht ein eine als auch "
     "le la les de des et en un une du que qui dans pour est sur par pas au avec "
-    "el los las y que del se por con para una no su lo como es al"
+    "el los las y que del se por con para una no su lo como es al "
+    "il di che è per non sono gli della "
+    "o da do em um não uma os ao "
+    "het een van te dat voor zijn niet "
+    "i w z na się nie jest że jak "
+    "och att det som på är av för med till inte "
+    "ve bir bu için ile çok "
+    "yang dan dengan untuk ini itu dari tidak "
+    "v si že je jsou "
+    "ja on ei oli että "
+    "az és hogy nem egy"
 ).split()
 
+#: Letters and marks of other scripts: what lies below is taken out first, then all that is no letter.
+_BELOW, _NO_LETTER, _OTHER = r"[\x{00}-\x{036F}]+", r"[^\p{L}\p{M}]+", 0.5
+
 
 @dataclass(frozen=True)
 class Rule:
-    """A text fails the rule when its measure lies outside [least, most] and it has at least `from_words` words."""
+    """A text fails the rule when its measure lies outside [least, most] and it has at least `from_words` words.
+
+    A rule of Latin scripts judges no text of which more than half the word characters are letters of other scripts.
+    """
 
     name: str
     measure: str
     least: float | None = None
     most: float | None = None
     from_words: int = 0
+    latin: bool = False
 
 
 #: Rules of the contract that decide before the others.
@@ -43,9 +62,9 @@ BASE = (Rule("too_few_words", "n_words", least=10), Rule("repetitive", "repeat_p
 
 #: Production thresholds.
 RULES = (
-    Rule("word_length", "mean_word_chars", least=2.0, most=16.0),
+    Rule("word_length", "mean_word_chars", least=2.0, most=16.0, latin=True),
     Rule("symbols", "symbols_per_word", most=0.2),
-    Rule("stop_words", "stop_word_ratio", least=0.05, from_words=30),
+    Rule("stop_words", "stop_word_ratio", least=0.05, from_words=30, latin=True),
     Rule("repeated_lines", "dup_line_ratio", most=0.5),
 )
 
@@ -110,6 +129,7 @@ def measures(text: Column) -> Column:
         by_line.alias("lines"),
         F.length(F.translate(text, _SPACES, "")).cast("bigint").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, _SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
+        F.length(F.regexp_replace(F.regexp_replace(text, _BELOW, ""), _NO_LETTER, "")).cast("bigint").alias("n_other_letters"),
     )
 
 
@@ -117,7 +137,7 @@ def named(found: Column) -> dict[str, Column]:
     """The counts of `measures` and the ratios that rules may name."""
     counts = {c: found["words"][c] for c in ("n_words", "n_stop_words", "n_repeat_words")}
     counts |= {c: found["lines"][c] for c in ("n_lines", "n_dup_lines")}
-    counts |= {c: found[c] for c in ("word_chars", "n_symbols")}
+    counts |= {c: found[c] for c in ("word_chars", "n_symbols", "n_other_letters")}
 
     def ratio(part, whole):
         return F.when(counts[whole] > 0, counts[part] / counts[whole]).otherwise(F.lit(0.0))
@@ -126,6 +146,7 @@ def named(found: Column) -> dict[str, Column]:
         "mean_word_chars": ratio("word_chars", "n_words"),
         "symbols_per_word": ratio("n_symbols", "n_words"),
         "stop_word_ratio": ratio("n_stop_words", "n_words"),
+        "other_letter_ratio": ratio("n_other_letters", "word_chars"),
         "dup_line_ratio": ratio("n_dup_lines", "n_lines"),
         "repeat_percent": F.when(counts["n_words"] > 0, 100 * counts["n_repeat_words"] / counts["n_words"]).otherwise(F.lit(0.0)),
     }
@@ -139,6 +160,8 @@ def fails(rule: Rule, values: dict[str, Column]) -> Column:
         outside = outside | (value < rule.least)
     if rule.most is not None:
         outside = outside | (value > rule.most)
+    if rule.latin:
+        outside = outside & (values["other_letter_ratio"] <= _OTHER)
     return outside & (values["n_words"] >= rule.from_words)
 
 

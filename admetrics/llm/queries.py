@@ -141,7 +141,8 @@ _STOP_WORDS_SQL = ", ".join(f"'{w}'" for w in sorted(set(quality_rules.STOP_WORD
 
 def _fails_sql(rule):
     sides = [f"{rule.measure} {sign} {bound}" for sign, bound in (("<", rule.least), (">", rule.most)) if bound is not None]
-    return f"(({' OR '.join(sides)}) AND n_words >= {rule.from_words})"
+    latin = f" AND other_letter_ratio <= {quality_rules._OTHER}" if rule.latin else ""
+    return f"(({' OR '.join(sides)}) AND n_words >= {rule.from_words}{latin})"
 
 
 def _any_sql(rules):
@@ -163,6 +164,7 @@ covered AS (SELECT r, count(DISTINCT i + k) AS n FROM twice, range(5) AS s(k) GR
 counts AS (
   SELECT cut.r, doc_id, len(w)::BIGINT AS n_words, list_sum(list_transform(w, lambda x: length(x)))::BIGINT AS letters,
     length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+    length(regexp_replace(regexp_replace(t, '[\x{{00}}-\x{{036F}}]+', '', 'g'), '[^\p{{L}}\p{{M}}]+', '', 'g'))::BIGINT AS n_other_letters,
     len(list_filter(w, lambda x: lower(x) IN ({_STOP_WORDS_SQL})))::BIGINT AS n_stop_words,
     len(l)::BIGINT AS n_lines, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
     coalesce(covered.n, 0)::BIGINT AS n_repeat_words
@@ -171,6 +173,7 @@ ratios AS (
   SELECT *, coalesce(letters, 0) AS word_chars,
     CASE WHEN n_words > 0 THEN coalesce(letters, 0) / n_words ELSE 0.0 END AS mean_word_chars,
     CASE WHEN n_words > 0 THEN n_symbols / n_words ELSE 0.0 END AS symbols_per_word,
+    CASE WHEN n_words > 0 THEN n_other_letters / coalesce(letters, 0) ELSE 0.0 END AS other_letter_ratio,
     CASE WHEN n_words > 0 THEN n_stop_words / n_words ELSE 0.0 END AS stop_word_ratio,
     CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0.0 END AS dup_line_ratio,
     CASE WHEN n_words > 0 THEN 100 * n_repeat_words / n_words ELSE 0.0 END AS repeat_percent

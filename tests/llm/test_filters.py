@@ -56,6 +56,23 @@ def test_keep_good_returns_its_columns(spark, docs):  # noqa: F811
     assert sorted(r.doc_id for r in kept.collect()) == [0, 3] and {r.n_words for r in kept.collect()} == {2}
 
 
+RUSSIAN = "Вчера вечером мы долго гуляли по старому городу, смотрели на реку и говорили о том, как быстро проходит лето и что нас ждёт осенью. "
+RUSSIAN += "Потом пошёл тёплый дождь, улицы опустели, а фонари отражались в лужах."
+POLISH = "Wczoraj wieczorem długo spacerowaliśmy po starym mieście, patrzyliśmy na rzekę i mówiliśmy o tym, jak szybko mija lato. "
+POLISH += "Potem zaczął padać ciepły deszcz, ulice opustoszały, a latarnie odbijały się w kałużach i nie było nikogo."
+CHINESE = "昨天晚上我们在老城里散步。 " + " ".join("我们看着河水慢慢地流过第%d座古老而安静的石桥旁边" % i for i in range(40))
+
+
+def test_clean_texts_of_other_languages_stay(spark, docs):  # noqa: F811
+    """Rules that measure Latin scripts judge no other; symbols and repeats count in any script, and numbers are no script."""
+    junk = ["| ".join(RUSSIAN.split()) + " #### $$$$", (RUSSIAN + "\n") * 3, " ".join(map(str, range(1000, 1060))), " ".join(f"qxv{i}zt" for i in range(60))]
+    found = {r.doc_id: r for r in quality_rules.judge(docs(RUSSIAN, POLISH, CHINESE, *junk)).collect()}
+    assert [found[i].failed_rules for i in range(3)] == [[], [], []]
+    assert [found[i].failed_rules for i in range(3, 7)] == [["symbols"], ["repetitive", "repeated_lines"], ["stop_words"], ["stop_words"]]
+    assert found[0].other_letter_ratio > 0.9 and found[1].other_letter_ratio == 0
+    assert sorted(r.doc_id for r in quality_rules.keep_good(docs(RUSSIAN, POLISH, CHINESE, *junk)).collect()) == [0, 1, 2]
+
+
 def test_plan_is_one_projection(spark, docs):  # noqa: F811
     plan = quality_rules.judge(docs("x"))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Exchange|Python|Arrow|Pandas", plan)
