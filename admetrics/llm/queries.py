@@ -56,7 +56,7 @@ def op5_lm_scoring(spark, sf_dir):
     """The target are the documents labelled as good, but for those held out."""
     docs = _read(spark, sf_dir, "documents", "doc_id", "text")
     good = _read(spark, sf_dir, "labels", "doc_id", "quality").where((F.col("quality") == 1) & ~held_out(F.col("doc_id")))
-    found = lm_scoring.score(docs, lm_scoring.train(docs, good))
+    found = lm_scoring.score_counted(docs, good)
     return found.select("doc_id", "n_tokens", "target_loss", "background_loss", "score")
 
 

@@ -187,8 +187,11 @@ def test_all_words_and_bigrams_count(spark, docs):  # noqa: F811
     model = lm_scoring.train(frame, target)
     assert model.pairs.count() == len(pairs[0])
     new = [(900, "the unheard of the " + texts[5][::-1]), (901, texts[4])]
-    for given in (frame.withColumn("score", F.lit(1)), docs(*new)):
-        found = lm_scoring.score(given, model)
+    clash = frame.withColumn("score", F.lit(1))
+    scored = [(given, lm_scoring.score(given, model)) for given in (clash, docs(*new))]
+    # The models counted on the documents that they score: the same losses, in one slice or many slices and buckets.
+    scored += [(clash, lm_scoring.score_counted(clash, target, **cut)) for cut in ({}, {"slice_tokens": 300, "bucket_tokens": 50})]
+    for given, found in scored:
         assert found.columns == ["doc_id", "text", "n_tokens", "target_loss", "background_loss", "score"]
         found = found.collect()
         assert len(found) == given.count()
@@ -201,3 +204,19 @@ def test_all_words_and_bigrams_count(spark, docs):  # noqa: F811
             t, b = (sum(loss(m, v, w) for v, w in two) / len(two) for m in (1, 0))
             assert (r.target_loss, r.background_loss, r.score) == pytest.approx((t, b, t - b), abs=1e-9)
     assert lm_scoring.score(frame, lm_scoring.train(frame.limit(0), target)).count() == len(rows)
+
+
+def test_counted_scores_of_odd_tables(spark, docs):  # noqa: F811
+    """Null, blank, repeated and very long texts, clashing columns, no target, no documents."""
+    frame = docs("b " * 300_000, None, "", " \n", "a b", "a b", (4, "a b"), (None, "a"))
+    none = spark.createDataFrame([], "doc_id bigint")
+    odd = frame.selectExpr("*", "1 AS slice", "'x' AS `text_key`", "2 AS `n_tokens`", "3 AS `target`")
+    found = lm_scoring.score_counted(odd, none, slice_tokens=10)
+    assert found.columns == ["doc_id", "text", "slice", "text_key", "target", "n_tokens", "target_loss", "background_loss", "score"]
+    rows = found.collect()
+    assert sorted(r.n_tokens for r in rows) == [0, 0, 0, 1, 2, 2, 2, 300_000]
+    assert all((r.score is None) == (r.n_tokens == 0) for r in rows)
+    assert len({(r.target_loss, r.background_loss) for r in rows if r.text == "a b"}) == 1
+    # With no target every word before and after is as likely: 2 words, unknown and start.
+    assert {round(r.target_loss, 9) for r in rows if r.n_tokens} == {round(math.log(4), 9)}
+    assert lm_scoring.score_counted(frame.limit(0), none).count() == 0
