@@ -149,6 +149,94 @@ def test_suffix_intervals_equal_brute_force():
             key = int(html_text._windows(tokens[i : i + 4], 4)[0])
             want.setdefault(key, set()).add(k)
     assert got == {k: len(v) for k, v in want.items()}
+    keys = np.array([rng.randrange(-9, 9) for _ in streams])
+    value, n, first = html_text.suffix_intervals(streams, 4, keys)
+    assert dict(zip(value.tolist(), first.tolist())) == {k: min(keys[list(v)]) for k, v in want.items()}
+    for none in ([], [[]], [["a"], []]):
+        assert [len(x) for x in html_text.suffix_intervals(none, 4, np.zeros(len(none), np.int64))] == [0, 0, 0]
+
+
+@pytest.mark.parametrize("least", [1, 2, 3, 5, 8, 24])
+def test_suffix_array_equals_sorted_suffixes(least):
+    rng = random.Random(least)
+    for n in (0, 1, 2, 7, 60, 150):
+        symbols = [rng.randrange(2) for _ in range(n)]
+        array, shared = html_text.suffix_array(np.array(symbols, np.int64), least)
+        assert array.tolist() == sorted(range(n), key=lambda i: symbols[i:])
+        heads = [symbols[i : i + least] for i in array]
+        assert shared.tolist() == [k > 0 and len(heads[k]) == least and heads[k] == heads[k - 1] for k in range(n)]
+
+
+def plain_texts(rows, run, min_pages, share):
+    """The text of each row by page_id, from sets of token tuples over whole hosts."""
+    parsed = {i: (url.split("/")[2], html_text.parse(page)) for i, url, page in rows}
+    by_host = {}
+    for host, (content, kinds, texts) in parsed.values():
+        if texts:
+            by_host.setdefault(host, set()).add((content, tuple(kinds), tuple(texts)))
+
+    def streams(texts):
+        tokens = " ".join(texts).split(" ")
+        return {("block", t) for t in texts} | {tuple(tokens[k : k + run]) for k in range(len(tokens) - run + 1)}
+
+    def all_in(texts, repeats):
+        tokens = " ".join(texts).split(" ")
+        covered, out, at = [False] * len(tokens), [], 0
+        for k in range(len(tokens) - run + 1):
+            if tuple(tokens[k : k + run]) in repeats:
+                covered[k : k + run] = [True] * run
+        for t in texts:
+            n = len(t.split(" "))
+            out.append(("block", t) in repeats or all(covered[at : at + n]))
+            at += n
+        return out
+
+    out = {}
+    for i, (host, (content, kinds, texts)) in parsed.items():
+        if content is not None:
+            out[i] = {content}
+            continue
+        contents = by_host.get(host, set())
+        counts = {}
+        for c in contents:
+            for x in streams(c[2]):
+                counts[x] = counts.get(x, 0) + 1
+        repeats = {x for x, n in counts.items() if n >= min_pages and n >= share * len(contents)}
+        is_open = [k == html_text.OPEN for k in kinds]
+        gone = [a and b for a, b in zip(is_open, all_in(texts, repeats))] if texts else []
+        size = [len(t.split(" ")) for t in texts]
+        # Long repeats stay with one content only, so a row may have them or not.
+        copied = 2 * sum(n for n, g in zip(size, gone) if g) > sum(n for n, o in zip(size, is_open) if o)
+        sure = [t for t, o, g in zip(texts, is_open, gone) if o and not g]
+        first = [t for t, o, g, n in zip(texts, is_open, gone, size) if o and (not g or copied or n >= run)]
+        opened = "\n".join(t for t, o in zip(texts, is_open) if o)
+        out[i] = {"\n".join(sure) or opened, "\n".join(first) or opened}
+    return out
+
+
+def test_extract_equals_sets_of_runs_over_whole_hosts(spark):
+    """All of the query's path, on hosts with and without marked content, in one shard and many."""
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(400)]
+    notice = " ".join(rng.choices(words, k=70))
+    rows = []
+    for i in range(90):
+        host = rng.choice(["a.com", "b.com", "c.com"])
+        own = "".join(f"<p>{' '.join(rng.choices(words, k=rng.randint(3, 40)))}</p>" for _ in range(3))
+        cut = rng.randint(0, 30)
+        more = f"<div>{' '.join(notice.split()[cut:])}</div>" if rng.random() < 0.8 else ""
+        body = f"<div>{host} short words</div>{own}{more}<nav>menu of {host}</nav>"
+        if rng.random() < 0.2:
+            body = f"<article>{body}</article>{more}"
+        rows.append((i, f"http://{host}/{i}", body))
+    rows.append((90, "http://a.com/90", rows[0][2]))
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    want = plain_texts(rows, html_text.RUN, html_text.PAGES, html_text.SHARE)
+    found = {n: {r.page_id: r.text for r in html_text.extract(pages, shard=n).collect()} for n in (10**6, 90)}
+    assert found[90] == found[10**6]
+    assert all(found[90][i] in want[i] for i in want) and len(found[90]) == len(rows)
+    # The runs matter: some pages lose a notice that is no whole block of others.
+    assert sum(notice.split()[-1] in found[90][i] for i in range(90)) < sum(notice.split()[-1] in r[2] for r in rows)
 
 
 def site(rng, n):
