@@ -11,6 +11,7 @@ from admetrics.operators import kpis, marts, star, windows
 from admetrics.operators.ranges import numbered
 from admetrics.plans.layers import build_silver, build_star
 from admetrics.session import materialize
+from admetrics.sinks import layout
 
 NO_BROADCAST = {
     "spark__sql__autoBroadcastJoinThreshold": "-1",
@@ -133,3 +134,33 @@ def test_dimension_keys_use_many_buckets(spark):
     plan = plan_of(star.with_key(members, schemas.CAMPAIGN_ATTRIBUTES, "campaign_key"))
     numbered = [c for c in nodes(plan, "Window") if "campaign_name" in c]
     assert len(numbered) == 1 and "_bucket" in numbered[0]
+
+
+def test_plain_silver_sends_narrow_rows_and_sorts_them_once(stored, conf):
+    """Ratios follow from the row and are worked out behind the shuffles; one order serves the running total and the rolling averages."""
+    conf(**NO_BROADCAST)
+    plan = plan_of(build_silver(stored))
+    sent = [c for c in nodes(plan, "Exchange") if "advertiser" in c]
+    assert len(sent) == 2
+    for ratio in ("ctr#", "cpc#", "roas#", "conversion_rate#", "_campaign#", "_day#", "_channel#"):
+        assert not [c for c in sent if f", {ratio}" in c]
+    assert len([c for c in nodes(plan, "Sort") if "advertiser" in c]) == 2
+    assert len([c for c in nodes(plan, "Window") if "advertiser" in c]) == 3
+
+
+@pytest.mark.parametrize("ordered", [False, True])
+def test_days_of_small_campaigns_are_summed_behind_one_shuffle(stored, ordered):
+    silver = materialize(build_silver(stored), "plan-silver")
+    plan = plan_of(marts.campaign_daily(silver, ordered=ordered))
+    assert len(nodes(plan, "Exchange")) == 1 and "sum" not in nodes(plan, "Exchange")[0]
+    before = plan_of(marts.campaign_daily(silver, ordered=ordered, most=10))
+    assert "sum" in nodes(before, "Exchange")[0]
+    assert marts.campaign_daily(silver, ordered, most=10).collect() == marts.campaign_daily(silver, ordered).collect() or not ordered
+
+
+def test_z_order_runs_in_generated_code(spark):
+    df = spark.range(50).withColumn("k", (F.col("id") * 7 % 20).cast("double"))
+    marks = df.withColumn("m", F.lit([2.0, 5.0, 5.0, 9.0]).cast("array<double>"))
+    counted = layout.with_count_up_to(marks, "m", F.col("k"), "n").withColumn("want", layout.count_up_to("m", "k"))
+    assert counted.where("n <> want").isEmpty()
+    assert "lambdafunction" not in plan_of(layout.with_z_order(df, ["id", "k"]))
