@@ -26,6 +26,15 @@ def count_up_to(marks: str, value: str) -> Column:
     )
 
 
+def with_count_up_to(df: DataFrame, marks: str, value: Column, name: str) -> DataFrame:
+    """Adds the same count as a column, found by halving steps that are one plain expression each, so they run in generated code."""
+    out = df.withColumn(name, F.lit(0))
+    for step in (2**k for k in reversed(range(BITS))):
+        mark = F.get(F.col(marks), F.col(name) + (step - 1))
+        out = out.withColumn(name, F.col(name) + F.when(mark <= value, step).otherwise(0))
+    return out
+
+
 def z_value(columns) -> Column:
     """Interleaves the low ``BITS`` bits of the columns; the first column gives the highest bit."""
     bits = []
@@ -48,9 +57,10 @@ def with_z_order(df: DataFrame, columns) -> DataFrame:
     quantiles = df.approxQuantile(columns, fractions, 0.25 / steps)
     # One literal each: building 1,023 columns from Python would take longer than the sort.
     arrays = {c: ", ".join(f"double('{x!r}')" for x in marks) for c, marks in zip(columns, quantiles)}
-    marked = df.withColumns({f"_marks_{c}": F.expr(f"array({text})") for c, text in arrays.items()})
-    ranks = [count_up_to(f"_marks_{c}", f"CAST({c} AS DOUBLE)") for c in columns]
-    return marked.withColumn("_z", z_value(ranks)).select(*df.columns, "_z")
+    out = df.withColumns({f"_marks_{c}": F.expr(f"array({text})") for c, text in arrays.items()})
+    for c in columns:
+        out = with_count_up_to(out, f"_marks_{c}", F.col(c).cast("double"), f"_rank_{c}")
+    return out.withColumn("_z", z_value([F.col(f"_rank_{c}") for c in columns])).select(*df.columns, "_z")
 
 
 def clustered(df: DataFrame, columns, spread_by=None, n_ranges=None) -> DataFrame:
