@@ -7,7 +7,9 @@ from admetrics.functions.calendar import iso_year, month_label, month_start
 from admetrics.functions.classify import roas_tier, scale_to_max
 from admetrics.functions.exact import exact_mean, exact_sum
 from admetrics.functions.ratios import exact_round, floor_ratio, null_ratio, pct
+from admetrics.operators.ranges import RANGE_ROWS
 from admetrics.operators.star import with_campaign_name
+from admetrics.operators.windows import campaigns_fit
 from admetrics.schemas import CAMPAIGN_ATTRIBUTES, CAMPAIGN_DAILY, CHANNEL_WEEKLY
 
 
@@ -15,8 +17,14 @@ def _money(name):
     return exact_sum(F.col(name))
 
 
-def campaign_daily(df: DataFrame, ordered=True) -> DataFrame:
-    """Per campaign and day; the ratio columns are means of the row ratios. A table that is stored needs no order."""
+def campaign_daily(df: DataFrame, ordered=True, most=RANGE_ROWS) -> DataFrame:
+    """Per campaign and day; the ratio columns are means of the row ratios. A table that is stored needs no order.
+
+    Most campaigns have a few rows a day, so sums made before the shuffle would hold nearly all rows of a task in memory and send as many. While no campaign has
+    more than ``most`` rows, the rows are dealt by campaign and day and summed there, in ranges of both if the mart is ordered. Larger campaigns are combined first.
+    """
+    if campaigns_fit(df, most):
+        df = df.repartitionByRange("campaign_id", "date") if ordered else df.repartition("campaign_id", "date")
     mart = (
         df.groupBy(*CAMPAIGN_ATTRIBUTES, "date")
         .agg(
