@@ -497,7 +497,7 @@ def json_roundtrip(spark, sf_dir):
 @query
 def csv_roundtrip(spark, sf_dir):
     folder = new_path(spark, "csv")
-    path = writers.export_csv(daily_mart(spark, sf_dir), folder, "campaign_daily_summary")
+    path = writers.export_csv(daily_mart(spark, sf_dir), folder, "campaign_daily_summary", compression="gzip")
     return readers.read_mart_csv(spark, path, schemas.CAMPAIGN_DAILY)
 
 

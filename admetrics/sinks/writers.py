@@ -17,14 +17,20 @@ def write_table(df: DataFrame, base, name, fmt="parquet", partition_by=()) -> st
     return path
 
 
+#: Rows of a compressed text file at most: one task reads it whole.
+FILE_ROWS = 1_000_000
+
+
 def write_events_json(df: DataFrame, path) -> None:
-    df.write.mode("overwrite").json(path)
+    """JSON lines as gzip: the names of the fields come again in every line and take a fraction of their size."""
+    df.write.mode("overwrite").option("compression", "gzip").option("maxRecordsPerFile", FILE_ROWS).json(path)
 
 
-def export_csv(df: DataFrame, directory, name) -> str:
+def export_csv(df: DataFrame, directory, name, compression="none") -> str:
     """CSV with a header in every part file; the number of parts follows the data."""
     path = f"{directory}/{name}"
-    df.write.mode("overwrite").option("header", True).csv(path)
+    rows = {} if compression == "none" else {"maxRecordsPerFile": FILE_ROWS}
+    df.write.mode("overwrite").options(header=True, compression=compression, **rows).csv(path)
     return path
 
 

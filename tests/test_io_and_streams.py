@@ -248,3 +248,14 @@ def test_shared_dir_is_the_one_the_cluster_names():
 def test_kafka_needs_its_package(spark):
     with pytest.raises(Exception, match="kafka"):
         readers.read_events_kafka(spark, "localhost:9092", "ad-impressions")
+
+
+def test_text_exports_can_be_compressed(spark, events, tmp_path):
+    """Files of bounded size, as one task reads a compressed file whole."""
+    df = events({}, {"impressions": None})
+    writers.write_events_json(df, str(tmp_path / "out"))
+    assert list((tmp_path / "out").glob("*.json.gz")) and not list((tmp_path / "out").glob("*.json"))
+    daily = marts.campaign_daily(build_silver(df))
+    path = writers.export_csv(daily, str(tmp_path), "daily", compression="gzip")
+    assert list(Path(path).glob("*.csv.gz"))
+    assert readers.read_mart_csv(spark, path, schemas.CAMPAIGN_DAILY).exceptAll(daily).count() == 0
