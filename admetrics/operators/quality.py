@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from admetrics.functions.ratios import with_metrics
+from admetrics.operators.ranges import RANGE_ROWS
 from admetrics.schemas import (
     BENCHMARK_BANDS,
     BENCHMARK_COLUMNS,
@@ -40,20 +41,33 @@ def split_valid(df: DataFrame, domains=False):
     return good, checked.where(F.size("reasons") > 0)
 
 
-def split_repeated(df: DataFrame):
+#: Repeated ids up to which the other rows are told by joins, which Spark can broadcast.
+FEW_IDS = 100_000
+
+
+def split_repeated(df: DataFrame, few=FEW_IDS, most=RANGE_ROWS):
     """The rows with each ``event_id`` once, and what was set aside: (event_id, copies, reasons).
 
     Ids that occur once pass without their content being compared. Of the rows of a repeated id the one with the smallest content stays, which the tasks
     find for their own rows first, so an id with a third of all rows is no hot group. Rows without an id have no identity and all stay.
+
+    Where more than ``few`` ids are repeated, none of them more than ``most`` times, two joins would send and sort all rows twice: the rows are dealt by id once
+    and reduced where they are.
     """
     named = df.where("event_id IS NOT NULL")
     repeated = materialize(named.groupBy("event_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1"), "repeated-ids")
     rest = [c for c in df.columns if c != "event_id"]
+
+    def smallest(rows):
+        return rows.groupBy("event_id").agg(F.min(F.struct(*rest)).alias("_row")).select("event_id", "_row.*").select(*df.columns)
+
     ids = repeated.select("event_id")
-    # The smallest row; the aggregate combines before the shuffle.
-    kept = named.join(ids, "event_id", "left_semi").groupBy("event_id").agg(F.min(F.struct(*rest)).alias("_row"))
-    kept = kept.select("event_id", "_row.*").select(*df.columns)
-    once = df.join(ids, "event_id", "left_anti")
+    n_ids, copies = repeated.agg(F.count(F.lit(1)), F.max("_n")).first()
+    if n_ids > few and copies <= most:
+        kept, once = smallest(named.repartition("event_id")), df.where("event_id IS NULL")
+    else:
+        # The aggregate combines before the shuffle.
+        kept, once = smallest(named.join(ids, "event_id", "left_semi")), df.join(ids, "event_id", "left_anti")
     aside = repeated.select("event_id", (F.col("_n") - 1).alias("copies"), F.array(F.lit("event_id is repeated")).alias("reasons"))
     return once.unionByName(kept), aside
 

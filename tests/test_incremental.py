@@ -129,3 +129,16 @@ def test_repeated_ids_keep_the_smallest_row(spark, events):
     assert {(r.event_id, r.copies) for r in aside.collect()} == {("a", 2), ("hot", 299)}
     empty, none = quality.split_repeated(events().limit(0))
     assert empty.count() == none.count() == 0
+
+
+def test_many_repeated_ids_are_dealt_once(events):
+    """Both forms keep the same rows; the dealt one sends whole rows through one shuffle."""
+    rows = [{"event_id": f"e{i % 20}", "clicks": i} for i in range(60)] + [{"event_id": None}] * 3 + [{"event_id": "once"}]
+    df = events(*rows)
+    (dealt, aside), (joined, as_before) = quality.split_repeated(df, few=5), quality.split_repeated(df)
+    assert sorted(dealt.collect(), key=str) == sorted(joined.collect(), key=str) and dealt.count() == 24
+    assert sorted(aside.collect()) == sorted(as_before.collect())
+    plan = dealt.select("*")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+    hot, _ = quality.split_repeated(df, few=5, most=2)
+    assert "Join" in hot._jdf.queryExecution().executedPlan().toString()
