@@ -1,5 +1,7 @@
 """Summaries over Silver, and the reports built on those summaries."""
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,10 @@ from admetrics.operators.windows import campaigns_fit
 from admetrics.schemas import CAMPAIGN_ATTRIBUTES, CAMPAIGN_DAILY, CHANNEL_WEEKLY
 
 
+#: Rows that a task sums by campaign and day, at about a kilobyte each.
+DAY_ROWS = 250_000
+
+
 def _money(name):
     return exact_sum(F.col(name))
 
@@ -22,9 +28,11 @@ def campaign_daily(df: DataFrame, ordered=True, most=RANGE_ROWS) -> DataFrame:
 
     Most campaigns have a few rows a day, so sums made before the shuffle would hold nearly all rows of a task in memory and send as many. While no campaign has
     more than ``most`` rows, the rows are dealt by campaign and day and summed there, in ranges of both if the mart is ordered. Larger campaigns are combined first.
+    The number of tasks follows the rows, as the sums of a day take far more room in memory than its row takes in the shuffle.
     """
     if campaigns_fit(df, most):
-        df = df.repartitionByRange("campaign_id", "date") if ordered else df.repartition("campaign_id", "date")
+        n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(df.count() / DAY_ROWS))
+        df = df.repartitionByRange(n, "campaign_id", "date") if ordered else df.repartition(n, "campaign_id", "date")
     mart = (
         df.groupBy(*CAMPAIGN_ATTRIBUTES, "date")
         .agg(
