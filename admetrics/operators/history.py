@@ -52,7 +52,8 @@ def version_of_days(df: DataFrame, versions: DataFrame) -> DataFrame:
     rows = marks.unionByName(days.withColumns({"campaign_key": F.lit(None).cast(key), "_asked": F.lit(True)}))
     # Rows of the same day are peers, so a version that starts on a day holds on it.
     so_far = Window.partitionBy("campaign_id").orderBy("date").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    first = Window.partitionBy("campaign_id").orderBy("date").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    # One value for a campaign: a frame that begins at the row would be read to its end again for every row.
+    first = Window.partitionBy("campaign_id").orderBy("date").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     held = F.coalesce(F.last("campaign_key", ignorenulls=True).over(so_far), F.first("campaign_key", ignorenulls=True).over(first))
     return (
         rows.withColumn("campaign_key", held)

@@ -69,6 +69,13 @@ def test_as_of_equals_brute_force(spark, events):
     assert found == want and history.as_of(dated(events, *rows), table).count() == len(want)
 
 
+def test_as_of_reads_no_frame_again_for_every_row(events):
+    """No frame runs from the row to the campaign's end: it would cost the square of the days."""
+    df = materialize(dated(events, *[{"date": d} for d in EARLY]), "as-of")
+    plan = plan_of(history.as_of(df, materialize(history.dim_campaign_versions(df), "versions")))
+    assert "specifiedwindowframe" in plan and "currentrow$(), unboundedfollowing$()" not in plan
+
+
 def test_as_of_meets_one_row_a_day(events, conf):
     """The event rows are joined by campaign and day, never by campaign alone, and no window sees them."""
     conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
