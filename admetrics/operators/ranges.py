@@ -53,15 +53,20 @@ class Ranges:
     schema: T.StructType
     borders: list
 
+    @property
+    def _nullable(self) -> T.StructType:
+        return T.StructType([T.StructField(f.name, f.dataType) for f in self.schema])
+
     @property
     def _literal(self) -> Column:
         rows = [{f.name: v for f, v in zip(self.schema, b)} for b in self.borders]
-        return F.from_json(F.lit(json.dumps(rows)), T.ArrayType(self.schema))
+        return F.from_json(F.lit(json.dumps(rows)), T.ArrayType(self._nullable))
 
     def number(self, df: DataFrame) -> DataFrame:
         """Adds ``_range``; ``df`` has the fields and the tie-break."""
         kept = df.columns
-        out = df.withColumns({"_key": F.struct(*self.fields, *OWN), "_range": F.lit(0)})
+        # Of the borders' type, nullable fields and all: else the whole key is converted for each comparison.
+        out = df.withColumns({"_key": F.struct(*self.fields, *OWN).cast(self._nullable), "_range": F.lit(0)})
         step = 1 << max(0, len(self.borders).bit_length() - 1)
         while step and self.borders:
             border = F.get(self._literal, F.col("_range") + (step - 1))

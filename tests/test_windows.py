@@ -5,6 +5,7 @@ import pytest
 from conftest import by_id
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from test_plans import plan_of
 
 from admetrics import schemas
 from admetrics.functions.calendar import day_ordinal, parse_date
@@ -193,3 +194,14 @@ def test_rank_by_values_equals_the_window(events, range_rows):
         assert by_id(windows.rank_by_values(df, iso, range_rows), "roas_rank_in_channel") == want and len(want) == 168
         assert by_id(windows.roas_rank(df, iso, range_rows=range_rows), "roas_rank_in_channel") == want
     assert windows.rank_by_values(df.limit(0)).count() == 0
+
+
+def test_a_row_finds_its_range_without_converting_its_key_again(spark):
+    """Border and key have one type, though some fields of the key are never NULL; the ranges follow the order of the keys."""
+    df = numbered(spark.range(300).select(F.concat(F.lit("C"), F.lpad((F.col("id") % 7).cast("string"), 3, "0")).alias("c"), "id"))
+    keyed = df.withColumn("_c", text_key("c"))
+    cut = find_ranges(keyed, ["_c", "id"], 300, 20).number(keyed)
+    comparisons = [line for line in plan_of(cut).splitlines() if line.startswith("Output") and "<=" in line]
+    assert len(comparisons) > 3 and not [line for line in comparisons if "cast(_key" in line or "as struct<" in line]
+    found = [r._range for r in cut.orderBy("_c", "id").collect()]
+    assert found == sorted(found) and len(set(found)) > 10
