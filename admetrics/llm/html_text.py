@@ -5,19 +5,21 @@
    (ad, cookie-notice, sidebar, comments, ...; has-sidebar or no-ads are none). Around an article or main only menus, page headers and footers,
    asides and dialogs make its text chrome; labels, forms and the like count where they lie inside it. All other blocks are OPEN. Where all of a
    page would be chrome, what no such tag holds is OPEN, or else all of it. Scripts, styles, titles and markup comments give no text.
-2. The chrome and open blocks of each host's pages are joined to token streams. A long repeat is a whole block, or a run of `run` tokens,
+2. All blocks of each host's pages, marked or not, are joined to token streams. A long repeat is a whole block, or a run of `run` tokens,
    found on `pages` distinct page contents of the host or more and on a `share` of them or more. Pages with equal text count once,
    whatever their page_id or URL. Runs are the intervals of a suffix array over the joined streams of each shard whose suffixes share `run` tokens;
    an interval is known by a 64-bit value of these tokens, as a whole block is by one of its text.
-3. A page with content keeps its content blocks. Any other page keeps the open blocks that have a token outside of all repeats.
+3. A page with an article keeps the article's blocks, repeated or not: an article that quotes another is still an article. Of any other page the blocks
+   of its main, or else its open blocks, are decided: those stay that have a token outside of all repeats.
    Repeated text stays in one place: the first content (by key) that has it keeps it, if the block has `run` tokens or more, or if the page
    is for the most part repeated; so copies leave one whole page, while a short notice on pages with text of their own goes everywhere.
-   A page whose open blocks are all repeated keeps them: no page is emptied.
+   A page whose decided blocks are all repeated keeps them: no page is emptied.
 
 Rows without blocks get their empty text at once, and equal contents of a host are decided once and joined back.
-A host is cut into shards of about `shard` tokens by page content. Each shard returns one row for each value, with its number of contents and the
-first of them; as a content lies in one shard, these are added up over shards. So the result is
-that of one array over the whole host, and no task holds a hot host.
+A host is cut into shards of about `shard` tokens by page content. As a content lies in one shard, the contents of a value are added up over shards, so the
+result is that of one array over the whole host, and no task holds a hot host. A value on a share of all contents is on that share of a shard's contents
+in one shard at least. So where a host's shards have `dense` contents or more on average, a shard names only such values, and the contents that have one of them are counted by a
+second look at the stored blocks, without another shuffle of texts unless the values named are many. Where contents are so large that shards have few, a shard gives all its values with their counts.
 
 Defined cases: null or empty html gives an empty text. A null URL, or one without a host, belongs to the host ''. Every row gives a row. Unclosed tags, comments and scripts follow the HTML rules: an unclosed comment, script or
 style runs to the end. Extra columns are not carried along. An empty table gives an empty table. White space inside a block becomes
@@ -25,7 +27,9 @@ one space; blocks are joined by a line feed.
 """
 
 import html
+import math
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +43,7 @@ RUN = 24
 PAGES = 3
 SHARE = 0.5
 SHARD = 500_000
+DENSE = 64
 CONTENT, CHROME, OPEN = 0, 1, 2
 
 #: Chrome whatever they hold, and chrome unless they hold an article or main.
@@ -243,74 +248,106 @@ def blocks(page: str | None) -> list[tuple[bool, bool, bool, bool, str]]:
     return [(a and not (plain[0] and label), m and not (plain[1] and label), c, o, t) for a, m, c, o, t, label in out]
 
 
+def judged(page: str | None) -> tuple[list[int], list[str]]:
+    """Kinds and texts of all blocks of a page in order. On a page with an article its blocks are CONTENT, on one with a main those of the main are OPEN,
+    and what lies outside is CHROME."""
+    found = blocks(page)
+    texts = [b[4] for b in found]
+    for k, kind in ((0, CONTENT), (1, OPEN)):
+        if any(b[k] for b in found):
+            return [kind if b[k] else CHROME for b in found], texts
+    # Where all would be chrome, what no outer tag holds is open, or else all.
+    alone = 2 if not all(b[2] for b in found) else 3
+    every = all(b[alone] for b in found)
+    return [CHROME if b[alone] and not every else OPEN for b in found], texts
+
+
 def parse(page: str | None) -> tuple[str | None, list[int], list[str]]:
-    """The content of a page that marks it (else None), and kinds and texts of its other blocks."""
+    """What the markup alone says: the content of a page that marks it (else None), and kinds and texts of its other blocks."""
     found = blocks(page)
     for k in (0, 1):
         content = [b[4] for b in found if b[k]]
         if content:
             rest = [(CHROME if b[2] else OPEN, b[4]) for b in found if not b[k]]
             return "\n".join(content), [r[0] for r in rest], [r[1] for r in rest]
-    if all(b[2] for b in found):
-        loose = not all(b[3] for b in found)
-        return None, [CHROME if loose and b[3] else OPEN for b in found], [b[4] for b in found]
-    return None, [CHROME if b[2] else OPEN for b in found], [b[4] for b in found]
+    return None, *judged(page)
+
+
+def _codes(tokens: list[str]) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(t, 7) for t in tokens], np.uint64)
+
+
+def _mixed(codes) -> np.ndarray:
+    """The 64-bit values of runs, from the arrays of their first, second, ... codes."""
+    value = np.zeros(len(codes[0]), np.uint64)
+    for code in codes:
+        value = (value ^ (value >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + code
+    return value
 
 
 def _windows(tokens: list[str], least: int) -> np.ndarray:
     """A 64-bit value of the first `least` tokens of each suffix that has as many; suffixes with equal values share that prefix."""
-    codes = np.array([xxhash.xxh64_intdigest(t, 7) for t in tokens], np.uint64)
+    codes = _codes(tokens)
     n = max(0, len(codes) - least + 1)
-    value = np.zeros(n, np.uint64)
-    for k in range(least):
-        value = (value ^ (value >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + codes[k : k + n]
-    return value
+    return _mixed([codes[k : k + n] for k in range(least)])
 
 
 def suffix_array(symbols: np.ndarray, least: int):
     """Starts of all suffixes in order, and which of them share their first `least` symbols with the one before.
 
-    Ranks by the first 1, 2, 4, ... symbols are refined until no two suffixes are equal. A prefix of `least` symbols is known by the ranks of its
-    first and last 2^k symbols, the most that fit, so nothing is compared by hash.
+    Suffixes are ordered by their first 1, 2, 4, ... symbols until no two are equal, and only those that are equal so far are ordered again. A rank is the first
+    place of the suffixes that are equal. A prefix of `least` symbols is known by the ranks of its first and last 2^k symbols, the most that fit, so
+    nothing is compared by hash.
     """
     n = len(symbols)
-    rank, known = np.unique(symbols, return_inverse=True)[1].astype(np.int64), 1
-    # Where a rank reaches over the end, the end is smaller than any symbol.
-    ends = []
+    array, rank, known = np.arange(n), np.zeros(n, np.int64), 0
+    place, key, ends = np.arange(n), symbols, []
     while True:
+        # `place` holds the places of the suffixes that `key` orders further.
+        order = np.argsort(key)
+        found, key = array[place][order], key[order]
+        new = np.ones(len(key), bool)
+        new[1:] = key[1:] != key[:-1]
+        array[place] = found
+        rank[found] = place[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
+        known = 2 * known or 1
         if known <= least < 2 * known:
+            # Where a rank reaches over the end, the end is smaller than any symbol.
             tail = np.full(n, -1)
             tail[: max(0, n - (least - known))] = rank[least - known :]
-            ends = [rank, tail]
-        if known > least and (known >= n or (n and rank.max() == n - 1)):
+            ends = [rank.copy(), tail]
+        place = place[~(new & np.append(new[1:], True))]
+        if known > least and not len(place):
             break
         after = np.zeros(n, np.int64)
         after[: max(0, n - known)] = rank[known:] + 1
-        rank, known = np.unique(rank * (n + 1) + after, return_inverse=True)[1].astype(np.int64), 2 * known
-    array = np.argsort(rank, kind="stable")
+        key = rank[array[place]] * (n + 1) + after[array[place]]
     shared = np.zeros(n, bool)
     shared[1:] = np.all([r[array[1:]] == r[array[:-1]] for r in ends], axis=0) & (ends[1][array[1:]] >= 0)
     return array, shared
 
 
-def suffix_intervals(streams: list[list[str]], least: int, keys=None):
-    """Intervals of the suffix array of joined token streams, one for each prefix of `least` tokens inside a stream.
+def suffix_intervals(streams: list[list[str]], least: int, keys=None, at_least=1):
+    """Intervals of the suffix array of joined token streams, one for each prefix of `least` tokens inside `at_least` streams or more.
 
     Arrays: the prefix's 64-bit value, the number of distinct streams that have it and, with `keys` of the streams, their smallest key.
     """
     stream = np.repeat(np.arange(len(streams)), [len(t) + 1 for t in streams])
     # Each stream ends with a symbol of its own, so no prefix runs over it.
-    numbers = {}
-    symbols = [numbers.setdefault(t, len(numbers)) for tokens in streams for t in [*tokens, None]]
-    symbols = np.array(symbols, np.int64)
-    if None in numbers:
-        last = symbols == numbers[None]
-        symbols[last] = len(numbers) + np.arange(len(streams))
+    numbers = {None: 0}
+    symbols = np.array([numbers.setdefault(t, len(numbers)) for tokens in streams for t in [*tokens, None]], np.int64)
+    codes = _codes([t for t in numbers if t is not None])
+    last = symbols == 0
+    tokens = symbols - 1
+    symbols[last] = len(numbers) + np.arange(len(streams))
     array, shared = suffix_array(symbols, least)
     stop = np.cumsum([len(t) + 1 for t in streams]) - 1
     inside = array + least <= stop[stream[array]] if len(streams) else np.zeros(0, bool)
     interval = np.cumsum(~shared)[inside]
     array = array[inside]
+    # No more streams than suffixes have a prefix.
+    enough = np.bincount(interval)[interval] >= at_least if len(interval) else inside[:0]
+    interval, array = interval[enough], array[enough]
     owner = stream[array]
     order = np.lexsort([owner, interval])
     interval, owner, array = interval[order], owner[order], array[order]
@@ -320,13 +357,13 @@ def suffix_intervals(streams: list[list[str]], least: int, keys=None):
     if not len(at):
         nothing = np.zeros(0, np.int64)
         return (nothing.view(np.uint64), nothing) if keys is None else (nothing.view(np.uint64), nothing, nothing)
-    # The same value in every shard, by which intervals are added up.
-    values = np.zeros(len(symbols), np.uint64)
-    for start, tokens in zip(np.append(0, stop[:-1] + 1), streams):
-        found = _windows(tokens, least)
-        values[start : start + len(found)] = found
     n = np.add.reduceat(fresh.astype(np.int64), at)
-    return (values[array[at]], n) if keys is None else (values[array[at]], n, np.minimum.reduceat(keys[owner], at))
+    first = None if keys is None else np.minimum.reduceat(keys[owner], at)
+    kept = n >= at_least
+    # The same value in every shard, by which intervals are added up.
+    starts = array[at[kept]]
+    values = _mixed([codes[tokens[starts + k]] for k in range(least)])
+    return (values, n[kept]) if keys is None else (values, n[kept], first[kept])
 
 
 def _wholes(texts: list[str]) -> np.ndarray:
@@ -360,11 +397,13 @@ def unique_blocks(kinds, texts, repeated: np.ndarray, elsewhere: np.ndarray, run
 
 
 def open_contents(parsed: DataFrame) -> DataFrame:
-    """One row for each distinct content with blocks, however many rows have it, on hosts where the markup leaves something to decide."""
+    """One of the rows of each distinct content with blocks, however many rows have it; texts stay where they are unless contents with copies are many."""
+    if "row" not in parsed.columns:
+        parsed = materialize(parsed.withColumn("row", F.monotonically_increasing_id()), "numbered-pages")
     filled = parsed.where(F.size("texts") > 0)
-    hosts = materialize(filled.where("content IS NULL").select("host").distinct(), "open-hosts")
-    columns = [F.first(c).alias(c) for c in ("kinds", "texts")]
-    return filled.join(hosts, "host").groupBy("host", "key").agg(*columns, F.first(F.col("content").isNull()).alias("undecided"))
+    copies = filled.groupBy("host", "key").agg(F.min("row").alias("first_row"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
+    copies = materialize(copies, "copied-contents")
+    return filled.join(copies, ["host", "key"], "left").where("first_row IS NULL OR row = first_row").select("host", "key", "kinds", "texts")
 
 
 def host_sizes(contents: DataFrame, shard: int) -> DataFrame:
@@ -374,61 +413,94 @@ def host_sizes(contents: DataFrame, shard: int) -> DataFrame:
     return sizes.select("host", "contents", F.ceil(F.col("size") / shard).cast("int").alias("shards"))
 
 
-def extract(pages: DataFrame, run=RUN, min_pages=PAGES, share=SHARE, shard=SHARD) -> DataFrame:
-    """page_id, url and text of every page."""
+def _values(texts: list[str], run: int) -> np.ndarray:
+    """The distinct values of a content: its runs and its whole blocks."""
+    return np.unique(np.concatenate([_windows(" ".join(texts).split(" "), run), _wholes(texts)]))
 
-    def read(batches):
-        for batch in batches:
-            content, kinds, texts = zip(*map(parse, batch.column("html").to_pylist()))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *[batch.column(c) for c in ("page_id", "url", "host")],
-                    pa.array(content, pa.string()),
-                    pa.array(kinds, pa.list_(pa.int32())),
-                    pa.array(texts, pa.list_(pa.string())),
-                ],
-                ["page_id", "url", "host", "content", "kinds", "texts"],
-            )
 
-    given = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    parsed = given.mapInArrow(read, "page_id bigint, url string, host string, content string, kinds array<int>, texts array<string>")
-    parsed = materialize(parsed.withColumn("key", F.xxhash64("content", "kinds", "texts")), "parsed-pages")
-    ready = parsed.where("content IS NOT NULL").select("page_id", "url", F.col("content").alias("text"))
-    undecided = parsed.where("content IS NULL")
-    contents = materialize(open_contents(parsed), "open-contents")
-    sizes = materialize(host_sizes(contents, shard), "host-sizes")
-    streams = contents.join(sizes.select("host", "shards"), "host").withColumn("shard", F.pmod("key", F.col("shards")).cast("int"))
+def _summed(values: list[np.ndarray], keys):
+    """Distinct values, the number of contents that have each of them, and the smallest key of these."""
+    owner = np.repeat(np.asarray(keys, np.int64), [len(v) for v in values])
+    value = np.concatenate([*values, np.zeros(0, np.uint64)])
+    order = np.lexsort([owner, value])
+    found, at = np.unique(value[order], return_index=True)
+    return found, np.diff(np.append(at, len(order))), owner[order][at]
+
+
+def repeats(contents: DataFrame, sizes: DataFrame, run: int, min_pages: int, share: float, dense: float) -> DataFrame:
+    """host, value and first: the long repeats of each host, and the smallest key of a content that has it."""
+    sizes = sizes.withColumn("mode", F.expr(f"CASE WHEN shards = 1 THEN 0 WHEN contents >= {dense} * shards THEN 1 ELSE 2 END"))
+    streams = contents.join(sizes, "host").withColumn("shard", F.pmod("key", F.col("shards")).cast("int"))
 
     def intervals(table: pa.Table) -> pa.Table:
         key = table.column("key").to_numpy()
-        texts = [t or [] for t in table.column("texts").to_pylist()]
-        runs, n_runs, first_runs = suffix_intervals([" ".join(t).split(" ") for t in texts], run, key)
-        wholes = [np.unique(_wholes(t)) for t in texts]
-        owner = np.repeat(key, [len(v) for v in wholes])
-        whole = np.concatenate([*wholes, np.zeros(0, np.uint64)])
-        order = np.lexsort([owner, whole])
-        whole, at = np.unique(whole[order], return_index=True)
-        value = np.concatenate([runs, whole])
-        n = np.concatenate([n_runs, np.diff(np.append(at, len(order)))])
-        first = np.concatenate([first_runs, owner[order][at]])
-        host, part = table.column("host")[0].as_py(), table.column("shard")[0].as_py()
+        texts = [zlib.decompress(t).decode().split("\n") for t in table.column("packed").to_pylist()]
+        mode = table.column("mode")[0].as_py()
+        at_least = 1 if mode == 2 else math.ceil(share * len(key))
+        runs, n_runs, first_runs = suffix_intervals([" ".join(t).split(" ") for t in texts], run, key, at_least)
+        whole, n_whole, first_whole = _summed([np.unique(_wholes(t)) for t in texts], key)
+        enough = n_whole >= at_least
+        value = np.concatenate([runs, whole[enough]])
+        host = table.column("host")[0].as_py()
         return pa.table(
             {
-                "host": pa.array([host] * len(n), pa.string()),
-                "shard": pa.array([part] * len(n), pa.int32()),
+                "host": pa.array([host] * len(value), pa.string()),
                 "value": value.view(np.int64),
-                "n": n,
-                "first": first,
+                "n": np.concatenate([n_runs, n_whole[enough]]),
+                "first": np.concatenate([first_runs, first_whole[enough]]),
+                "named": pa.array([mode == 1] * len(value), pa.bool_()),
             }
         )
 
-    found = materialize(
-        streams.select("host", "shard", "key", "texts").groupBy("host", "shard").applyInArrow(intervals, "host string, shard int, value bigint, n bigint, first bigint"),
-        "repeats",
-    )
-    repeated = found.groupBy("host", "value").agg(F.sum("n").alias("pages"), F.min("first").alias("first")).where(F.col("pages") >= min_pages)
-    repeated = repeated.join(sizes.select("host", "contents"), "host").where(F.col("pages") >= share * F.col("contents"))
-    needed = found.select("host", "shard", "value").join(repeated.select("host", "value", "first"), ["host", "value"])
+    def pack(batches):
+        for batch in batches:
+            texts = [zlib.compress("\n".join(t).encode(), 1) for t in batch.column("texts").to_pylist()]
+            columns = ("host", "shard", "mode", "key")
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in columns], pa.array(texts, pa.binary())], [*columns, "packed"])
+
+    packed = streams.select("host", "shard", "mode", "key", "texts").mapInArrow(pack, "host string, shard int, mode int, key bigint, packed binary")
+    counted = "host string, value bigint, n bigint, first bigint"
+    found = materialize(packed.groupBy("host", "shard").applyInArrow(intervals, f"{counted}, named boolean"), "repeats")
+
+    def count(batches):
+        for batch in batches:
+            keys, hosts = batch.column("key").to_pylist(), batch.column("host").to_pylist()
+            hits = {}
+            for host, key, texts, names in zip(hosts, keys, batch.column("texts").to_pylist(), batch.column("names")):
+                values = _values(texts, run)
+                held, of = hits.setdefault(host, ([], []))
+                held.append(values[np.isin(values, names.values.to_numpy().view(np.uint64))])
+                of.append(key)
+            for host, (held, of) in hits.items():
+                value, n, first = _summed(held, of)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([host] * len(value), pa.string()), pa.array(value.view(np.int64)), pa.array(n, pa.int64()), pa.array(first, pa.int64())],
+                    ["host", "value", "n", "first"],
+                )
+
+    names = materialize(found.where("named").groupBy("host").agg(F.collect_set("value").alias("names")), "named-repeats")
+    again = contents.join(names, "host").select("host", "key", "texts", "names").mapInArrow(count, counted)
+    total = found.where("NOT named").drop("named").union(again).groupBy("host", "value").agg(F.sum("n").alias("pages"), F.min("first").alias("first"))
+    total = total.where(F.col("pages") >= min_pages).join(sizes.select("host", "contents"), "host")
+    return total.where(F.col("pages") >= share * F.col("contents")).select("host", "value", "first")
+
+
+def extract(pages: DataFrame, run=RUN, min_pages=PAGES, share=SHARE, shard=SHARD, dense=DENSE) -> DataFrame:
+    """page_id, url and text of every page."""
+
+    def read(batches):
+        for batch in batches:
+            kinds, texts = zip(*map(judged, batch.column("html").to_pylist()))
+            given = ("page_id", "url", "host")
+            arrays = [*[batch.column(c) for c in given], pa.array(kinds, pa.list_(pa.int32())), pa.array(texts, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(arrays, [*given, "kinds", "texts"])
+
+    given = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
+    parsed = given.mapInArrow(read, "page_id bigint, url string, host string, kinds array<int>, texts array<string>")
+    parsed = materialize(parsed.withColumns({"key": F.xxhash64("kinds", "texts"), "row": F.monotonically_increasing_id()}), "parsed-pages")
+    contents = open_contents(parsed)
+    sizes = materialize(host_sizes(contents, shard), "host-sizes")
+    repeated = materialize(repeats(contents, sizes, run, min_pages, share, dense), "long-repeats")
 
     def choose(left: pa.Table, right: pa.Table) -> pa.Table:
         value, first = (right.column(c).to_numpy() if right.num_rows else np.zeros(0, np.int64) for c in ("value", "first"))
@@ -437,8 +509,13 @@ def extract(pages: DataFrame, run=RUN, min_pages=PAGES, share=SHARE, shard=SHARD
             texts.append("\n".join(unique_blocks(kinds, blocks_, value, value[first != key], run)) if blocks_ else "")
         return pa.table({"host": left.column("host"), "key": left.column("key"), "text": pa.array(texts, pa.string())})
 
-    open_streams = streams.where("undecided").select("host", "shard", "key", "kinds", "texts")
-    chosen = open_streams.groupBy("host", "shard").cogroup(needed.groupBy("host", "shard")).applyInArrow(choose, "host string, key bigint, text string")
-    empty = undecided.where(F.size("texts") == 0).select("page_id", "url", F.lit("").alias("text"))
-    rest = undecided.where(F.size("texts") > 0).select("page_id", "url", "host", "key")
-    return ready.union(empty).union(rest.join(chosen, ["host", "key"]).select("page_id", "url", "text"))
+    # An article's blocks have passed through the array like all others; the markup then overrules it. The rest is decided by the repeats.
+    marked = F.array_contains("kinds", CONTENT)
+    article = F.array_join(F.filter("texts", lambda _, i: F.get("kinds", i) == CONTENT), "\n")
+    ready = parsed.where(marked | (F.size("texts") == 0)).select("page_id", "url", article.alias("text"))
+    undecided = contents.where(~marked).join(sizes.select("host", "shards"), "host")
+    streams = undecided.select("host", F.pmod("key", F.col("shards")).cast("int").alias("shard"), "key", "kinds", "texts")
+    needed = repeated.join(materialize(streams.select("host", "shard").distinct(), "open-shards"), "host")
+    chosen = streams.groupBy("host", "shard").cogroup(needed.groupBy("host", "shard")).applyInArrow(choose, "host string, key bigint, text string")
+    rest = parsed.where(~marked & (F.size("texts") > 0)).select("page_id", "url", "host", "key")
+    return ready.union(rest.join(chosen, ["host", "key"]).select("page_id", "url", "text"))

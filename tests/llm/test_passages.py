@@ -353,3 +353,55 @@ def test_shards_count_pages_and_repeated_rows_once(spark):
     contents = html_text.open_contents(parsed)
     assert sorted(r.key for r in contents.collect()) == [7, *range(1000, 1100)]
     assert [tuple(r) for r in html_text.host_sizes(contents, 80).collect()] == [("", 101, 11)]
+
+
+def notices(n, hosts=("a.com",)):
+    """Pages with a main, of which most hold the same unlabelled notices, one as a run inside blocks of their own."""
+    rng = random.Random(21)
+    words = [f"w{i}" for i in range(500)]
+    run = " ".join(f"r{k}" for k in range(30))
+    for i in range(n):
+        own = [" ".join(rng.choices(words, k=rng.randint(4, 30))) for _ in range(3)]
+        extra = ["Orders leave our store on Mondays", run + " " + run.split()[-1] * (i % 2)] if i % 5 else []
+        yield i, f"http://{hosts[i % len(hosts)]}/{i}", own, extra
+
+
+def test_repeats_inside_a_main_go_and_an_article_stays_whole():
+    for marked in ("main", "article"):
+        kinds, texts = html_text.judged(f"<nav>n</nav><{marked}><p>own</p><p>notice</p></{marked}><p>more</p>")
+        kind = html_text.OPEN if marked == "main" else html_text.CONTENT
+        assert (kinds, texts) == ([html_text.CHROME, kind, kind, html_text.CHROME], ["n", "own", "notice", "more"])
+
+
+def test_all_pages_pass_through_the_array(spark):
+    """Repeats inside a main and of articles count, and are the same from one shard, from shards with many contents and from shards with few."""
+    hosts = ("a.com", "b.com")
+    rows = list(notices(240, hosts))
+    html_of = lambda tag, own, extra: f"<{tag}>" + "".join(f"<p>{t}</p>" for t in own + extra) + f"</{tag}>"
+    # On b.com only pages with an article say what is repeated on the page that has none.
+    pages = [(i, url, html_of("main" if "a.com" in url else "article", own, extra)) for i, url, own, extra in rows]
+    bare = [" ".join(f"only{k}" for k in range(12)), "Orders leave our store on Mondays"]
+    pages += [(900, "http://b.com/900", "".join(f"<p>{t}</p>" for t in bare))] + [(1000 + i, *pages[i][1:]) for i in range(0, 40)]
+    frame = spark.createDataFrame(pages, "page_id bigint, url string, html string").repartition(5)
+    found = [
+        {r.page_id: r.text for r in html_text.extract(frame, shard=shard, dense=dense).collect()} for shard, dense in ((10**6, 64), (2500, 5), (2500, 10**6), (90, 64))
+    ]
+    assert all(f == found[0] for f in found) and len(found[0]) == len(pages)
+    for i, url, own, extra in rows:
+        assert found[0][i] == "\n".join(own + (extra if "b.com" in url else [])).strip() or "a.com" in url
+        if "a.com" in url:
+            assert found[0][i].split("\n")[:3] == own and "Mondays" not in found[0][i]
+    # The long one stays in one place.
+    assert 1 <= len({found[0][i] for i, url, _, extra in rows if "a.com" in url and "r29" in found[0][i]}) <= 2
+    assert found[0][900] == bare[0]
+
+
+def test_values_of_a_share_of_the_contents_are_those_of_the_whole_array():
+    rng = random.Random(6)
+    common = [f"c{k}" for k in range(9)]
+    streams = [rng.choices("abc", k=rng.randint(0, 30)) + (common if i % 3 else []) for i in range(30)]
+    keys = np.arange(30)[::-1].copy()
+    value, n, first = html_text.suffix_intervals(streams, 4, keys)
+    for least in (2, 15, 31):
+        got = html_text.suffix_intervals(streams, 4, keys, least)
+        assert [x.tolist() for x in got] == [x[n >= least].tolist() for x in (value, n, first)]
