@@ -31,11 +31,11 @@ def text_key(text) -> Column:
 
 
 def numbered(df: DataFrame) -> DataFrame:
-    """The rows with their tie-break, stored, so that the numbers stay."""
+    """The rows with their tie-break, stored, so that the numbers stay. The hash follows from the row and is not stored."""
     if ROW in df.columns:
         return df
     content = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    return materialize(df.withColumns({TIE: content, ROW: F.monotonically_increasing_id()}), "numbered")
+    return materialize(df.withColumn(ROW, F.monotonically_increasing_id()), "numbered").withColumn(TIE, content)
 
 
 def range_count(spark, rows, range_rows=RANGE_ROWS) -> int:
@@ -80,7 +80,11 @@ class Ranges:
 
     def dealt(self, df: DataFrame) -> DataFrame:
         """Each row in the task of its range."""
-        return self.number(df).repartitionById(self.count, F.col("_range"))
+        return self.deal(self.number(df))
+
+    def deal(self, numbered: DataFrame) -> DataFrame:
+        """Rows that have their ``_range`` in the task of it."""
+        return numbered.repartitionById(self.count, F.col("_range"))
 
 
 def find_ranges(df: DataFrame, fields, rows, range_rows=RANGE_ROWS) -> Ranges:

@@ -7,6 +7,7 @@ or channel with a third of all rows spreads over the cluster. Each of the two co
 what lies before each range, at most one row per border, which is broadcast to the rows that were dealt to their ranges. Both ways give the same rows.
 """
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
@@ -115,6 +116,13 @@ def _fit(keyed: DataFrame, keys, most) -> bool:
     return keyed.groupBy(*keys).count().where(F.col("count") > most).isEmpty()
 
 
+def campaign_rows(df: DataFrame) -> tuple[int, int]:
+    """The rows of the largest campaign, and of all."""
+    sizes = _keyed(df).groupBy("_campaign").count()
+    largest, rows = sizes.agg(F.max("count"), F.sum("count")).first()
+    return largest or 0, rows or 0
+
+
 def campaigns_fit(df: DataFrame, most=RANGE_ROWS) -> bool:
     return _fit(_keyed(df), ["_campaign"], most)
 
@@ -124,9 +132,15 @@ def weeks_fit(df: DataFrame, iso_year_groups=False, most=RANGE_ROWS) -> bool:
     return _fit(keyed, group, most)
 
 
-def by_campaigns(df: DataFrame) -> DataFrame:
+def _dealt(df: DataFrame, rows, *keys) -> DataFrame:
+    """Rows with equal keys in one task, in more tasks than the session has for a shuffle where these would get more than ``RANGE_ROWS`` rows each."""
+    tasks = math.ceil((rows or 0) / RANGE_ROWS)
+    return df.repartition(tasks, *keys) if tasks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df.repartition(*keys)
+
+
+def by_campaigns(df: DataFrame, rows=None) -> DataFrame:
     """The rows of a campaign in one task, as `in_campaigns` needs them. What follows from a row alone is best added behind this shuffle."""
-    return df.repartition("campaign_id")
+    return _dealt(df, rows, "campaign_id")
 
 
 def in_campaigns(df: DataFrame, rolling=True, running=True, days=7, base=None) -> DataFrame:
@@ -251,23 +265,26 @@ def plan_rank(rows: DataFrame, iso_year_groups=False, count=None, range_rows=RAN
     return RankPlan(ranges, group, cut.where("_above > 0").select("_range", *group, "_above"), _small(on_border))
 
 
-def add_rank(df: DataFrame, plan: RankPlan) -> DataFrame:
+def add_rank(df: DataFrame, plan: RankPlan, derive=None, kept=None) -> DataFrame:
     """Adds ``roas_rank_in_channel`` to rows with a tie-break.
 
-    A row's rank is its rank within its range plus the group's rows in earlier ranges; rows whose value lies on a border, and so may begin in an earlier
+    Only the columns ``kept`` (by default all) go through the shuffle. ``derive`` adds ``roas`` to rows that lack it, before the shuffle and again behind it. A row's rank is its rank within its range plus the group's rows in earlier ranges; rows whose value lies on a border, and so may begin in an earlier
     range, take the rank of the value's first row.
     """
-    group = plan.group
-    keyed, _ = _rank_keyed(df, "_year" in group)
+    group, kept = plan.group, kept or df.columns
+
+    def keyed(rows):
+        return _rank_keyed(derive(rows) if derive else rows, "_year" in group)[0]
+
     here = F.rank().over(Window.partitionBy("_range", *group).orderBy("_last", "_falling"))
-    dealt = plan.ranges.dealt(keyed).withColumn("_here", here)
+    dealt = keyed(plan.ranges.deal(plan.ranges.number(keyed(df)).select(*kept, "_range"))).withColumn("_here", here)
     # Both tables have fewer rows than there are ranges.
     border = plan.on_border.select(*group, F.col("_last").alias("_b_last"), F.col("_falling").alias("_b_falling"), "_above_value")
     alike = [dealt[g] == border[g] for g in group] + [dealt["_last"] == border["_b_last"], dealt["_falling"].eqNullSafe(border["_b_falling"])]
     joined = dealt.join(F.broadcast(border), alike, "left").drop(*[border[g] for g in group])
     joined = joined.join(F.broadcast(plan.above), ["_range", *group], "left")
     rank = F.coalesce(F.col("_above_value") + 1, F.coalesce("_above", F.lit(0)) + F.col("_here"))
-    return joined.select(*df.columns, rank.cast("long").alias("roas_rank_in_channel"))
+    return joined.select(*kept, rank.cast("long").alias("roas_rank_in_channel"))
 
 
 def _week_group(iso_year_groups):
@@ -275,9 +292,9 @@ def _week_group(iso_year_groups):
     return [*week, F.coalesce(iso_year("date"), F.lit(0))] if iso_year_groups else week
 
 
-def by_weeks(df: DataFrame, iso_year_groups=False) -> DataFrame:
+def by_weeks(df: DataFrame, iso_year_groups=False, rows=None) -> DataFrame:
     """The rows of a channel and week in one task, as `rank_in_weeks` needs them, sent without any column of their own for it."""
-    return df.repartition(*_week_group(iso_year_groups))
+    return _dealt(df, rows, *_week_group(iso_year_groups))
 
 
 def rank_in_weeks(df: DataFrame, iso_year_groups=False) -> DataFrame:

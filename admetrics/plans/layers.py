@@ -7,30 +7,33 @@ from admetrics.functions.ratios import metric_columns, with_metrics
 from admetrics.operators import star, windows
 from admetrics.operators.history import dim_campaign_versions
 from admetrics.operators.keys import with_key
-from admetrics.operators.ranges import RANGE_ROWS, numbered
+from admetrics.operators.ranges import OWN, RANGE_ROWS, numbered
 from admetrics.schemas import SILVER
 
 
 def build_silver(raw: DataFrame, range_rows=RANGE_ROWS) -> DataFrame:
     """Ratios, rolling averages, running total and rank on every raw row.
 
-    Where a campaign, or a channel's week, has more than ``range_rows`` rows, the rows are stored once, with their ratios and tie-break, and cut into
-    ranges. Rank and running total cost one shuffle each either way. Where all groups fit, the ratios are worked out behind each shuffle instead of
+    Where a campaign, or a channel's week, has more than ``range_rows`` rows, the rows are stored once, with their numbers, and cut into
+    ranges. Rank and running total cost one shuffle each either way. The ratios are worked out behind each shuffle instead of being stored or
     going through it: they follow from the row, and doubles without a pattern are what compresses least.
     """
     events = parse_date(raw)
     rows = with_metrics(events)
-    campaigns_fit, weeks_fit = windows.campaigns_fit(rows, range_rows), windows.weeks_fit(rows, most=range_rows)
-    if campaigns_fit and weeks_fit:
-        ranked = windows.rank_in_weeks(with_metrics(windows.by_weeks(events))).drop(*metric_columns())
-        return windows.in_campaigns(with_metrics(windows.by_campaigns(ranked))).select(*SILVER.names)
-    rows = numbered(rows)
-    n = rows.count()
-    ranked = windows.rank_in_weeks(rows) if weeks_fit else windows.add_rank(rows, windows.plan_rank(rows, count=n, range_rows=range_rows))
+    largest, n = windows.campaign_rows(rows)
+    campaigns_fit, weeks_fit = largest <= range_rows, windows.weeks_fit(rows, most=range_rows)
+    if not (campaigns_fit and weeks_fit):
+        events = numbered(events)
+    # What the running total needs of a row besides its content where it is put together from ranges.
+    kept = [c for c in events.columns if c not in OWN or not campaigns_fit]
+    if weeks_fit:
+        ranked = windows.rank_in_weeks(with_metrics(windows.by_weeks(events.select(*kept), rows=n))).drop(*metric_columns())
+    else:
+        ranked = windows.add_rank(events, windows.plan_rank(with_metrics(events), count=n, range_rows=range_rows), with_metrics, kept)
     if campaigns_fit:
-        return windows.in_campaigns(ranked).select(*SILVER.names)
-    running = windows.add_running(ranked, windows.plan_running(rows, n, range_rows))
-    return windows.join_days(running, windows.campaign_days(rows)).select(*SILVER.names)
+        return windows.in_campaigns(with_metrics(windows.by_campaigns(ranked, n))).select(*SILVER.names)
+    running = windows.add_running(ranked, windows.plan_running(events, n, range_rows))
+    return with_metrics(windows.join_days(running, windows.campaign_days(events))).select(*SILVER.names)
 
 
 def build_dims(silver: DataFrame, latest=False, history=False, number=with_key) -> dict:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from admetrics import schemas
 from admetrics.functions.ratios import with_metrics
-from admetrics.operators import kpis, marts, star, windows
+from admetrics.operators import kpis, marts, ranges, star, windows
 from admetrics.operators.ranges import numbered
 from admetrics.plans.layers import build_silver, build_star
 from admetrics.session import materialize
@@ -164,3 +164,31 @@ def test_z_order_runs_in_generated_code(spark):
     counted = layout.with_count_up_to(marks, "m", F.col("k"), "n").withColumn("want", layout.count_up_to("m", "k"))
     assert counted.where("n <> want").isEmpty()
     assert "lambdafunction" not in plan_of(layout.with_z_order(df, ["id", "k"]))
+
+
+def test_silver_in_ranges_stores_and_sends_rows_without_their_ratios(spark, events, monkeypatch):
+    """Where weeks are cut and campaigns fit, no ratio or hash is stored or sent, and the rows are those of plain windows."""
+    rows = [
+        {"campaign_id": f"C{i % 9}", "event_id": f"e{i}", "date": f"2024-01-{1 + i % 3:02d}", "channel": "Meta Feed", "spend_usd": 1.0 + i % 7} for i in range(90)
+    ]
+    raw, stored = materialize(events(*rows), "plan-test"), []
+
+    def kept(df, name):
+        stored.append(df.columns)
+        return materialize(df, name)
+
+    monkeypatch.setattr(ranges, "materialize", kept)
+    assert windows.campaign_rows(raw.withColumn("date", F.to_date("date"))) == (10, 90)
+    cut = build_silver(raw, range_rows=10)
+    assert stored == [[*raw.columns, ranges.ROW]]
+    sent = [x for x in nodes(plan_of(cut), "Exchange") if "event_id" in x]
+    assert len(sent) == 2 and not any(name in x for x in sent for name in ("ctr", "cpc", "roas#", "conversion_rate", "_tie", "_falling", "_row"))
+    plain = build_silver(raw)
+    assert sorted(map(repr, cut.collect())) == sorted(map(repr, plain.collect()))
+
+
+def test_tasks_of_plain_windows_follow_the_rows(spark):
+    few = spark.range(10).withColumn("campaign_id", F.col("id").cast("string"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert windows.by_campaigns(few, 10).rdd.getNumPartitions() <= tasks
+    assert windows.by_campaigns(few, ranges.RANGE_ROWS * tasks + 1).rdd.getNumPartitions() == tasks + 1
