@@ -6,12 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from admetrics import schemas
-from admetrics.functions.ratios import with_metrics
+from admetrics.functions.ratios import metric_columns, with_metrics
 from admetrics.operators import kpis, marts, ranges, star, windows
 from admetrics.operators.ranges import numbered
 from admetrics.plans.layers import build_silver, build_star
 from admetrics.session import materialize
-from admetrics.sinks import layout
+from admetrics.sinks import layout, writers
 
 NO_BROADCAST = {
     "spark__sql__autoBroadcastJoinThreshold": "-1",
@@ -192,3 +192,13 @@ def test_tasks_of_plain_windows_follow_the_rows(spark):
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert windows.by_campaigns(few, 10).rdd.getNumPartitions() <= tasks
     assert windows.by_campaigns(few, ranges.RANGE_ROWS * tasks + 1).rdd.getNumPartitions() == tasks + 1
+
+
+def test_rows_are_sent_packed(stored):
+    """The texts of a row go through Silver's shuffles, and through that of a write by day, in one column; ratios are worked out behind the latter."""
+    silver = build_silver(stored)
+    written = writers.rebalanced(silver, ["platform", "date"], metric_columns())
+    wide = [x for x in nodes(plan_of(written), "Exchange") if "event_id" in x]
+    assert len(wide) == 3 and not any(f"{name}#" in f" {x}".replace("_timestamp#", "") for x in wide for name in (" advertiser", " event_id", " timestamp"))
+    assert "ctr#" not in wide[-1] and "ctr#" not in wide[0]
+    assert sorted(map(repr, written.collect())) == sorted(map(repr, silver.collect()))
