@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 
 from admetrics import schemas
 from admetrics.functions.calendar import NO_DAY, day_ordinal, parse_date
-from admetrics.functions.ratios import with_metrics
+from admetrics.functions.ratios import metric_columns, with_metrics
 from admetrics.operators import quality, windows
 from admetrics.operators.ranges import RANGE_ROWS, text_key
-from admetrics.session import materialize
+from admetrics.session import materialize, shuffles_freed
+from admetrics.sinks.writers import rebalanced, write_table
 from admetrics.sources.readers import read_table
 
 DAYS, LOG = "silver/days", "silver/log"
@@ -42,7 +43,7 @@ def _note(spark, base, version, files, done, mode="append"):
 
 def start_log(spark, base, silver: DataFrame, files) -> None:
     """After a full build: the day totals of all rows, and the files they came from."""
-    windows.day_totals(silver).write.mode("overwrite").parquet(f"{base}/{DAYS}/version=all")
+    write_table(windows.day_totals(silver), base, f"{DAYS}/version=all")
     _note(spark, base, "all", sorted(files), True, "overwrite")
 
 
@@ -129,11 +130,13 @@ def update_silver(spark, base, name, files, range_rows=RANGE_ROWS, quarantine=No
     fresh = materialize(new.join(old.select("event_id"), "event_id", "left_anti"), "fresh-events")
     version = hashlib.md5("\n".join(files).encode()).hexdigest()
     _note(spark, base, version, [], False)
-    windows.day_totals(fresh).write.mode("overwrite").parquet(f"{base}/{DAYS}/version={version}")
+    write_table(windows.day_totals(fresh), base, f"{DAYS}/version={version}")
     own = windows.add_day_totals(totals.unionByName(windows.day_totals(fresh)))
     rows = materialize(changed_rows(old, fresh, own, range_rows), "changed-rows")
-    written = rows.hint("rebalance", "platform", "date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    written.partitionBy("platform", "date").parquet(f"{base}/{name}")
+    gathered = rebalanced(rows, ["platform", "date"], metric_columns())
+    with shuffles_freed(spark):
+        written = gathered.write.mode("overwrite").options(compression="zstd", partitionOverwriteMode="dynamic")
+        written.partitionBy("platform", "date").parquet(f"{base}/{name}")
     own_days = sorted(r[0] for r in _keyed(fresh).select("_day").distinct().collect())
     return days, own_days, version
 

@@ -9,9 +9,10 @@ from admetrics import schemas
 from admetrics.functions.ratios import metric_columns, with_metrics
 from admetrics.operators import kpis, marts, ranges, star, windows
 from admetrics.operators.ranges import numbered
-from admetrics.plans.layers import build_silver, build_star
+from admetrics.plans.layers import build_silver, build_star, silver_by_weeks, store_silver
 from admetrics.session import materialize
 from admetrics.sinks import layout, writers
+from admetrics.sources import readers
 
 NO_BROADCAST = {
     "spark__sql__autoBroadcastJoinThreshold": "-1",
@@ -194,6 +195,23 @@ def test_tasks_of_plain_windows_follow_the_rows(spark):
     assert windows.by_campaigns(few, ranges.RANGE_ROWS * tasks + 1).rdd.getNumPartitions() == tasks + 1
 
 
+@pytest.mark.parametrize("range_rows", [1000, 10])
+def test_a_large_silver_is_stored_without_a_third_shuffle(spark, events, tmp_path, range_rows):
+    """The rank comes last, in weeks or ranges of them; the rows and the table are those of the other order."""
+    rows = [
+        {"campaign_id": f"C{i % 9}", "event_id": f"e{i}", "date": f"2024-01-{1 + i % 9:02d}", "channel": f"Meta {i % 2}", "revenue_usd": 1.0 + i % 7} for i in range(90)
+    ]
+    raw = materialize(events(*rows, {"event_id": None, "campaign_id": None, "date": "bad", "channel": None}), "plan-test")
+    made, gathered = silver_by_weeks(raw, range_rows, gathered_from=1)
+    assert gathered and not silver_by_weeks(raw, range_rows)[1] and not silver_by_weeks(raw, 5, gathered_from=1)[1]
+    sent = [x for x in nodes(plan_of(made), "Exchange") if "event_id" in x]
+    assert len(sent) == 2 and not any(name in x for x in sent for name in ("ctr", "cpc", "roas#", "conversion_rate", "_tie", "_falling", "_row"))
+    want = sorted(map(repr, build_silver(raw).collect()))
+    assert sorted(map(repr, made.collect())) == want
+    store_silver(raw, str(tmp_path), "silver", range_rows=range_rows, gathered_from=1)
+    assert sorted(map(repr, readers.read_table(spark, str(tmp_path), "silver", schema=schemas.SILVER).collect())) == want
+
+
 def test_rows_are_sent_packed(stored):
     """The texts of a row go through Silver's shuffles, and through that of a write by day, in one column; ratios are worked out behind the latter."""
     silver = build_silver(stored)
